@@ -8,31 +8,32 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DateType, StringType, TimestampNTZType, TimestampType
 
 from salesflow.functions import as_column, named
+from salesflow.functions.text import strip
 
-# Accepted text layouts, tried in this order (shape guard, Spark pattern).
-TEXT_LAYOUTS = [
-    (r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{1,2}:\d{1,2}$", "yyyy-M-d H:m:s"),
-    (r"^\d{4}-\d{1,2}-\d{1,2}$", "yyyy-M-d"),
-    (r"^\d{1,2}/\d{1,2}/\d{4}$", "d/M/yyyy"),
-]
+# Accepted text layouts: a guard for the shape, and Spark's pattern with optional sections.
+DAY_FIRST = (r"^\d{1,2}/\d{1,2}/\d{4}$", "d/M/yyyy")
+ANY_LAYOUT = (
+    r"^(\d{4}-\d{1,2}-\d{1,2}( \d{1,2}:\d{1,2}:\d{1,2})?|\d{1,2}/\d{1,2}/\d{4})$",
+    "[yyyy-M-d[ H:m:s]][d/M/yyyy]",
+)
 
 # Spreadsheet serial numbers read as dates, and the day that serial 0 stands for.
 SERIAL_MIN, SERIAL_MAX = 36526, 60000
 SERIAL_ORIGIN = dt.date(1899, 12, 30)
 
 
-def _text_date(text: Column, layouts: list[tuple[str, str]]) -> Column:
+def _text_date(text: Column, layout: tuple[str, str]) -> Column:
     # The guard keeps out over-long numbers that a lenient pattern letter would take.
-    tries = [
-        F.when(text.rlike(shape), F.try_to_timestamp(text, F.lit(pattern)).cast("date"))
-        for shape, pattern in layouts
-    ]
-    return F.coalesce(*tries)
+    shape, pattern = layout
+    return F.when(text.rlike(shape), F.try_to_timestamp(text, F.lit(pattern)).cast("date"))
 
 
 def parse_date(col: Column | str) -> Column:
-    """Text to date by the accepted layouts in turn; anything else is null."""
-    return _text_date(as_column(col), TEXT_LAYOUTS)
+    """Text to date: ``yyyy-MM-dd HH:mm:ss``, ``yyyy-MM-dd`` or ``dd/MM/yyyy``, else null.
+
+    The text is named only twice, since filters on the date are pushed below and copy it.
+    """
+    return _text_date(as_column(col), ANY_LAYOUT)
 
 
 def dates_in(df: DataFrame, *names: str) -> DataFrame:
@@ -57,13 +58,13 @@ def repair_date_cell(value: Column | str, is_number: Column) -> Column:
     """
     text = as_column(value)
     # One-digit days and months are fine; surrounding blanks of any kind are allowed.
-    bare = F.regexp_replace(text, r"^\s+|\s+$", "")
+    bare = strip(text)
     serial = F.when(is_number, bare.try_cast("double"))
     from_serial = F.when(
         serial.between(SERIAL_MIN, SERIAL_MAX),
         F.date_add(F.lit(SERIAL_ORIGIN), F.floor(serial).cast("int")),
     )
-    from_text = F.when(~is_number, _text_date(bare, TEXT_LAYOUTS[2:]))
+    from_text = F.when(~is_number, _text_date(bare, DAY_FIRST))
     return F.coalesce(F.coalesce(from_serial, from_text).cast("string"), text)
 
 

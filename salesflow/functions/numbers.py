@@ -7,7 +7,6 @@ from pyspark.sql.types import LongType
 
 from salesflow.functions import as_column, named
 
-WHOLE = r"^\s*[+-]?\d+\s*$"
 # Shapes that count as a number; Spark alone would also read '1d' and '1f'.
 NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
@@ -35,11 +34,10 @@ def coerce_double(col: Column | str) -> Column:
 def coerce_int(col: Column | str) -> Column:
     """Text to whole number, cut toward zero; blank, null and non-numbers are 0.
 
-    Whole texts take the integer path so that 17 digits and more stay exact.
+    A wide decimal keeps all digits of a long number and refuses what is not one.
     """
-    text = as_column(col).cast("string")
-    exact = F.when(text.rlike(WHOLE), F.trim(text).try_cast("bigint"))
-    return F.coalesce(exact, coerce_double(text).cast("bigint"))
+    number = as_column(col).cast("string").try_cast("decimal(38,18)")
+    return F.coalesce(number.cast("bigint"), F.lit(0))
 
 
 def number_text(col: Column | str) -> Column:

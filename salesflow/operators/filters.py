@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import calendar
 import datetime as dt
+import re
 from collections.abc import Iterable, Sequence
 from functools import reduce
 from operator import or_
@@ -103,11 +104,12 @@ def _tag(day: dt.date) -> str:
 
 
 def in_quarter_scope(source: Column | str, year: int, month: int) -> Column:
-    """The source name holds one of the quarter's tags, the report word and no ``$``."""
-    name = as_column(source)
-    upper = F.upper(name)
-    tagged = reduce(or_, [upper.contains(tag.upper()) for tag in source_tags(year, month)])
-    return tagged & upper.contains(SOURCE_WORD) & ~name.contains(SOURCE_BAN)
+    """The source name holds one of the quarter's tags, the report word and no ``$``.
+
+    Tags and word ignore case. One pattern, so that the name is worked out once a row.
+    """
+    tags = "|".join(re.escape(tag) for tag in source_tags(year, month))
+    return as_column(source).rlike(rf"(?is)^(?!.*{re.escape(SOURCE_BAN)})(?=.*{SOURCE_WORD}).*({tags})")
 
 
 def quarter_scope(

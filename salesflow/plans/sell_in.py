@@ -16,6 +16,7 @@ from salesflow.operators.joins import lookup
 from salesflow.operators.packing import PART_CAPACITY, SPLIT_DAYS, with_parts
 from salesflow.operators.shape import rename_drop, require_columns, union_relaxed
 from salesflow.schemas import REPORT_COLUMNS, REPORT_SCHEMA
+from salesflow.session import staged
 from salesflow.sources.files import with_lineage
 
 STOCK_COLUMNS = [
@@ -157,5 +158,9 @@ def month_report(
     base: DataFrame, marketplace: DataFrame, year: int, month: int,
     split_days: Sequence[int] = SPLIT_DAYS, cap: int = PART_CAPACITY,
 ) -> DataFrame:
-    """A month's report rows, both sides, each with its ``sale_month`` and ``part_name``."""
-    return with_parts(month_rows(base, marketplace, year, month), "SentOn", "side", split_days, cap)
+    """A month's report rows, both sides, each with its ``sale_month`` and ``part_name``.
+
+    The rows are written once before they are counted and cut into parts.
+    """
+    rows = staged(month_rows(base, marketplace, year, month), "month")
+    return with_parts(rows, "SentOn", "side", split_days, cap)

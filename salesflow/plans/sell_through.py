@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from salesflow.functions import named
-from salesflow.functions.dates import TEXT_LAYOUTS, _text_date, date_text, repair_date_cell
+from salesflow.functions.dates import date_text, parse_date, repair_date_cell
 from salesflow.functions.numbers import coerce_double
 from salesflow.functions.text import clean_text
 from salesflow.sources.files import REGIONAL_NAME, select_files
-from salesflow.sources.grid import stack_sheets, visible_sheets
+from salesflow.sources.grid import number_mark, stack_sheets, visible_sheets
 
 TOTAL_NAMES = ("total", "quantity")
 
@@ -23,18 +23,21 @@ def compile_sheets(grid: DataFrame, blank_as_text: bool = False) -> DataFrame:
     breaks. ``blank_as_text`` writes missing texts as ``nan``.
     """
     rows, names = stack_sheets(visible_sheets(select_files(grid, "source_file", include=REGIONAL_NAME)))
+    # Each step names its input several times, so the steps stay apart as columns.
+    if "Date" in names:
+        repaired = clean_text(repair_date_cell("Date", named(number_mark("Date"))))
+        # A stored date-time cell is ISO with a T.
+        rows = rows.withColumn("Date", F.replace(repaired, F.lit("T"), F.lit(" ")))
     total = next((n for n in names if n.lower() in TOTAL_NAMES), None)
     cols = []
     for name in names:
-        value, is_number = named(name).getField("value"), named(name).getField("is_number")
+        text = clean_text(name)
         if name == "Date":
-            repaired = clean_text(repair_date_cell(value, is_number))
-            # A stored date-time cell is ISO with a T.
-            day = _text_date(F.replace(repaired, F.lit("T"), F.lit(" ")), TEXT_LAYOUTS)
-            cols.append(date_text(day).alias(name))
+            text = date_text(parse_date(name))
         elif name == total:
-            cols.append(coerce_double(clean_text(value)).alias(name))
-        else:
-            text = clean_text(value)
-            cols.append((F.coalesce(text, F.lit("nan")) if blank_as_text else text).alias(name))
-    return rows.select(*cols, clean_text("SourceFile").alias("SourceFile"), clean_text("SheetName").alias("SheetName"))
+            text = coerce_double(text)
+        elif blank_as_text:
+            text = F.coalesce(text, F.lit("nan"))
+        cols.append(text.alias(name))
+    lineage = [clean_text(name).alias(name) for name in ("SourceFile", "SheetName")]
+    return rows.select(*cols, *lineage)

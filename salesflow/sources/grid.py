@@ -82,11 +82,17 @@ def column_names(headers: DataFrame) -> list[str]:
     return [row["name"] for row in rows]
 
 
+def number_mark(name: str) -> str:
+    """Column that tells whether the sheet stored a number in ``name``."""
+    return f"{name}__is_number"
+
+
 def stack_sheets(grid: DataFrame) -> tuple[DataFrame, list[str]]:
-    """All sheets as one table of ``(value, is_number)`` cells, matched by header name.
+    """All sheets as one table of cell texts, matched by header name, and the header names.
 
     The grid is read once: every sheet's header becomes a list of cell positions, looked up
-    by sheet, so that a column is one array access whatever order a sheet keeps.
+    by sheet, so that a column is one array access whatever order a sheet keeps. Each column
+    has a ``number_mark`` column beside it.
     """
     headers = sheet_headers(grid)
     names = column_names(headers)
@@ -94,11 +100,12 @@ def stack_sheets(grid: DataFrame) -> tuple[DataFrame, list[str]]:
     placed = lookup(
         grid.filter(F.col("row_no") > 0), headers.select(*SHEET_KEYS, spots.alias("__spots")), SHEET_KEYS
     )
+    # A position of -1 means the sheet lacks the column.
+    marks = [F.nullif(F.get("__spots", F.lit(i)), F.lit(-1)).alias(f"__at_{i}") for i in range(len(names))]
+    placed = placed.select("cells", "cell_types", *SHEET_KEYS, *marks)
     cols = []
     for i, name in enumerate(names):
-        at = F.get("__spots", F.lit(i))
-        # A position of -1 means the sheet lacks the column.
-        found = F.when(at >= 0, cell(at))
-        number = F.when(at >= 0, F.get("cell_types", at)).isin("int", "float")
-        cols.append(F.struct(found.alias("value"), F.coalesce(number, F.lit(False)).alias("is_number")).alias(name))
+        at = F.col(f"__at_{i}")
+        number = F.get("cell_types", at).isin("int", "float")
+        cols += [cell(at).alias(name), F.coalesce(number, F.lit(False)).alias(number_mark(name))]
     return placed.select(*cols, named("source_file").alias("SourceFile"), named("sheet").alias("SheetName")), names

@@ -11,11 +11,19 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from salesflow.functions.text import BLANKS
 from salesflow.operators.joins import lookup
 
 
+_TABLES: dict[tuple[str, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A driver table; its schema is read from the file once a session."""
+    key = (spark.sparkContext.applicationId, f"{sf_dir}/{name}.parquet")
+    if key not in _TABLES:
+        _TABLES[key] = spark.read.parquet(key[1])
+    return _TABLES[key]
 
 
 @dataclass
@@ -344,7 +352,7 @@ ERP_FIRST_DAY = dt.date(1996, 1, 1)
 # SQL spellings of the cleaning rules, for the twins.
 
 def strip_sql(x: str) -> str:
-    return f"regexp_replace({x}, '^\\s+|\\s+$', '', 'g')"
+    return f"trim({x}, '{BLANKS}')"
 
 
 def date_sql(x: str) -> str:
