@@ -70,7 +70,7 @@ def repair_date_cell(value: Column | str, is_number: Column) -> Column:
 
 def date_text(col: Column | str) -> Column:
     """``yyyy-MM-dd``, and the empty text where there is no date."""
-    return F.coalesce(F.date_format(as_column(col), "yyyy-MM-dd"), F.lit(""))
+    return F.coalesce(as_column(col).cast("date").cast("string"), F.lit(""))
 
 
 def month_start(col: Column | str) -> Column:

@@ -1,10 +1,11 @@
 """Lookups against master data, and comparisons of aggregated tables.
 
-Broadcasting is decided by size. A master whose size, estimated by the planner or else
-measured, is within the session's broadcast limit goes to every executor, so the fact table
-is never shuffled and no hot key can hurt. A larger master is joined by shuffle, except for
-the fact table's hottest keys: their master rows are few, so those facts stay where they are
-and only the rest is shuffled.
+Broadcasting is decided by size. A master within the session's broadcast limit, as the
+planner estimates it or, once it was filtered or de-duplicated, as counted, goes to every
+executor, so the fact table is never shuffled and no hot key can hurt. A larger master is
+joined by shuffle, except for the fact table's hottest keys: their master rows are few, so
+those facts stay where they are and only the rest is shuffled. Adaptive execution splits
+what is still skewed.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import add, and_
 
-from pyspark.sql import Column, DataFrame, Observation, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import BinaryType, StringType
 
 from salesflow.functions import named
@@ -21,6 +22,12 @@ from salesflow.functions.text import blank_to
 
 # A key is hot when it alone holds this share of the fact rows; so there are at most 200.
 HOT_SHARE = 0.005
+# Keys the frequency sketch tracks; its counts are off by far less than the share.
+SKETCH_ITEMS = 10_000
+# Plan steps that can leave less of a table than its files suggest.
+SHRINKING = {"Aggregate", "Distinct", "Filter", "GlobalLimit", "Join"}
+# Plan steps that make a table dearer to compute than to read.
+COSTLY = {"Aggregate", "Distinct", "Generate", "Join", "Sort", "Window"}
 MISSING = "-"
 
 
@@ -30,9 +37,19 @@ def broadcast_limit(df: DataFrame) -> int:
     return int(conf.autoBroadcastJoinThreshold())
 
 
+def _optimized(df: DataFrame):
+    return df._jdf.queryExecution().optimizedPlan()
+
+
+def _steps(plan) -> set[str]:
+    children = plan.children()
+    below = [_steps(children.apply(i)) for i in range(children.size())]
+    return {plan.nodeName().split(" ")[0]}.union(*below)
+
+
 def planned_bytes(df: DataFrame) -> int:
-    """The optimizer's upper estimate of a table's size; starts no job."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    """The optimizer's estimate of a table's size, from its files; starts no job."""
+    return int(_optimized(df).stats().sizeInBytes())
 
 
 def measured_bytes(df: DataFrame) -> int:
@@ -49,12 +66,16 @@ def measured_bytes(df: DataFrame) -> int:
 def fits_broadcast(df: DataFrame) -> bool:
     """Whether a table may be sent whole to every executor.
 
-    The estimate comes first since it is free. A table that is small only after a filter or
-    an aggregation is over-estimated, so it is measured: one pass over the master spares a
-    shuffle of the facts.
+    The estimate comes first since it is free. A table that was filtered or aggregated is
+    over-estimated, so it is measured: one pass over the master spares a shuffle of the
+    facts. A plain table is as large as its files say and is not read for that.
     """
     limit = broadcast_limit(df)
-    return limit > 0 and (planned_bytes(df) <= limit or measured_bytes(df) <= limit)
+    if limit <= 0:
+        return False
+    if planned_bytes(df) <= limit:
+        return True
+    return bool(SHRINKING & _steps(_optimized(df))) and measured_bytes(df) <= limit
 
 
 def _matches(
@@ -88,36 +109,37 @@ def lookup(
 
     if fits_broadcast(side):
         return joined(facts, F.broadcast(side))
-    hot = hot_keys(facts, [a for a, _ in pairs])
-    if hot is None:
+    probe = [a for a, _ in pairs]
+    hot = hot_keys(facts, probe)
+    if not hot:
         return joined(facts, side)
-    hot_side = side.join(
-        F.broadcast(hot), _matches(side, hot, [(b, f"__hot_{a}") for a, b in pairs]), "left_semi"
-    )
+    hot_side = side.filter(_key_hash([named(b) for _, b in pairs]).isin(hot))
     if not fits_broadcast(hot_side):
         return joined(facts, side)
-    in_hot = _matches(facts, hot, [(a, f"__hot_{a}") for a, _ in pairs])
-    stay = facts.join(F.broadcast(hot), in_hot, "left_semi")
-    move = facts.join(F.broadcast(hot), in_hot, "left_anti")
+    in_hot = _key_hash([named(a) for a in probe]).isin(hot)
+    stay, move = facts.filter(in_hot), facts.filter(~in_hot)
     return joined(stay, F.broadcast(hot_side)).unionByName(joined(move, side))
 
 
-def hot_keys(facts: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> DataFrame | None:
-    """The keys that each hold at least ``share`` of the rows, as columns ``__hot_<key>``.
+def _key_hash(keys: Sequence[Column]) -> Column:
+    """One number per key; as text first, since equal keys may differ in type."""
+    return F.xxhash64(*[F.coalesce(k.cast("string"), F.lit("\0")) for k in keys])
+
 
-    At most ``1 / share`` keys qualify, which bounds what reaches the driver. None when no
-    key is hot.
+def hot_keys(facts: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> list[int]:
+    """Hashes of the keys that each hold about ``share`` of the rows or more.
+
+    A frequency sketch, merged over the tasks, answers in one pass over the key columns and
+    without a shuffle; at most ``1 / share`` hashes reach the driver. Which keys it finds
+    only decides how rows travel. Facts that would have to be joined first are not read for
+    this and left to adaptive execution.
     """
-    counts = facts.groupBy(*[named(k) for k in keys]).agg(F.count("*").alias("__n"))
-    seen = Observation()
-    watched = counts.observe(seen, F.sum("__n").alias("total"))
-    top = watched.orderBy(F.desc("__n")).limit(int(1 / share)).collect()
-    total = seen.get["total"] or 0
-    hot = [tuple(row)[:-1] for row in top if row["__n"] >= max(share * total, 2)]
-    if not hot:
-        return None
-    schema = facts.select(*[named(k).alias(f"__hot_{k}") for k in keys]).schema
-    return facts.sparkSession.createDataFrame(hot, schema)
+    if COSTLY & _steps(_optimized(facts)):
+        return []
+    hashes = facts.select(_key_hash([named(k) for k in keys]).alias("h"))
+    top = f"approx_top_k(h, {int(1 / share)}, {SKETCH_ITEMS})"
+    row = hashes.agg(F.expr(top).alias("top"), F.count("*").alias("n")).first()
+    return [item["item"] for item in row["top"] or [] if item["count"] >= max(share * row["n"], 2)]
 
 
 def lookup_or_default(
