@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from salesflow.functions import named
 from salesflow.functions.text import NA_TOKENS, na_to_null
@@ -96,10 +96,14 @@ def read_text_csvs(
     return union_relaxed(*parts)
 
 
-def _stem(alias: str | None):
-    if alias is None:
-        return []
-    return [F.substring_index(F.col("_metadata.file_name"), "_", 1).alias(alias)]
+def file_name() -> Column:
+    """Name of the file a row was read from; Spark keeps it percent-encoded."""
+    encoded = F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B"))
+    return F.url_decode(encoded)
+
+
+def _stem(alias: str | None) -> list[Column]:
+    return [] if alias is None else [F.substring_index(file_name(), "_", 1).alias(alias)]
 
 
 def read_delimited_master(
