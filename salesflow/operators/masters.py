@@ -22,17 +22,15 @@ MISSING_PLACE = "nan"
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The first row of every key, null being a key, in the given order.
 
-    The order must be total within a key. A grouped minimum keeps one row per key and map
-    task, so that only candidates are shuffled and a hot key costs no more than others.
+    Rows that tie in the order are taken by their other columns, so the result never depends
+    on how the table is split. A grouped minimum keeps one row per key and map task: only
+    candidates are shuffled, and a hot key costs no more than others.
     """
-    rest = [c for c in df.columns if c not in keys]
-    if not rest:
-        return df.distinct()
-    firsts = df.groupBy(*[named(k) for k in keys]).agg(
-        F.min_by(F.struct(*[named(c) for c in rest]), F.struct(*[named(c) for c in order])).alias("__row")
-    )
-    row = [F.col("__row").getField(c).alias(c) if c in rest else named(c) for c in df.columns]
-    return firsts.select(*row)
+    rest = [*order, *[c for c in df.columns if c not in keys and c not in order]]
+    row = F.struct(*[named(c).alias(f"c{i}") for i, c in enumerate(rest)])
+    firsts = df.groupBy(*[named(k) for k in keys]).agg(F.min(row).alias("__row"))
+    spots = {c: F.col("__row").getField(f"c{i}") for i, c in enumerate(rest)}
+    return firsts.select(*[spots[c].alias(c) if c not in keys else named(c) for c in df.columns])
 
 
 def product_master(sheet: DataFrame, order: Sequence[str]) -> DataFrame:

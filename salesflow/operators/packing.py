@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from salesflow.functions import named
 from salesflow.functions.dates import month_key, month_label, month_start
@@ -15,113 +15,81 @@ PART_CAPACITY = 1_048_576 - 1
 SPLIT_DAYS = (15,)
 
 
-def month_ranges(months: DataFrame, split_days: Sequence[int] = SPLIT_DAYS) -> DataFrame:
-    """Day ranges of each month, cut behind the split days that lie inside it."""
-    last = F.day(F.last_day("month"))
-    cuts = F.filter(F.array(*[F.lit(d) for d in sorted(set(split_days))]), lambda d: (d > 0) & (d < last))
-    ends = F.concat(cuts, F.array(last))
-    starts = F.concat(F.array(F.lit(0)), cuts)
-    ranges = F.transform(
-        F.arrays_zip(starts.alias("lo"), ends.alias("hi")),
-        lambda r: F.struct(
-            F.date_add("month", r["lo"]).alias("range_lo"),
-            F.date_add("month", r["hi"] - 1).alias("range_hi"),
+def month_ranges(month: Column, split_days: Sequence[int] = SPLIT_DAYS) -> Column:
+    """Array of day ranges ``(lo, hi)`` of a month, cut behind the split days inside it."""
+    last = F.day(F.last_day(month))
+    days = F.array(*[F.lit(d) for d in sorted(set(split_days))]).cast("array<int>")
+    cuts = F.filter(days, lambda d: (d > 0) & (d < last))
+    bounds = F.arrays_zip(F.concat(F.array(F.lit(0)), cuts).alias("lo"), F.concat(cuts, F.array(last)).alias("hi"))
+    return F.transform(
+        bounds,
+        lambda b: F.struct(
+            F.date_add(month, b["lo"]).alias("lo"), F.date_add(month, b["hi"] - 1).alias("hi")
         ),
     )
-    return months.select("month", F.inline(ranges))
 
 
-def pack_days(counts: DataFrame, split_days: Sequence[int] = SPLIT_DAYS, cap: int = PART_CAPACITY) -> DataFrame:
-    """Parts of each month: ``month, part_no, lo, hi, rows, part_count``.
+def _filled(days: Column, lo: Column, hi: Column, cap: int) -> Column:
+    """Array of parts ``(lo, hi, rows)`` of one range, from its sorted day counts."""
+    empty = F.struct(lo.alias("lo"), hi.alias("hi"), F.lit(0).cast("long").alias("rows"))
 
-    ``counts`` has ``day`` and ``n``, one row a day. Each range above the cap is filled day
-    by day, a new part starting where the next day would not fit, which gives the fewest
-    parts; ranges within the cap stay whole, also when they are empty. Parts are numbered
-    over the month in date order. A single day above the cap is an error.
+    def add(parts: Column, day: Column) -> Column:
+        last, done = F.element_at(parts, -1), F.slice(parts, 1, F.size(parts) - 1)
+        total = last["rows"] + day["n"]
+        grown = F.struct(last["lo"].alias("lo"), last["hi"].alias("hi"), total.alias("rows"))
+        closed = F.struct(last["lo"].alias("lo"), F.date_sub(day["day"], 1).alias("hi"), last["rows"].alias("rows"))
+        opened = F.struct(day["day"].alias("lo"), last["hi"].alias("hi"), day["n"].alias("rows"))
+        full = (last["rows"] > 0) & (total > cap)
+        return F.when(full, F.concat(done, F.array(closed, opened))).otherwise(F.concat(done, F.array(grown)))
 
-    The fold runs over the at most 31 days of a range, as one expression per range.
-    """
-    months = counts.select(F.trunc("day", "month").alias("month")).distinct()
-    ranges = month_ranges(months, split_days)
-    lowest = (0, *sorted(set(split_days)))
-    # The range a day belongs to starts behind the last split day before it.
-    day_no = F.day("day")
-    start_no = F.greatest(
-        *[F.when((F.lit(d) < day_no) & (F.lit(d) < F.day(F.last_day("day"))), F.lit(d)) for d in lowest],
-        F.lit(0),
-    )
-    fitting = F.when(
-        F.col("n") > cap,
-        F.raise_error(F.concat(F.lit("more rows than one part holds on "), F.col("day").cast("string"))),
-    ).otherwise(F.col("n"))
-    days = (
-        counts.select(
-            F.date_add(F.trunc("day", "month"), start_no).alias("range_lo"),
-            F.struct(F.col("day"), fitting.cast("long").alias("n")).alias("d"),
+    return F.aggregate(days, F.array(empty), add)
+
+
+def online_parts(month: Column, days: Column, split_days: Sequence[int], cap: int) -> Column:
+    """Array of a month's online parts; a single day above the cap is an error."""
+    too_long = F.concat(F.lit("more rows than one part holds on "), F.get(F.filter(days, lambda d: d["n"] > cap), F.lit(0))["day"].cast("string"))
+    fitting = F.when(F.exists(days, lambda d: d["n"] > cap), F.raise_error(too_long).cast("array<struct<day:date,n:bigint>>")).otherwise(days)
+    return F.flatten(
+        F.transform(
+            month_ranges(month, split_days),
+            lambda r: _filled(F.filter(fitting, lambda d: d["day"].between(r["lo"], r["hi"])), r["lo"], r["hi"], cap),
         )
-        .groupBy("range_lo")
-        .agg(F.array_sort(F.collect_list("d")).alias("days"))
-    )
-    # Equal keys of two small aggregated tables: no range join.
-    filled = ranges.join(days, "range_lo", "left")
-    parts = filled.select("month", "range_lo", "range_hi", F.inline(_fold(cap)))
-    in_month = Window.partitionBy("month")
-    next_lo = F.lead("lo").over(Window.partitionBy("month", "range_lo").orderBy("lo"))
-    return parts.select(
-        "month",
-        F.row_number().over(in_month.orderBy("lo")).alias("part_no"),
-        "lo",
-        F.coalesce(F.date_sub(next_lo, 1), F.col("range_hi")).alias("hi"),
-        "rows",
-        F.count("*").over(in_month).alias("part_count"),
     )
 
 
-def _fold(cap: int) -> Column:
-    """Array of (lo, rows): the parts of one range, from its sorted day counts."""
-    day_list = F.coalesce(F.col("days"), F.expr("cast(array() as array<struct<day:date,n:bigint>>)"))
-    first = F.array(F.struct(F.col("range_lo").alias("lo"), F.lit(0).cast("long").alias("rows")))
+def offline_parts(month: Column, days: Column, cap: int) -> Column:
+    """Array of a month's one offline part; a month above the cap is an error."""
+    rows = F.aggregate(days, F.lit(0).cast("long"), lambda total, d: total + d["n"])
+    too_long = F.concat(F.lit("more offline rows than one part holds in "), month_key(month))
+    fitting = F.when(rows > cap, F.raise_error(too_long).cast("long")).otherwise(rows)
+    return F.array(F.struct(month.alias("lo"), F.last_day(month).alias("hi"), fitting.alias("rows")))
 
-    def step(parts: Column, day: Column) -> Column:
-        last = F.element_at(parts, -1)
-        done = F.slice(parts, 1, F.size(parts) - 1)
-        grown = F.struct(last["lo"].alias("lo"), (last["rows"] + day["n"]).alias("rows"))
-        opened = F.struct(day["day"].alias("lo"), day["n"].alias("rows"))
-        full = (last["rows"] > 0) & (last["rows"] + day["n"] > cap)
-        return F.when(full, F.concat(parts, F.array(opened))).otherwise(F.concat(done, F.array(grown)))
-
-    return F.aggregate(day_list, first, step)
 
+def _month_days(counts: DataFrame, *by: str) -> DataFrame:
+    """One row a month with its sorted day counts, at most 31."""
+    return counts.groupBy(*by, month_start("day").alias("month")).agg(
+        F.array_sort(F.collect_list(F.struct(F.col("day"), F.col("n").cast("long").alias("n")))).alias("days")
+    )
 
-def part_name(month: Column, part_no: Column, part_count: Column) -> Column:
-    """``2026 09 Sep Online``, with ``(n)`` when the month has several parts."""
-    number = F.when(part_count > 1, F.concat(F.lit(" ("), part_no.cast("string"), F.lit(")")))
-    return F.concat(month_label(month), F.lit(" Online"), F.coalesce(number, F.lit("")))
 
+def pack_days(counts: DataFrame, split_days: Sequence[int] = SPLIT_DAYS, cap: int = PART_CAPACITY) -> DataFrame:
+    """Parts of each month: ``month, part_no, lo, hi, rows, part_count``.
 
-def online_days(parts: DataFrame) -> DataFrame:
-    """The days of the online parts: ``day, sale_month, part_name``."""
-    return parts.select(
-        F.explode(F.sequence("lo", "hi")).alias("day"),
-        month_key("month").alias("sale_month"),
-        part_name(F.col("month"), F.col("part_no"), F.col("part_count")).alias("part_name"),
-    )
+    ``counts`` has ``day`` and ``n``, one row a day. Each range above the cap is filled day
+    by day, a new part starting where the next day would not fit, which gives the fewest
+    parts; ranges within the cap stay whole, also when they are empty. Parts are numbered
+    over the month in date order. A single day above the cap is an error.
+    """
+    months = _month_days(counts)
+    parts = months.select("month", online_parts(F.col("month"), F.col("days"), split_days, cap).alias("parts"))
+    numbered = parts.select("month", F.size("parts").alias("part_count"), F.posexplode("parts").alias("at", "part"))
+    return numbered.select("month", (F.col("at") + 1).alias("part_no"), "part.lo", "part.hi", "part.rows", "part_count")
 
 
-def offline_days(counts: DataFrame, cap: int = PART_CAPACITY) -> DataFrame:
-    """The days of the offline parts, one part a month; a month above the cap is an error."""
-    refused = F.raise_error(F.concat(F.lit("more offline rows than one part holds in "), F.col("sale_month")))
-    months = (
-        counts.groupBy(month_start("day").alias("month"))
-        .agg(F.sum("n").alias("n"), F.array_sort(F.collect_list("day")).alias("days"))
-        .withColumn("sale_month", month_key("month"))
-    )
-    name = F.concat(month_label("month"), F.lit(" Offline"))
-    return months.select(
-        F.explode("days").alias("day"),
-        "sale_month",
-        F.when(F.col("n") > cap, refused).otherwise(name).alias("part_name"),
-    )
+def part_name(side: Column, month: Column, part_no: Column, part_count: Column) -> Column:
+    """``2026 09 Sep Online``, with ``(n)`` when the side has several parts that month."""
+    number = F.when(part_count > 1, F.concat(F.lit(" ("), part_no.cast("string"), F.lit(")")))
+    return F.concat(month_label(month), F.lit(" "), side, F.coalesce(number, F.lit("")))
 
 
 def with_parts(
@@ -129,13 +97,19 @@ def with_parts(
 ) -> DataFrame:
     """Each row with its ``sale_month`` and ``part_name``; ``side`` says Online or Offline.
 
-    Rows are counted by side and day, and meet their part by equal day; the part table has
-    at most as many rows as the calendar has days, twice.
+    Rows are counted once by side and day. Parts are spread to their days, so rows meet them
+    by equal day in a table that has at most as many rows as the calendar has days, twice.
     """
     counts = rows.groupBy(named(side).alias("__side"), named(day).alias("day")).agg(F.count("*").alias("n"))
-    online = pack_days(counts.filter(F.col("__side") == "Online").drop("__side"), split_days, cap)
-    offline = offline_days(counts.filter(F.col("__side") == "Offline").drop("__side"), cap)
-    days = online_days(online).withColumn("__side", F.lit("Online")).unionByName(
-        offline.withColumn("__side", F.lit("Offline"))
+    month, days, of = F.col("month"), F.col("days"), F.col("__side")
+    parts = F.when(of == "Online", online_parts(month, days, split_days, cap)).otherwise(offline_parts(month, days, cap))
+    numbered = _month_days(counts, "__side").select("__side", "month", parts.alias("parts")).select(
+        "__side", "month", F.size("parts").alias("count"), F.posexplode("parts").alias("at", "part")
+    )
+    calendar = numbered.select(
+        "__side",
+        F.explode(F.sequence("part.lo", "part.hi")).alias("__day"),
+        month_key("month").alias("sale_month"),
+        part_name(of, month, F.col("at") + 1, F.col("count")).alias("part_name"),
     )
-    return lookup(rows, days, [(side, "__side"), (day, "day")], "inner", nulls_match=False)
+    return lookup(rows, calendar, [(side, "__side"), (day, "__day")], "inner", nulls_match=False)

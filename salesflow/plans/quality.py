@@ -8,12 +8,11 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from salesflow.functions import named
-from salesflow.functions.dates import month_start
 from salesflow.functions.numbers import percent_off
 from salesflow.functions.text import last_part, replace_first
 from salesflow.operators.compare import schema_changes, set_diff
 from salesflow.operators.filters import (
-    ITEM_TYPES, STALE_DAYS, any_differs, counted, sale_day, type_filter,
+    ITEM_TYPES, STALE_DAYS, any_differs, counted, month_bounds, sale_day, type_filter,
 )
 from salesflow.operators.joins import full_compare
 from salesflow.operators.summary import dominant_month, monthly_units, summarise
@@ -85,11 +84,14 @@ def release_compare(
 ) -> DataFrame:
     """A new month unit against the same month of the old table, per source.
 
-    The month is the one most new rows fall in. The old table is cut to it by an equal join
-    on a one-row table.
+    The month is the one most new rows fall in; it is found first, so that the scan of the
+    old table skips all other months.
     """
-    month = dominant_month(new, day).withColumnRenamed("month", "__month")
-    same = old.join(F.broadcast(month), month_start(day) == F.col("__month"), "left_semi")
+    month = dominant_month(new, day).first()["month"]
+    same = old.filter(F.lit(False))
+    if month is not None:
+        lo, hi = month_bounds(month.year, month.month)
+        same = old.filter((named(day) >= F.lit(lo)) & (named(day) < F.lit(hi + dt.timedelta(days=1))))
     both = full_compare(
         summarise(new, by, metrics), summarise(same, by, metrics), by, ["rows", *metrics], suffix
     )

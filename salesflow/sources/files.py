@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -62,37 +64,54 @@ def _clean_names(df: DataFrame) -> DataFrame:
     return df.toDF(*[c.strip().lstrip("﻿") for c in df.columns])
 
 
+def files_with_breaks(spark: SparkSession, paths: Sequence[str]) -> set[str]:
+    """Which CSV files may hold line breaks inside quoted cells.
+
+    A record cut by such a break leaves a line with an odd number of quotes.
+    """
+    lines = spark.read.text(list(paths))
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    odd = lines.filter(quotes % 2 == 1).select(F.col("_metadata.file_path")).distinct()
+    return {_without_scheme(unquote(row[0])) for row in odd.collect()}
+
+
+def _without_scheme(path: str) -> str:
+    # Listings and metadata put one slash or three behind the scheme.
+    return re.sub(r"^[A-Za-z0-9+.-]+:/+", "/", path)
+
+
 def read_text_csvs(
     spark: SparkSession, paths: Sequence[str], na_tokens: Sequence[str] = NA_TOKENS,
-    stem_col: str | None = None, multiline: bool = True, skip_empty: bool = False,
+    stem_col: str | None = None, skip_empty: bool = False,
 ) -> DataFrame:
     """CSV files as text, stacked by column name, "missing" texts as null.
 
     Headers may differ per file. Spark binds CSV columns by position, so files are read in
-    groups of equal headers. ``stem_col`` adds the file name up to its first ``_``. With
-    ``multiline`` off large files are split over tasks, for files known to have no line
-    breaks inside cells. ``skip_empty`` leaves out the columns of files without a row.
+    groups of equal headers. A file with line breaks inside cells is read by one task; all
+    others are split, so a single large file does not hold up the rest. ``stem_col`` adds
+    the file name up to its first ``_``; ``skip_empty`` leaves out the columns of files
+    without a row.
     """
-    reader = _csv(spark, ",", multiline)
+    broken = files_with_breaks(spark, paths)
 
-    def header_of(path: str) -> tuple[str, ...]:
-        table = reader.csv(path)
-        return () if skip_empty and table.isEmpty() else tuple(table.columns)
+    def shape_of(path: str) -> tuple[bool, tuple[str, ...]]:
+        multiline = _without_scheme(path) in broken
+        table = _csv(spark, ",", multiline).csv(path)
+        return multiline, () if skip_empty and table.isEmpty() else tuple(table.columns)
 
     # Only headers come to the driver.
     with ThreadPoolExecutor(16) as pool:
-        headers = list(pool.map(header_of, paths))
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for path, header in zip(paths, headers):
-        if header:
-            groups.setdefault(header, []).append(path)
+        shapes = list(pool.map(shape_of, paths))
+    groups: dict[tuple[bool, tuple[str, ...]], list[str]] = {}
+    for path, shape in zip(paths, shapes):
+        if shape[1]:
+            groups.setdefault(shape, []).append(path)
     if not groups:
         raise ValueError(f"no CSV with a header among {len(paths)} files")
     parts = []
-    for files in groups.values():
-        raw = reader.csv(files)
-        part = raw.select(*[na_to_null(c, na_tokens).alias(c) for c in raw.columns], *_stem(stem_col))
-        parts.append(part)
+    for (multiline, _), files in groups.items():
+        raw = _csv(spark, ",", multiline).csv(files)
+        parts.append(raw.select(*[na_to_null(c, na_tokens).alias(c) for c in raw.columns], *_stem(stem_col)))
     return union_relaxed(*parts)
 
 

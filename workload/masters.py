@@ -10,6 +10,8 @@ from salesflow.operators.masters import (
     area_master, channel_master, keep_first, lookup_fanout, place_master, postcode_master,
     product_master, standardise_places, unmatched_places,
 )
+from salesflow.session import new_folder
+from salesflow.sources.sinks import write_exceptions
 from workload import query
 from workload.standins import (
     AREA_SHEET, CHANNEL_SHEET, CITY_SHEET, MARKET_ORDERS, PLACE_ORDERS, POSTCODE_SHEET, PRODUCT_SHEET,
@@ -160,12 +162,20 @@ def city_standardise(spark, sf_dir):
     return standardise_places(PLACE_ORDERS.df(spark, sf_dir), places(spark, sf_dir))
 
 
-@query(
-    "unmatched_places",
-    f"""
+UNMATCHED_SQL = f"""
     SELECT DISTINCT {strip_sql('"Province"')} AS "Province", {strip_sql('"City"')} AS "City"
     FROM {FOUND_SQL} WHERE "ADM2_Standardized" IS NULL ORDER BY 1 NULLS LAST, 2 NULLS LAST
-    """,
-)
+    """
+
+
+@query("unmatched_places", UNMATCHED_SQL)
 def places_unmatched(spark, sf_dir):
     return unmatched_places(PLACE_ORDERS.df(spark, sf_dir), places(spark, sf_dir))
+
+
+@query("exceptions_file", UNMATCHED_SQL)
+def exceptions_file(spark, sf_dir):
+    """The unmatched places written as CSV and read back."""
+    path = new_folder(spark, "unmatched")
+    write_exceptions(places_unmatched(spark, sf_dir), path)
+    return spark.read.csv(path, header=True)

@@ -6,12 +6,11 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 
 from salesflow.functions import named
-from salesflow.functions.dates import month_key, month_start
-from salesflow.operators.masters import product_master_upper, marketplace_channels
+from salesflow.operators.masters import marketplace_channels, product_master_upper
 from salesflow.operators.packing import pack_days
 from salesflow.operators.shape import union_relaxed
 from salesflow.operators.summary import day_counts
-from salesflow.plans.coverage import coverage_sales
+from salesflow.plans.coverage import coverage_sales, write_coverage_sales
 from salesflow.plans.history import combined, save_months
 from salesflow.plans.marketplace import Masters, marketplace_month
 from salesflow.plans.sell_in import (
@@ -341,6 +340,24 @@ def coverage(spark, sf_dir):
     return dates_as_text(coverage_sales(HISTORY.df(spark, sf_dir), MARKET_FACTS.df(spark, sf_dir)))
 
 
+@query(
+    "coverage_written",
+    f"""
+    SELECT 'E-COMMERCE and GENERAL' AS part, (SELECT count(*) FROM {HISTORY.sql}) AS rows,
+           (SELECT count(*) FROM {HISTORY.sql}) + (SELECT count(*) FROM {MARKET_FACTS.sql}) AS written
+    UNION ALL SELECT 'ONLINE', (SELECT count(*) FROM {MARKET_FACTS.sql}),
+           (SELECT count(*) FROM {HISTORY.sql}) + (SELECT count(*) FROM {MARKET_FACTS.sql})
+    """,
+)
+def coverage_written(spark, sf_dir):
+    """The coverage table written in one pass that also counts it."""
+    path = new_folder(spark, "coverage")
+    written = write_coverage_sales(HISTORY.df(spark, sf_dir), MARKET_FACTS.df(spark, sf_dir), path)
+    part = F.when(F.col("Channel") == "ONLINE", F.lit("ONLINE")).otherwise(F.lit("E-COMMERCE and GENERAL"))
+    counts = spark.read.parquet(path).groupBy(part.alias("part")).agg(F.count("*").alias("rows"))
+    return counts.withColumn("written", F.lit(written).cast("long"))
+
+
 BOOK = (
     "case when o_orderkey % 50 = 0 then 'COPY-list.xlsx'"
     " else concat(cast(1 + o_custkey % 3 as string), '. Area Sell Through.xlsx') end"
