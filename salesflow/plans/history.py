@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -31,6 +32,21 @@ def combined(months: Sequence[DataFrame]) -> DataFrame:
     return stack_months(months, HISTORY_DATES)
 
 
+def read_history(spark: SparkSession, path: str) -> DataFrame:
+    """All saved months as one table, also where a month has columns that others lack.
+
+    Months of equal schema are read together.
+    """
+    folders = sorted({f.rsplit("/", 1)[0] for f in list_files(spark, path, ".parquet")})
+    with ThreadPoolExecutor(16) as pool:
+        schemas = list(pool.map(lambda f: spark.read.parquet(f).schema.json(), folders))
+    groups: dict[str, list[str]] = {}
+    for folder, schema in zip(folders, schemas):
+        groups.setdefault(schema, []).append(folder)
+    reader = spark.read.option("basePath", path)
+    return combined([reader.parquet(*same) for same in groups.values()])
+
+
 def seed_history(spark: SparkSession, folder: str, path: str, only: Sequence[str] = ()) -> None:
     """Turn a folder of month exports into month units, one per file name stem.
 

@@ -99,11 +99,16 @@ def release_compare(
     return both.withColumn("status", F.when(differs, F.lit("DIFF")).otherwise(F.lit("MATCH")))
 
 
-def _sided(new: DataFrame, old: DataFrame, col: str) -> DataFrame:
-    """One column of both tables, tagged, so that one pass yields figures of each side."""
-    return new.select(F.lit(True).alias("is_new"), named(col).alias("v")).unionByName(
-        old.select(F.lit(False).alias("is_new"), named(col).alias("v"))
-    )
+def _sided(new: DataFrame, old: DataFrame, col: str | None, kind: str) -> DataFrame:
+    """One column of both tables, tagged, so that one pass yields figures of each side.
+
+    A side without the column has nulls.
+    """
+    def side(df: DataFrame, is_new: bool) -> DataFrame:
+        value = named(col) if col in df.columns else F.lit(None)
+        return df.select(F.lit(is_new).alias("is_new"), value.cast(kind).alias("v"))
+
+    return side(new, True).unionByName(side(old, False))
 
 
 def _findings(figures: DataFrame, rules: Sequence[tuple[str, Column, Column]]) -> DataFrame:
@@ -119,18 +124,19 @@ def _findings(figures: DataFrame, rules: Sequence[tuple[str, Column, Column]]) -
 
 def promotion_check(
     new: DataFrame, old: DataFrame, allowed: Sequence[str] = (),
-    min_ratio: float = PROMOTION_ROWS, date_col: str = "SentOn",
+    min_ratio: float = PROMOTION_ROWS, date_col: str | None = "SentOn",
 ) -> DataFrame:
     """Reasons not to promote a table, one row per violated rule.
 
-    Unexpected or dropped columns, too few rows, or a newest date that went backwards.
+    Unexpected or dropped columns, too few rows, or a newest date that went backwards. The
+    date check needs the column on both sides.
     """
-    is_new = F.col("is_new")
-    figures = _sided(new, old, date_col).agg(
+    is_new, day = F.col("is_new"), F.col("v")
+    figures = _sided(new, old, date_col, "date").agg(
         F.count_if(is_new).alias("new_rows"),
         F.count_if(~is_new).alias("old_rows"),
-        F.max(F.when(is_new, F.col("v"))).cast("date").alias("new_max"),
-        F.max(F.when(~is_new, F.col("v"))).cast("date").alias("old_max"),
+        F.max(F.when(is_new, day)).alias("new_max"),
+        F.max(F.when(~is_new, day)).alias("old_max"),
     )
     rules = [
         (kind, F.lit(True), F.lit(column))
@@ -151,14 +157,14 @@ def compile_check(
     """Reasons not to publish a compiled table, one row per violated rule.
 
     Source files missing or new, columns that differ or moved, too few rows, or too few
-    rows with a date.
+    rows with a date; a table without rows or without the date column has too few.
     """
     files = set_diff(old, new, file_col).select(
         F.concat(F.lit("file "), F.col("side")).alias("rule"), named(file_col).alias("detail")
     )
     is_new = F.col("is_new")
-    filled = F.coalesce(F.col("v").cast("string") != "", F.lit(False))
-    figures = _sided(new, old, date_col).agg(
+    filled = F.coalesce(F.col("v") != "", F.lit(False))
+    figures = _sided(new, old, date_col, "string").agg(
         F.count_if(is_new).alias("new_rows"),
         F.count_if(~is_new).alias("old_rows"),
         F.count_if(is_new & filled).alias("dated"),
@@ -166,7 +172,7 @@ def compile_check(
     rules = [
         ("columns", F.lit(new.columns != old.columns), F.lit(",".join(new.columns))),
         ("rows", F.col("new_rows") < F.col("old_rows") * min_ratio, F.col("new_rows")),
-        ("dates", F.col("dated") < F.col("new_rows") * min_dates, F.col("dated")),
+        ("dates", (F.col("new_rows") == 0) | (F.col("dated") < F.col("new_rows") * min_dates), F.col("dated")),
     ]
     return files.unionByName(_findings(figures, rules))
 

@@ -39,5 +39,4 @@ def compile_sheets(grid: DataFrame, blank_as_text: bool = False) -> DataFrame:
         elif blank_as_text:
             text = F.coalesce(text, F.lit("nan"))
         cols.append(text.alias(name))
-    lineage = [clean_text(name).alias(name) for name in ("SourceFile", "SheetName")]
-    return rows.select(*cols, *lineage)
+    return rows.select(*cols)

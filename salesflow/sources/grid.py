@@ -17,6 +17,7 @@ from salesflow.operators.joins import lookup
 
 EXCLUDED_SHEETS = ("master_data",)
 SHEET_KEYS = ["source_file", "sheet"]
+LINEAGE = ["SourceFile", "SheetName"]
 
 
 def visible_sheets(grid: DataFrame, excluded: Sequence[str] = EXCLUDED_SHEETS) -> DataFrame:
@@ -65,8 +66,9 @@ def sheet_headers(grid: DataFrame) -> DataFrame:
     )
 
 
-def column_names(headers: DataFrame) -> list[str]:
-    """All header names in first-seen order over files, sheets and positions.
+def column_names(headers: DataFrame) -> tuple[list[str], int]:
+    """Header names in first-seen order over files, sheets and positions, and how many of
+    them the first sheet has.
 
     Reduced to one row per name before it reaches the driver; ``Unnamed:`` columns are out.
     """
@@ -79,7 +81,8 @@ def column_names(headers: DataFrame) -> list[str]:
         .orderBy("first")
         .collect()
     )
-    return [row["name"] for row in rows]
+    opening = [row for row in rows if row["first"][:2] == rows[0]["first"][:2]]
+    return [row["name"] for row in rows], len(opening)
 
 
 def number_mark(name: str) -> str:
@@ -87,15 +90,22 @@ def number_mark(name: str) -> str:
     return f"{name}__is_number"
 
 
+def one_sheet(grid: DataFrame, sheet: str) -> DataFrame:
+    return grid.filter(F.col("sheet") == sheet)
+
+
 def stack_sheets(grid: DataFrame) -> tuple[DataFrame, list[str]]:
-    """All sheets as one table of cell texts, matched by header name, and the header names.
+    """All sheets as one table of cell texts, matched by header name, and the column order.
+
+    In the order, file and sheet name stand behind the columns of the first sheet; columns
+    that only later sheets have come after them.
 
     The grid is read once: every sheet's header becomes a list of cell positions, looked up
     by sheet, so that a column is one array access whatever order a sheet keeps. Each column
     has a ``number_mark`` column beside it.
     """
     headers = sheet_headers(grid)
-    names = column_names(headers)
+    names, opening = column_names(headers)
     spots = F.array(*[F.array_position("header", F.lit(n)).cast("int") - 1 for n in names])
     placed = lookup(
         grid.filter(F.col("row_no") > 0), headers.select(*SHEET_KEYS, spots.alias("__spots")), SHEET_KEYS
@@ -108,4 +118,5 @@ def stack_sheets(grid: DataFrame) -> tuple[DataFrame, list[str]]:
         at = F.col(f"__at_{i}")
         number = F.get("cell_types", at).isin("int", "float")
         cols += [cell(at).alias(name), F.coalesce(number, F.lit(False)).alias(number_mark(name))]
-    return placed.select(*cols, named("source_file").alias("SourceFile"), named("sheet").alias("SheetName")), names
+    lineage = [named("source_file").alias(LINEAGE[0]), named("sheet").alias(LINEAGE[1])]
+    return placed.select(*cols, *lineage), [*names[:opening], *LINEAGE, *names[opening:]]

@@ -159,6 +159,7 @@ def test_promotion_check(spark):
     )
     empty = old.filter("b = 2")
     assert {r["rule"] for r in promotion_check(empty, old).collect()} == {"rows"}
+    assert promotion_check(old.drop("SentOn"), old.drop("SentOn"), date_col=None).count() == 0
 
 
 def test_compile_check(spark):
@@ -166,6 +167,8 @@ def test_compile_check(spark):
     assert compile_check(old, old).count() == 0
     new = old.filter("SourceFile = '1'").select(F.when(F.rand(1) < 2, F.lit("")).alias("Date"), F.lit("9").alias("SourceFile"))
     assert {r["rule"] for r in compile_check(new, old).collect()} == {"file missing", "file new", "columns", "rows", "dates"}
+    undated = old.drop("Date")
+    assert {r["rule"] for r in compile_check(undated, undated).collect()} == {"dates"}
 
 
 NOW = dt.datetime(2026, 9, 9, 12)

@@ -5,7 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from salesflow.plans.coverage import coverage_orders
-from salesflow.plans.history import combined, save_months, seed_history
+from salesflow.plans.history import combined, read_history, save_months, seed_history
+from salesflow.plans.master_data import market_masters, report_masters
 from salesflow.plans.sell_through import compile_sheets
 from salesflow.operators.filters import quarter_scope, sale_window, source_tags
 from salesflow.sources.files import list_files, read_delimited_master, read_facts, read_text_csvs, select_files
@@ -110,11 +111,11 @@ def test_compile_sheets(spark):
     grid = spark.createDataFrame(data, GRID)
     assert visible_sheets(grid).select("sheet").distinct().count() == 1
     out = compile_sheets(grid)
-    assert out.columns == ["KLASIFIKASI OUTLET", "Date", "Total", "Date.1", "Quantity", "SourceFile", "SheetName"]
+    assert out.columns == ["KLASIFIKASI OUTLET", "Date", "Total", "Date.1", "SourceFile", "SheetName", "Quantity"]
     a, b = "1. A Sell Through.xlsx", "2. B Sell Through.xlsx"
     assert rows(out) == Counter([
-        ("a b", "2024-11-01", 12.0, "x", None, a, "S"), ("", "2026-10-13", 0.0, None, None, a, "S"),
-        ("c", "2026-01-02", 0.0, None, "5", b, "S"), (None, "", 0.0, None, None, b, "S"),
+        ("a b", "2024-11-01", 12.0, "x", a, "S", None), ("", "2026-10-13", 0.0, None, a, "S", None),
+        ("c", "2026-01-02", 0.0, None, b, "S", "5"), (None, "", 0.0, None, b, "S", None),
     ])
     assert "nan" in {r["KLASIFIKASI OUTLET"] for r in compile_sheets(grid, blank_as_text=True).collect()}
 
@@ -126,7 +127,11 @@ def test_months_replace_only_themselves(spark, tmp_path):
     save_months(spark.sql("SELECT 'c' AS NoPesanan, '2026-09-02' AS SentOn, '3.9' AS Quantity, 'x' AS extra"), path)
     months = [spark.read.parquet(f"{path}/sale_month={m}") for m in ("2026-08", "2026-09")]
     out = combined(months)
-    assert rows(out.select("NoPesanan", "Quantity", "City", "extra")) == Counter([("a", 1, "", None), ("c", 3, "", "x")])
+    expected = Counter([("a", 1, "", None), ("c", 3, "", "x")])
+    assert rows(out.select("NoPesanan", "Quantity", "City", "extra")) == expected
+    stacked = read_history(spark, path)
+    assert rows(stacked.select("NoPesanan", "Quantity", "City", "extra")) == expected
+    assert {r["sale_month"] for r in stacked.collect()} == {"2026-08", "2026-09"}
 
 
 def test_report_parts_replace_the_month(spark, tmp_path):
@@ -176,3 +181,29 @@ def test_write_union_counts_and_facts_prune(spark, tmp_path):
     with pytest.raises(ValueError):
         read_facts(spark, path, ["gone"])
     write_exceptions(spark.sql("SELECT cast(null AS string) AS a, 'b' AS b"), str(tmp_path / "e"))
+
+
+def test_masters_from_the_workbook(spark):
+    t = "text"
+
+    def plain(name, *lines):
+        return [("m.xlsx", name, 0, "visible", i, c, [t if v else "empty" for v in c]) for i, c in enumerate(lines)]
+
+    heading = [["", "Products"], [""], ["No", "ItemName", "Brand", "Category", "Sub Category", "Variant", "Product Name", "Type of Item"]]
+    grid = spark.createDataFrame(
+        [
+            *plain("Product", *heading, ["1", "Tea", "b", "c", "s", "v", "p", "Reguler"], ["2", "Tea", "b2", "c", "s", "v", "p"]),
+            *plain("Area", [], [], [], [], [""], ["", "Bandung", "R1", "WEST"], ["", "x", "R0", "0"], ["", "y", "R2", "WEST"]),
+            *plain("Channel", ["Sub Channel", "SalesType", "Channel Group", "Channel", "SubSalesType"], ["s", " SHOP ", "ONLINE", "E", ""]),
+            *plain("Kode Pos", ["Kode Pos", "Area Level 1", "Area Level 2"], [" 10 ", "P", "C"], ["", "P", "C"]),
+        ],
+        GRID,
+    )
+    product, area, channel = report_masters(grid)
+    assert rows(product.select("ItemName", "Brand", "Type of Item")) == Counter([("TEA", "b", "Reguler")])
+    assert rows(area) == Counter([("WEST", "R1")])
+    assert rows(channel) == Counter([(" SHOP ", None, "ONLINE", "E", "s")])
+    market = market_masters(grid)
+    assert rows(market.postcode) == Counter([("10", "P", "C")])
+    assert rows(market.channel.select("SalesType")) == Counter([("SHOP",)])
+    assert rows(market.product.select("Brand", "Type of Item")) == Counter([("B", "REGULER"), ("B2", None)])
