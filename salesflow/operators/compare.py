@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import FractionalType, StringType, StructField, StructType
 
 from salesflow.functions import named
 from salesflow.functions.text import to_text
@@ -52,13 +52,21 @@ def schema_diff(old: DataFrame, new: DataFrame, allowed: Sequence[str] = ()) ->
     return old.sparkSession.createDataFrame(schema_changes(old, new, allowed), schema)
 
 
-def _shared_texts(a: DataFrame, b: DataFrame) -> tuple[DataFrame, DataFrame, list[str]]:
+def _comparable(a: DataFrame, b: DataFrame) -> tuple[DataFrame, DataFrame, list[str]]:
+    """The shared columns, as text where the sides differ in type or hold fractions.
+
+    Values of one other type are equal exactly when their texts are, and are narrower.
+    """
     cols = sorted(set(a.columns) & set(b.columns))
-    return (
-        a.select(*[to_text(a, c).alias(c) for c in cols]),
-        b.select(*[to_text(b, c).alias(c) for c in cols]),
-        cols,
-    )
+
+    def as_is(name: str) -> bool:
+        kind = a.schema[name].dataType
+        return kind == b.schema[name].dataType and not isinstance(kind, FractionalType)
+
+    def side(df: DataFrame) -> DataFrame:
+        return df.select(*[named(c) if as_is(c) else to_text(df, c).alias(c) for c in cols])
+
+    return side(a), side(b), cols
 
 
 def multiset_compare(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -67,19 +75,20 @@ def multiset_compare(a: DataFrame, b: DataFrame) -> DataFrame:
     Empty means equal whatever the order. Both sides go through one grouped count, so copies
     are counted before the shuffle and no join is needed.
     """
-    left, right, cols = _shared_texts(a, b)
-    return (
+    left, right, cols = _comparable(a, b)
+    uneven = (
         _both(left, right)
         .groupBy(*[named(c) for c in cols])
         .agg(F.sum("__a").alias("a_rows"), F.sum("__b").alias("b_rows"))
         .filter(F.col("a_rows") != F.col("b_rows"))
     )
+    return uneven.select(*[to_text(uneven, c).alias(c) for c in cols], "a_rows", "b_rows")
 
 
 def differing_columns(a: DataFrame, b: DataFrame) -> DataFrame:
     """Shared columns whose values, taken alone, are not the same multiset on both sides."""
-    left, right, cols = _shared_texts(a, b)
-    pairs = F.array(*[F.struct(F.lit(c).alias("column"), named(c).alias("value")) for c in cols])
+    left, right, cols = _comparable(a, b)
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), to_text(left, c).alias("value")) for c in cols])
     values = _both(left, right).select(F.inline(pairs), "__a", "__b")
     uneven = (
         values.groupBy("column", "value")

@@ -24,8 +24,8 @@ from salesflow.functions.text import blank_to
 HOT_SHARE = 0.005
 # Keys the frequency sketch tracks; its counts are off by far less than the share.
 SKETCH_ITEMS = 10_000
-# Plan steps that can leave less of a table than its files suggest.
-SHRINKING = {"Aggregate", "Distinct", "Filter", "GlobalLimit", "Join"}
+# Plan steps behind which the estimate is far too high, or, for rows the driver made, none.
+OVERESTIMATED = {"Aggregate", "Distinct", "Filter", "GlobalLimit", "Join", "LogicalRDD"}
 # Plan steps that make a table dearer to compute than to read.
 COSTLY = {"Aggregate", "Distinct", "Generate", "Join", "Sort", "Window"}
 MISSING = "-"
@@ -75,7 +75,7 @@ def fits_broadcast(df: DataFrame) -> bool:
         return False
     if planned_bytes(df) <= limit:
         return True
-    return bool(SHRINKING & _steps(_optimized(df))) and measured_bytes(df) <= limit
+    return bool(OVERESTIMATED & _steps(_optimized(df))) and measured_bytes(df) <= limit
 
 
 def _matches(

@@ -38,12 +38,13 @@ def sales_type(marketplace: Column | str) -> Column:
 
 def marketplace_month(
     orders: DataFrame, masters: Masters, year: int, month: int, as_of: dt.date,
-    scope: str = "all", stale_days: int = STALE_DAYS,
+    scope: str = "all", stale_days: int = STALE_DAYS, list_sources: int | None = 1000,
 ) -> DataFrame:
     """The month's counted order lines with place, channel and product, in 18 columns.
 
-    ``scope`` is ``all`` source files, or those of the month's ``quarter``. The date window
-    comes first: it is the filter the scan understands.
+    ``scope`` is ``all`` source files, or those of the month's ``quarter``; for the latter up
+    to ``list_sources`` file names are listed first, so that the scan skips all others (pass
+    None for orders stored by source). The date window too is a filter the scan understands.
     """
     require_columns(orders, ORDER_COLUMNS, "The sale date is SentOn, else CreatedOn.")
     if scope not in ("all", "quarter"):
@@ -51,7 +52,7 @@ def marketplace_month(
     lo, hi = month_bounds(year, month)
     lines = orders.select(*[named(c) for c in ORDER_COLUMNS])
     if scope == "quarter":
-        lines = quarter_scope(lines, "Source", year, month)
+        lines = quarter_scope(lines, "Source", year, month, list_sources)
     lines = lines.filter(sale_window("SentOn", "CreatedOn", lo, hi + dt.timedelta(days=1)))
     lines = lines.filter(counted(strip("Order Status"), sale_day("SentOn", "CreatedOn"), as_of, stale_days))
     lines = lines.select(

@@ -63,6 +63,33 @@ def test_oversize_master_splits_off_the_hot_keys(facts, master, broadcast_below)
     assert rows(plan) == brute(facts, one, ["k"])
 
 
+def test_rows_made_by_the_driver_are_measured(spark):
+    assert fits_broadcast(spark.createDataFrame([(1, "a")], "k int, v string"))
+
+
+def test_adaptive_execution_splits_null_safe_lookups(spark, facts, master, broadcast_below):
+    """Facts behind a join: the hot and the null key are split when the join runs."""
+    broadcast_below(-1)
+    sizes = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4KB",
+    }
+    before = {key: spark.conf.get(key) for key in sizes}
+    many = facts.join(spark.range(60_000).select((F.col("id") % 3000).alias("id"), F.uuid().alias("payload")), "id")
+    one = master.filter("k2 = '0' AND name <> 'again'").drop("k2")
+    try:
+        for key, value in sizes.items():
+            spark.conf.set(key, value)
+        out = lookup(many, one, ["k"])
+        assert len(out.collect()) == 60_000
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin(skew=true)" in plan
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
 def test_no_hot_keys_no_split(spark):
     assert hot_keys(spark.range(5000).withColumnRenamed("id", "k"), ["k"]) == []
 
