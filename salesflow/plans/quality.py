@@ -231,14 +231,14 @@ def build_decision(
         F.coalesce(F.bool_or(F.col("newer") & (F.col("dataset") == hourly)), F.lit(False)).alias("hourly_newer"),
     )
     recent = F.lit(age is not None and age < rebuild_gap)
-    go = "inputs fresh and newer than the last build"
+    go = "ready: something new and nothing stale"
     if running:
-        go = f"{', '.join(running)} still running; building from the last finished outputs"
+        go = f"ready: last finished inputs, though {', '.join(running)} is loading"
     reason = (
-        F.when(F.lit(waiting), F.lit(f"waiting for {', '.join(running)} to finish"))
-        .when(F.col("stale") != "", F.concat(F.lit("waiting for a fresh "), F.col("stale")))
-        .when(~F.col("newer"), F.lit("already built after the latest inputs"))
-        .when(~F.col("hourly_newer") & recent, F.lit("built recently; only slower inputs changed"))
+        F.when(F.lit(waiting), F.lit(f"wait: {', '.join(running)} is loading"))
+        .when(F.col("stale") != "", F.concat(F.lit("wait: stale "), F.col("stale")))
+        .when(~F.col("newer"), F.lit("skip: nothing new"))
+        .when(~F.col("hourly_newer") & recent, F.lit("skip: built lately and only slower inputs are new"))
         .otherwise(F.lit(go))
     )
     return facts.select((reason == go).alias("run"), reason.alias("reason"))

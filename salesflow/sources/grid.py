@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from salesflow.functions import named
 from salesflow.functions.text import cell_text, strip
 from salesflow.operators.joins import lookup
+from salesflow.session import staged
 
 EXCLUDED_SHEETS = ("master_data",)
 SHEET_KEYS = ["source_file", "sheet"]
@@ -100,11 +101,12 @@ def stack_sheets(grid: DataFrame) -> tuple[DataFrame, list[str]]:
     In the order, file and sheet name stand behind the columns of the first sheet; columns
     that only later sheets have come after them.
 
-    The grid is read once: every sheet's header becomes a list of cell positions, looked up
-    by sheet, so that a column is one array access whatever order a sheet keeps. Each column
-    has a ``number_mark`` column beside it.
+    The grid is read once for the headers, which are written aside, and once for the rows:
+    every sheet's header becomes a list of cell positions, looked up by sheet, so that a
+    column is one array access whatever order a sheet keeps. Each column has a
+    ``number_mark`` column beside it.
     """
-    headers = sheet_headers(grid)
+    headers = staged(sheet_headers(grid), "headers")
     names, opening = column_names(headers)
     spots = F.array(*[F.array_position("header", F.lit(n)).cast("int") - 1 for n in names])
     placed = lookup(

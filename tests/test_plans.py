@@ -184,12 +184,12 @@ def decide(spark, updates, last, **more):
 
 def test_freshness_and_decision(spark):
     hours = dt.timedelta(hours=1)
-    assert decide(spark, {"erp": 1, "market": 1}, None) == (True, "inputs fresh and newer than the last build")
-    assert decide(spark, {"erp": 4, "market": 1}, NOW - 9 * hours) == (False, "waiting for a fresh erp")
-    assert decide(spark, {"erp": 1}, None) == (False, "waiting for a fresh market")
+    assert decide(spark, {"erp": 1, "market": 1}, None) == (True, "ready: something new and nothing stale")
+    assert decide(spark, {"erp": 4, "market": 1}, NOW - 9 * hours) == (False, "wait: stale erp")
+    assert decide(spark, {"erp": 1}, None) == (False, "wait: stale market")
     assert decide(spark, {"erp": 2, "market": 2}, NOW - hours)[0] is False
-    assert decide(spark, {"erp": 0.2, "market": 5}, NOW - hours / 2) == (False, "built recently; only slower inputs changed")
-    assert decide(spark, {"erp": 5, "market": 0.2}, NOW - hours / 2) == (False, "waiting for a fresh erp")
+    assert decide(spark, {"erp": 0.2, "market": 5}, NOW - hours / 2) == (False, "skip: built lately and only slower inputs are new")
+    assert decide(spark, {"erp": 5, "market": 0.2}, NOW - hours / 2) == (False, "wait: stale erp")
     assert decide(spark, {"erp": 1, "market": 0.2}, NOW - hours / 2)[0] is True
-    assert decide(spark, {"erp": 1, "market": 1}, NOW - hours / 2, running=["erp"])[1] == "waiting for erp to finish"
+    assert decide(spark, {"erp": 1, "market": 1}, NOW - hours / 2, running=["erp"])[1] == "wait: erp is loading"
     assert decide(spark, {"erp": 1, "market": 1}, NOW - 3 * hours, running=["erp"])[0] is True

@@ -311,9 +311,9 @@ def freshness_query(spark, sf_dir):
     WITH s AS (SELECT string_agg(dataset, ', ' ORDER BY dataset) FILTER (
                    WHERE coalesce(newest + to_seconds(age) < TIMESTAMP '{NOW}', true)) AS stale,
                    bool_or(newest > TIMESTAMP '{LAST_OUTPUT}') AS newer FROM {FRESH_SQL})
-    SELECT stale IS NULL AND newer AS run, CASE WHEN stale IS NOT NULL THEN 'waiting for a fresh ' || stale
-        WHEN NOT newer THEN 'already built after the latest inputs'
-        ELSE 'inputs fresh and newer than the last build' END AS reason FROM s
+    SELECT stale IS NULL AND newer AS run, CASE WHEN stale IS NOT NULL THEN 'wait: stale ' || stale
+        WHEN NOT newer THEN 'skip: nothing new'
+        ELSE 'ready: something new and nothing stale' END AS reason FROM s
     """,
 )
 def decision(spark, sf_dir):
