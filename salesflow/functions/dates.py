@@ -10,22 +10,21 @@ from pyspark.sql.types import DateType, StringType, TimestampNTZType, TimestampT
 from salesflow.functions import as_column, named
 from salesflow.functions.text import strip
 
-# Accepted text layouts: a guard for the shape, and Spark's pattern with optional sections.
-DAY_FIRST = (r"^\d{1,2}/\d{1,2}/\d{4}$", "d/M/yyyy")
-ANY_LAYOUT = (
-    r"^(\d{4}-\d{1,2}-\d{1,2}( \d{1,2}:\d{1,2}:\d{1,2})?|\d{1,2}/\d{1,2}/\d{4})$",
-    "[yyyy-M-d[ H:m:s]][d/M/yyyy]",
-)
+# Accepted text layouts. Ranges are in the pattern, so that bad text fails cheaply.
+_YEAR, _MONTH, _DAY = r"\d{4}", r"(?:0?[1-9]|1[0-2])", r"(?:0?[1-9]|[12]\d|3[01])"
+_TIME = r"(?:[01]?\d|2[0-3]):[0-5]?\d:[0-5]?\d"
+DAY_FIRST = f"^({_DAY})/({_MONTH})/({_YEAR})$"
+ISO_OR_DAY_FIRST = f"^{_YEAR}-{_MONTH}-{_DAY}( {_TIME})?$|{DAY_FIRST}"
 
 # Spreadsheet serial numbers read as dates, and the day that serial 0 stands for.
 SERIAL_MIN, SERIAL_MAX = 36526, 60000
 SERIAL_ORIGIN = dt.date(1899, 12, 30)
 
 
-def _text_date(text: Column, layout: tuple[str, str]) -> Column:
-    # The guard keeps out over-long numbers that a lenient pattern letter would take.
-    shape, pattern = layout
-    return F.when(text.rlike(shape), F.try_to_timestamp(text, F.lit(pattern)).cast("date"))
+def _text_date(text: Column, shape: str) -> Column:
+    # Day-first text is turned round; the cast reads the day in front of a time.
+    iso = F.regexp_replace(text, DAY_FIRST, "$3-$2-$1")
+    return F.when(text.rlike(shape), iso.try_cast("date"))
 
 
 def parse_date(col: Column | str) -> Column:
@@ -33,7 +32,7 @@ def parse_date(col: Column | str) -> Column:
 
     The text is named only twice, since filters on the date are pushed below and copy it.
     """
-    return _text_date(as_column(col), ANY_LAYOUT)
+    return _text_date(as_column(col), ISO_OR_DAY_FIRST)
 
 
 def dates_in(df: DataFrame, *names: str) -> DataFrame:

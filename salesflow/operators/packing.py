@@ -47,12 +47,16 @@ def _filled(days: Column, lo: Column, hi: Column, cap: int) -> Column:
 
 def online_parts(month: Column, days: Column, split_days: Sequence[int], cap: int) -> Column:
     """Array of a month's online parts; a single day above the cap is an error."""
-    too_long = F.concat(F.lit("more rows than one part holds on "), F.get(F.filter(days, lambda d: d["n"] > cap), F.lit(0))["day"].cast("string"))
-    fitting = F.when(F.exists(days, lambda d: d["n"] > cap), F.raise_error(too_long).cast("array<struct<day:date,n:bigint>>")).otherwise(days)
+    above = F.filter(days, lambda d: d["n"] > cap)
+    day = F.get(above, F.lit(0))["day"].cast("string")
+    refused = F.raise_error(F.concat(F.lit("more rows than one part holds on "), day))
+    fitting = F.when(F.size(above) > 0, refused.cast("array<struct<day:date,n:bigint>>")).otherwise(days)
     return F.flatten(
         F.transform(
             month_ranges(month, split_days),
-            lambda r: _filled(F.filter(fitting, lambda d: d["day"].between(r["lo"], r["hi"])), r["lo"], r["hi"], cap),
+            lambda r: _filled(
+                F.filter(fitting, lambda d: d["day"].between(r["lo"], r["hi"])), r["lo"], r["hi"], cap
+            ),
         )
     )
 
@@ -82,8 +86,11 @@ def pack_days(counts: DataFrame, split_days: Sequence[int] = SPLIT_DAYS, cap: in
     """
     months = _month_days(counts)
     parts = months.select("month", online_parts(F.col("month"), F.col("days"), split_days, cap).alias("parts"))
-    numbered = parts.select("month", F.size("parts").alias("part_count"), F.posexplode("parts").alias("at", "part"))
-    return numbered.select("month", (F.col("at") + 1).alias("part_no"), "part.lo", "part.hi", "part.rows", "part_count")
+    numbered = parts.select(
+        "month", F.size("parts").cast("long").alias("part_count"), F.posexplode("parts").alias("at", "part")
+    )
+    part_no = (F.col("at") + 1).cast("long").alias("part_no")
+    return numbered.select("month", part_no, "part.lo", "part.hi", "part.rows", "part_count")
 
 
 def part_name(side: Column, month: Column, part_no: Column, part_count: Column) -> Column:

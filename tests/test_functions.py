@@ -20,11 +20,12 @@ def apply(spark, kind, make, values):
 def test_parse_date_takes_three_layouts_and_nothing_else(spark):
     texts = [
         "2026-09-01 10:11:12", "2026-09-01", "13/10/2026", "3/1/2026", "99/99/2026", "2026-02-30", "2026-01-02 10:11",
-        "1/2/26", "2026-001-01", "", "x", None,
+        "1/2/26", "2026-001-01", "", "x", None, "2026-01-02 25:00:00", "29/2/2024", "29/2/2023", "2026-1-2 3:4:5",
     ]
     d = dt.date
     assert apply(spark, "string", parse_date, texts) == [
         d(2026, 9, 1), d(2026, 9, 1), d(2026, 10, 13), d(2026, 1, 3), None, None, None, None, None, None, None, None,
+        None, d(2024, 2, 29), None, d(2026, 1, 2),
     ]
 
 
