@@ -3,6 +3,8 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
+from salesflow.plans.chain import build_months
+from salesflow.plans.history import read_history
 from salesflow.plans.marketplace import Masters, marketplace_month
 from salesflow.plans.quality import (
     build_decision, compile_check, expected_units, freshness, promotion_check, release_compare, units_guard,
@@ -77,7 +79,7 @@ def test_offline_base_matches_null_keys_and_multiplies(spark):
     assert {(r["Region"], r["Brand"]) for r in out.collect()} == {("Nowhere", "b"), ("Nowhere", "bn"), ("East", "b")}
 
 
-def market(spark, as_of=dt.date(2026, 9, 30), scope="all"):
+def market_inputs(spark):
     orders = spark.sql("""
         SELECT src AS Source, mp AS Marketplace, timestamp_ntz'2026-09-01 09:00:00' AS CreatedOn, sent AS SentOn,
                no AS `Order Number`, item AS `Item Name`, st AS `Order Status`, pc AS `Shipping Postcode`,
@@ -96,7 +98,11 @@ def market(spark, as_of=dt.date(2026, 9, 30), scope="all"):
         spark.sql("SELECT * FROM VALUES ('ONLINE','SHOP','E','S1'), ('ONLINE','SHOP','E','S2') AS t(`Channel Group`, SalesType, Channel, `Sub Channel`)"),
         spark.sql("SELECT * FROM VALUES ('TEA','B','C','S','V','P','REGULER'), ('GIFT','B','C','S','V','P','BONUS'), (null,'BN','C','S','V','P',null) AS t(ItemName, Brand, Category, SubCategory, Variant, `Product Name`, `Type of Item`)"),
     )
-    return marketplace_month(orders, masters, 2026, 9, as_of, scope)
+    return orders, masters
+
+
+def market(spark, as_of=dt.date(2026, 9, 30), scope="all"):
+    return marketplace_month(*market_inputs(spark), 2026, 9, as_of, scope)
 
 
 def test_marketplace_month(spark):
@@ -126,6 +132,27 @@ def test_month_rows_and_report(spark):
     assert names == Counter({"2026 09 Sep Offline": 6, "2026 09 Sep Online (2)": 3})
 
 
+def test_build_months_rebuilds_only_what_it_is_given(spark, tmp_path):
+    report, history = str(tmp_path / "report"), str(tmp_path / "history")
+    orders, masters = market_inputs(spark)
+
+    def build(months, source):
+        build_months(base(spark), orders, masters, months, dt.date(2026, 10, 31), source, report, history)
+
+    build([(2026, 9), (2026, 10)], "first")
+    build([(2026, 10)], "second")
+    parts = spark.read.parquet(report)
+    # By the end of October the order that was too young counts too.
+    assert Counter(r["part_name"] for r in parts.collect()) == Counter(
+        {"2026 09 Sep Offline": 6, "2026 09 Sep Online (2)": 5, "2026 10 Oct Online (1)": 2}
+    )
+    stacked = read_history(spark, history)
+    assert set(REPORT_COLUMNS) <= set(stacked.columns)
+    found = Counter((r["sale_month"], r["ReportSource"]) for r in stacked.filter("Channel = 'E'").collect())
+    assert found == Counter({("2026-09", "FIRST"): 4, ("2026-10", "SECOND"): 2})
+    assert {r["Revenue"] for r in stacked.collect()} == {0, 9}
+
+
 def test_expected_units_drop_null_types_and_use_the_last_part(spark):
     orders = spark.sql("""
         SELECT mp AS Marketplace, st AS `Order Status`, timestamp_ntz'2026-09-01 00:00:00' AS CreatedOn,
