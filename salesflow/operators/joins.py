@@ -15,7 +15,7 @@ from functools import reduce
 from operator import add, and_
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import BinaryType, StringType
+from pyspark.sql.types import BinaryType, DataType, FractionalType, IntegralType, StringType
 
 from salesflow.functions import named
 from salesflow.functions.text import blank_to
@@ -110,7 +110,8 @@ def lookup(
     if fits_broadcast(side):
         return joined(facts, F.broadcast(side))
     probe = [a for a, _ in pairs]
-    hot = hot_keys(facts, probe)
+    alike = all(_alike(facts.schema[a].dataType, side.schema[b].dataType) for a, b in pairs)
+    hot = hot_keys(facts, probe) if alike else []
     if not hot:
         return joined(facts, side)
     hot_side = side.filter(_key_hash([named(b) for _, b in pairs]).isin(hot))
@@ -121,8 +122,15 @@ def lookup(
     return joined(stay, F.broadcast(hot_side)).unionByName(joined(move, side))
 
 
+def _alike(a: DataType, b: DataType) -> bool:
+    """Whether equal keys of the two types have equal texts, so that hashes agree."""
+    if isinstance(a, IntegralType) and isinstance(b, IntegralType):
+        return True
+    return a == b and not isinstance(a, FractionalType)
+
+
 def _key_hash(keys: Sequence[Column]) -> Column:
-    """One number per key; as text first, since equal keys may differ in type."""
+    """One number per key; of its text, since whole numbers may differ in width."""
     return F.xxhash64(*[F.coalesce(k.cast("string"), F.lit("\0")) for k in keys])
 
 

@@ -90,6 +90,15 @@ def test_adaptive_execution_splits_null_safe_lookups(spark, facts, master, broad
             spark.conf.set(key, value)
 
 
+def test_keys_of_other_types_still_meet(spark, facts, master, broadcast_below):
+    """A double key equals a whole one but not as text, so such keys are not split off."""
+    broadcast_below(1000)
+    one = master.filter("k2 = '0' AND name <> 'again'").drop("k2")
+    doubles = facts.withColumn("k", F.col("k").cast("double"))
+    assert rows(lookup(doubles, one, ["k"])) == brute(doubles, one, ["k"])
+    assert "BroadcastHashJoin" not in lookup(doubles, one, ["k"])._jdf.queryExecution().executedPlan().toString()
+
+
 def test_no_hot_keys_no_split(spark):
     assert hot_keys(spark.range(5000).withColumnRenamed("id", "k"), ["k"]) == []
 
