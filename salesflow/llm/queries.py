@@ -7,6 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from salesflow.llm.decontaminate import decontaminate
+from salesflow.llm.hilbert import shards
+from salesflow.llm.licenses import scan_licenses
+from salesflow.llm.minhash import near_duplicates
+from salesflow.llm.mixing import mix
+from salesflow.llm.quality import score_quality
+from salesflow.llm.secrets import scan_secrets
+from salesflow.llm.toxicity import score_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -54,3 +61,60 @@ FROM words d LEFT JOIN hits h ON d.id = h.id LEFT JOIN items i ON d.id = i.id WH
 @query("op9_benchmark_decontamination", OP9_SQL)
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+OP2_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+),
+sets AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + 3], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM words WHERE len(w) > 0)
+),
+sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b
+  FROM sets a JOIN sets b ON a.s = b.s AND a.doc_id <> b.doc_id
+  JOIN sizes x ON x.doc_id = a.doc_id JOIN sizes y ON y.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id, x.n, y.n HAVING 100 * count(*) >= 80 * (x.n + y.n - count(*))
+),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM words UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b),
+lowest AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT w.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, w.doc_id = component_id AS kept
+FROM words w JOIN lowest USING (doc_id) LEFT JOIN sizes s ON s.doc_id = w.doc_id
+"""
+
+
+@query("op2_minhash_near_dedup", OP2_SQL)
+def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op10_hilbert_sharding")
+def op10_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shards(table(spark, sf_dir, "documents"))
+
+
+@query("op7_source_mixing")
+def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents"))
+
+
+@query("op1_quality_classifier")
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op5_toxicity")
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op3_license_scan")
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents")).drop("spans")
+
+
+@query("op8_secret_scan")
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_secrets(table(spark, sf_dir, "documents"))
