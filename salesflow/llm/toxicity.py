@@ -1,6 +1,6 @@
 """Toxicity classifier: a factorization machine over hashed terms.
 
-Every lower-cased word is hashed to a bin. Of the bins met in the training sample those stay whose
+Every lower-cased word and its beginnings are hashed to bins. Of the bins met in the training sample those stay whose
 smoothed log-odds between toxic and clean documents lie at least Z standard errors from 0; the
 machine has a weight and a vector of FACTORS numbers for each, and scores a text's set of bins by
 intercept, weights and all pairwise products of vectors (by the usual square-of-sums identity), so
@@ -17,19 +17,24 @@ import numpy as np
 from pyspark.sql import DataFrame
 
 from salesflow.llm.learn import BITS, MAX_ROWS, counted, fit, labelled, scored, sigmoid
-from salesflow.llm.tokens import ALNUM, Slice, mix, words
+from salesflow.llm.tokens import ALNUM, LOWER, Slice, mix, prefix_sums, span_hash, words
 
 CUT = 0.5
+PARTS = (4, 6, 8)
 FACTORS = 4
 Z = 3.0
 LEAST = 3
-PASSES, BATCH, RATE, DECAY = 40, 64, 0.1, 2e-4
+PASSES, BATCH, RATE, DECAY = 40, 64, 0.3, 2e-4
 
 
 def terms(piece: Slice) -> tuple[np.ndarray, np.ndarray]:
-    """Text index and bin of every word of a slice."""
+    """Text index and bin of every word of a slice, and of its beginnings of PARTS bytes."""
     found = words(piece, ALNUM)
-    return found.text, (mix(found.hash + np.uint64(13)) & np.uint64((1 << BITS) - 1)).astype(np.int64)
+    sums = prefix_sums(LOWER[piece.data])
+    value = [mix(found.hash + np.uint64(13))]
+    for n in PARTS:
+        value.append(mix(span_hash(sums, found.start, np.minimum(found.end, found.start + n)) + np.uint64(17 + n)))
+    return np.tile(found.text, len(value)), (np.concatenate(value) & np.uint64((1 << BITS) - 1)).astype(np.int64)
 
 
 def chosen(y: np.ndarray, bins: list[np.ndarray]) -> np.ndarray:
