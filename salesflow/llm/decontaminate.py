@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesflow.llm.frames import map_batches
+from salesflow.llm.suffixes import suffix_array
 from salesflow.llm.tokens import ALNUM, Slice, slices, words
 
 WINDOW = 13
@@ -80,32 +81,6 @@ class Phrases:
         return (self.pairs[at >> 3] >> (at & 7) & 1).astype(bool) & (left > 0) & (right > 0)
 
 
-def suffix_array(text: np.ndarray) -> np.ndarray:
-    """Suffixes in order, by doubling: each round sorts (rank, rank further on, place) packed in one word."""
-    n = len(text)
-    bits = max(1, int(n).bit_length())
-    rank = np.unique(text, return_inverse=True)[1].astype(np.uint64)
-    far, place = 1, np.arange(n, dtype=np.uint64)
-    mask = np.uint64((1 << bits) - 1)
-    order = np.argsort(rank, kind="stable")
-    while True:
-        ahead = np.zeros(n, np.uint64)
-        ahead[: max(0, n - far)] = rank[far:] + np.uint64(1)
-        if 3 * bits + 1 <= 64:
-            packed = np.sort((rank << np.uint64(2 * bits + 1)) | (ahead << np.uint64(bits)) | place)
-            order = (packed & mask).astype(np.int64)
-            new = np.concatenate([[0], np.cumsum(packed[1:] >> np.uint64(bits) != packed[:-1] >> np.uint64(bits))])
-        else:
-            order = np.lexsort((ahead, rank))
-            a, b = rank[order], ahead[order]
-            new = np.concatenate([[0], np.cumsum((a[1:] != a[:-1]) | (b[1:] != b[:-1]))])
-        rank = np.empty(n, np.uint64)
-        rank[order] = new.astype(np.uint64)
-        far *= 2
-        if int(new[-1]) == n - 1 or far >= n:
-            return order
-
-
 class WaveletTree:
     """Ranks of any symbol in any prefix of a sequence, by one bit array a level."""
 

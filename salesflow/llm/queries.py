@@ -12,6 +12,7 @@ from salesflow.llm.licenses import scan_licenses
 from salesflow.llm.minhash import near_duplicates
 from salesflow.llm.mixing import mix
 from salesflow.llm.quality import score_quality
+from salesflow.llm.repeats import cut_repeats
 from salesflow.llm.secrets import scan_secrets
 from salesflow.llm.toxicity import score_toxicity
 
@@ -118,3 +119,8 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_secret_scan")
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(table(spark, sf_dir, "documents"))
+
+
+@query("op6_suffix_array_dedup")
+def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cut_repeats(table(spark, sf_dir, "documents")).drop("spans")
