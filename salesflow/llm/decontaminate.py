@@ -18,18 +18,18 @@ item_id are one item; every row of the documents gets a row, repeated rows alike
 from __future__ import annotations
 
 import hashlib
-import re
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesflow.llm.frames import map_batches
+from salesflow.llm.frames import keep_rows, map_batches
 from salesflow.llm.suffixes import suffix_array
-from salesflow.llm.tokens import ALNUM, Slice, slices, words
+from salesflow.llm.tokens import ALNUM, Slice, Words, slices, words
 
 WINDOW = 13
+SHARE = 20
 BLOCK_BYTES = 16 << 20
 SAMPLE = 8
 PAIR_BITS = 1 << 24
@@ -194,77 +194,97 @@ def blocks(benchmark: DataFrame, block_bytes: int) -> list[list[tuple[object, st
         yield [tuple(x) for x in part.collect()]
 
 
-def decontaminate(
-    documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: int = 20, block_bytes: int = BLOCK_BYTES,
-    keep: list[str] | None = None, spans: bool = False,
-) -> DataFrame:
-    """Words hit by benchmark windows, per document row.
+class Judge:
+    """Counts hits of benchmark windows in columns of texts; made on the driver, sent to the tasks."""
 
-    Returns the columns ``keep`` (doc_id alone by default) with n_words, n_hit, n_items,
-    items_sha256 and contaminated, true when ``share`` * n_hit >= n_words and something is hit.
-    With ``spans`` also the merged removal spans, as word ranges with an exclusive end.
-    """
-    spark: SparkSession = documents.sparkSession
-    keep = keep or ["doc_id"]
-    sent = [spark.sparkContext.broadcast(Phrases(rows, window)) for rows in blocks(benchmark, block_bytes)]
-    extra = ", spans array<struct<first:long,end:long>>" if spans else ""
-    source = documents.select(F.struct(*keep).alias("_row"), F.col("text").alias("_text"))
-    kind = source.schema["_row"].dataType.simpleString()
+    def __init__(self, benchmark: DataFrame, window: int = WINDOW, share: int = SHARE, block_bytes: int = BLOCK_BYTES) -> None:
+        context = benchmark.sparkSession.sparkContext
+        self.share = share
+        self.sent = [context.broadcast(Phrases(rows, window)) for rows in blocks(benchmark, block_bytes)]
 
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        n = batch.num_rows
+    def __call__(self, texts: pa.Array, spans: bool = False) -> dict[str, object]:
+        n = len(texts)
         n_words, n_hit, n_items = (np.zeros(n, np.int64) for _ in range(3))
         digest = [""] * n
-        cut: list[list] = [[] for _ in range(n)] if spans else []
-        for piece in slices(batch.column("_text")):
+        cut: list[list] = [[] for _ in range(n)]
+        for piece in slices(texts):
             found = words(piece, ALNUM)
             count = found.per_text(piece.n)
-            n_words[piece.first : piece.first + piece.n] = count
+            here = slice(piece.first, piece.first + piece.n)
+            n_words[here] = count
             hit = np.zeros(len(found.hash) + 1, np.int64)
             named: list[set[str]] = [set() for _ in range(piece.n)]
-            for block in sent:
-                phrases = block.value
-                if not len(phrases.vocabulary):
-                    continue
-                at = np.searchsorted(phrases.vocabulary, found.hash).clip(max=len(phrases.vocabulary) - 1)
-                ids = np.where(phrases.vocabulary[at] == found.hash, at + 1, 0)
-                start, which = occurrences(ids, found.text, phrases)
-                np.add.at(hit, start, 1)
-                np.add.at(hit, start + phrases.length[which], -1)
-                sizes = np.diff(phrases.item_start)[which]
-                items = phrases.items[np.repeat(phrases.item_start[which] - np.cumsum(sizes) + sizes, sizes) + np.arange(int(sizes.sum()))]
-                pairs = np.unique(np.stack([np.repeat(found.text[start], sizes), items]), axis=1)
-                for text, item in pairs.T.tolist():
-                    named[text].add(phrases.names[item])
+            for block in self.sent:
+                self._search(block.value, found, hit, named)
             covered = np.cumsum(hit)[:-1] > 0
-            if len(covered):
-                n_hit[piece.first : piece.first + piece.n] = np.bincount(found.text[covered], minlength=piece.n)
+            n_hit[here] = np.bincount(found.text[covered], minlength=piece.n)
             for i, names in enumerate(named):
                 n_items[piece.first + i] = len(names)
                 digest[piece.first + i] = ",".join(sorted(names))
-            if spans and covered.any():
-                base = np.searchsorted(found.text, np.arange(piece.n))
-                edge = np.flatnonzero(np.diff(np.concatenate([[0], covered.astype(np.int8), [0]])))
-                for a, b in edge.reshape(-1, 2).tolist():
-                    while a < b:  # a run may cross from one text into the next
-                        text = int(found.text[a])
-                        end = min(b, int(base[text] + count[text]))
-                        cut[piece.first + text].append({"first": int(a - base[text]), "end": int(end - base[text])})
-                        a = end
-        columns = {
-            "_row": batch.column("_row"), "n_words": n_words, "n_hit": n_hit, "n_items": n_items,
+            if spans:
+                for text, first, end in merged(covered, found.text, count):
+                    cut[piece.first + text].append({"first": first, "end": end})
+        out = {
+            "n_words": n_words, "n_hit": n_hit, "n_items": n_items,
             "items_sha256": [hashlib.sha256(x.encode()).hexdigest() for x in digest],
-            "contaminated": (n_hit > 0) & (share * n_hit >= n_words),
+            "contaminated": (n_hit > 0) & (self.share * n_hit >= n_words),
         }
         if spans:
-            columns["spans"] = pa.array(cut, pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())])))
-        return pa.RecordBatch.from_pydict(columns)
+            out["spans"] = pa.array(cut, pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())])))
+        return out
+
+    @staticmethod
+    def _search(phrases: Phrases, found: Words, hit: np.ndarray, named: list[set[str]]) -> None:
+        if not len(phrases.vocabulary):
+            return
+        at = np.searchsorted(phrases.vocabulary, found.hash).clip(max=len(phrases.vocabulary) - 1)
+        ids = np.where(phrases.vocabulary[at] == found.hash, at + 1, 0)
+        start, which = occurrences(ids, found.text, phrases)
+        np.add.at(hit, start, 1)
+        np.add.at(hit, start + phrases.length[which], -1)
+        sizes = np.diff(phrases.item_start)[which]
+        place = np.repeat(phrases.item_start[which] - np.cumsum(sizes) + sizes, sizes) + np.arange(int(sizes.sum()))
+        pairs = np.unique(np.stack([np.repeat(found.text[start], sizes), phrases.items[place]]), axis=1)
+        for text, item in pairs.T.tolist():
+            named[text].add(phrases.names[item])
+
+
+def merged(covered: np.ndarray, text: np.ndarray, count: np.ndarray) -> list[tuple[int, int, int]]:
+    """The runs of covered words within each text: text, first word and exclusive end."""
+    base = np.cumsum(count) - count
+    at = np.flatnonzero(covered)
+    if not len(at):
+        return []
+    new = np.concatenate([[True], (at[1:] != at[:-1] + 1) | (text[at[1:]] != text[at[:-1]])])
+    first, last = at[new], at[np.append(np.flatnonzero(new)[1:] - 1, len(at) - 1)]
+    owner = text[first]
+    return list(zip(owner.tolist(), (first - base[owner]).tolist(), (last - base[owner] + 1).tolist()))
+
+
+def decontaminate(
+    documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: int = SHARE, block_bytes: int = BLOCK_BYTES,
+    keep: list[str] | None = None, spans: bool = False,
+) -> DataFrame:
+    """Words hit by benchmark windows, per document row.
+
+    Returns the columns ``keep`` (doc_id alone by default) with n_words, n_hit, n_items,
+    items_sha256 and contaminated, true when something is hit and ``share`` * n_hit >= n_words.
+    With ``spans`` also the merged removal spans, as word ranges with an exclusive end.
+    """
+    keep = keep or ["doc_id"]
+    judge = Judge(benchmark, window, share, block_bytes)
+    source = documents.select(F.struct(*keep).alias("_row"), F.col("text").alias("_text"))
+    kind = source.schema["_row"].dataType.simpleString()
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        return pa.RecordBatch.from_pydict({"_row": batch.column("_row"), **judge(batch.column("_text"), spans)})
 
-    out = map_batches(source, run, f"_row {kind}, {SCHEMA}{extra}")
+    out = map_batches(source, run, f"_row {kind}, {SCHEMA}" + (", spans array<struct<first:long,end:long>>" if spans else ""))
     rest = [x.name for x in out.schema if x.name != "_row"]
     return out.select(*[F.col("_row")[c].alias(c) for c in keep], *rest)
 
 
-def tidy(phrase: str) -> str:
-    """A phrase's words under the contract's class, joined by blanks."""
-    return " ".join(re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", phrase.lower()))
+def without_contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The documents, all columns as they are, that are not contaminated."""
+    judge = Judge(benchmark)
+    return keep_rows(documents, lambda texts: pa.array(~judge(texts)["contaminated"]))

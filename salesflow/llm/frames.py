@@ -7,13 +7,14 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from salesflow.session import staged
 
 SALTS = 1024
 
 
-def map_batches(df: DataFrame, run: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
+def map_batches(df: DataFrame, run: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str | StructType) -> DataFrame:
     """``run`` on every Arrow batch of the frame."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -24,6 +25,16 @@ def map_batches(df: DataFrame, run: Callable[[pa.RecordBatch], pa.RecordBatch |
     return df.mapInArrow(each, schema)
 
 
+def keep_rows(df: DataFrame, test: Callable[[pa.Array], pa.Array], uses: str = "text") -> DataFrame:
+    """The rows of the frame, all columns as they are, for which ``test`` holds. The test gets
+    the column ``uses`` alone, so the names of the others don't matter."""
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        return batch.filter(test(batch.column(uses)))
+
+    return map_batches(df, run, df.schema)
+
+
 def before(df: DataFrame, groups: list[str], order: list[Column], value: Column, name: str, spread: Column) -> DataFrame:
     """Adds ``name``: the total of ``value`` over all rows of the group that come earlier.
 

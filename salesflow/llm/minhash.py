@@ -29,7 +29,7 @@ from salesflow.llm.frames import components, map_batches
 from salesflow.llm.tokens import SPACED, Slice, mix, shingles, slices, words
 from salesflow.session import staged
 
-SHINGLE = 4
+SHINGLE = 5
 SHARE = 80
 BINS = 128
 ROWS = 4
@@ -207,3 +207,12 @@ def _labelled(found: DataFrame, comp: DataFrame, raw: bool) -> DataFrame:
     out = found.select("doc_id", "n_shingles").join(comp, F.col("doc_id") == F.col("node"), "left")
     component = F.coalesce("comp", "doc_id")
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+
+
+def without_near_duplicates(documents: DataFrame, k: int = SHINGLE, share: int = SHARE) -> DataFrame:
+    """The documents, all columns as they are, of which one of each group stays: the smallest doc_id.
+
+    Rows that share a doc_id are one document and stay or go together.
+    """
+    gone = near_duplicates(documents, k, share).where("NOT kept").select(F.col("doc_id").alias("_gone")).distinct()
+    return documents.join(gone, documents["doc_id"] == gone["_gone"], "left_anti")

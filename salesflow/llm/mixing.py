@@ -115,3 +115,18 @@ def mix(documents: DataFrame, block: int = BLOCK, keep: list[str] | None = None)
     return out.select(
         *[F.col(f"keep_{c}").alias(c) for c in keep], "size", "source_size", "target", F.coalesce("words", F.lit(0)).cast("long").alias("taken")
     )
+
+
+def mixed(documents: DataFrame, block: int = BLOCK) -> DataFrame:
+    """The documents, all columns as they are, as often as the mix takes them: a document stands once
+    for each whole time its words are taken, halves rounded up. Of repeated rows each stands as often
+    as their average; what is taken less than half, or has no words, leaves.
+    """
+    docs = documents.withColumn("_body", F.xxhash64("text"))
+    taken = mix(docs.select("doc_id", "source", "text", "_body"), block, ["doc_id", "source", "_body"])
+    times = taken.groupBy(F.col("doc_id").alias("_id"), F.col("source").alias("_of"), F.col("_body").alias("_hash")).agg(
+        F.floor(F.sum("taken") / F.count("*") / F.greatest(F.max("size"), F.lit(1)) + 0.5).cast("int").alias("_times")
+    ).where("_times > 0")
+    on = docs["doc_id"].eqNullSafe(F.col("_id")) & docs["source"].eqNullSafe(F.col("_of")) & (docs["_body"] == F.col("_hash"))
+    out = docs.join(times, on).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times"))))
+    return out.select(*[out[c] for c in documents.columns])

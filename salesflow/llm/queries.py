@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 from salesflow.llm.decontaminate import decontaminate
+from salesflow.llm.embeddings import link_vectors
 from salesflow.llm.hilbert import shards
 from salesflow.llm.licenses import scan_licenses
 from salesflow.llm.minhash import near_duplicates
@@ -16,13 +19,27 @@ from salesflow.llm.repeats import cut_repeats
 from salesflow.llm.secrets import scan_secrets
 from salesflow.llm.toxicity import score_toxicity
 
+ROOT = str(Path(__file__).resolve().parents[2])
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+def with_package(spark: SparkSession) -> None:
+    """Lets the session's Python workers find this package even where it is not installed."""
+    path = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if ROOT not in path.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [ROOT, path]))
+
+
 def query(name: str, sql: str | None = None):
+    """Registers a query, with the SQL it must agree with."""
+
     def add(run):
-        QUERIES[name] = run
+        def ready(spark: SparkSession, sf_dir: str) -> DataFrame:
+            with_package(spark)
+            return run(spark, sf_dir)
+
+        QUERIES[name] = ready
         if sql is not None:
             ORACLES[name] = sql
         return run
@@ -88,7 +105,7 @@ FROM words w JOIN lowest USING (doc_id) LEFT JOIN sizes s ON s.doc_id = w.doc_id
 
 @query("op2_minhash_near_dedup", OP2_SQL)
 def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return near_duplicates(table(spark, sf_dir, "documents"), k=4)
 
 
 @query("op10_hilbert_sharding")
@@ -124,3 +141,25 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_suffix_array_dedup")
 def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut_repeats(table(spark, sf_dir, "documents")).drop("spans")
+
+
+OP4_SQL = """
+WITH RECURSIVE rows AS (SELECT vec_id, list_transform(embedding, x -> CAST(x AS DOUBLE)) AS e FROM embeddings),
+usable AS (
+  SELECT vec_id, e FROM rows
+  WHERE e IS NOT NULL AND len(e) > 0 AND len(list_filter(e, x -> x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, x -> x <> 0)) > 0
+),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.9
+),
+reach AS (SELECT vec_id AS a, vec_id AS b FROM rows UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b),
+lowest AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a),
+degree AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
+SELECT r.vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, r.vec_id = component_id AS kept
+FROM rows r JOIN lowest USING (vec_id) LEFT JOIN degree d ON d.vec_id = r.vec_id
+"""
+
+
+@query("op4_embedding_near_dedup", OP4_SQL)
+def op4_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_vectors(table(spark, sf_dir, "embeddings"))

@@ -14,10 +14,12 @@ no labelled rows every text scores 0. Repeated words count once. Every row gets
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from salesflow.llm.frames import keep_rows
 from salesflow.llm.learn import BITS, MAX_ROWS, counted, fit, labelled, scored, sigmoid
-from salesflow.llm.tokens import ALNUM, LOWER, Slice, mix, prefix_sums, span_hash, words
+from salesflow.llm.tokens import ALNUM, LOWER, Slice, mix, prefix_sums, slices, span_hash, words
 
 CUT = 0.5
 PARTS = (4, 6, 8)
@@ -120,3 +122,9 @@ def score_toxicity(
     """Every row with held_out, score (0 to 1) and predicted."""
     sent = toxicity_model(documents, labels, max_rows)
     return scored(documents, keep or ["doc_id"], lambda piece: sent.value(piece), cut)
+
+
+def without_toxic(documents: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, cut: float = CUT) -> DataFrame:
+    """The documents, all columns as they are, that score below ``cut``."""
+    sent = toxicity_model(documents, labels, max_rows)
+    return keep_rows(documents, lambda texts: pa.array(np.concatenate([sent.value(piece) for piece in slices(texts)]) < cut))
