@@ -108,7 +108,7 @@ class WaveletTree:
 
 
 class FmIndex:
-    """Backward search and location over a sequence of ids, 0 being the separator."""
+    """Backward search and location over a sequence whose last symbol is its only 0."""
 
     def __init__(self, text: np.ndarray, top: int) -> None:
         self.text = text
@@ -171,12 +171,13 @@ def occurrences(ids: np.ndarray, text: np.ndarray, phrases: Phrases) -> tuple[np
     if not len(where):
         return none, none
     run = np.cumsum(~joined)
-    flat = np.zeros(len(where) + int(run[-1]) + 1, np.int64)
+    flat = np.ones(len(where) + int(run[-1]) + 1, np.int64)  # 1 separates the runs, 0 ends the text
+    flat[-1] = 0
     back = np.full(len(flat), -1, np.int64)
     spot = np.arange(len(where)) + run
-    flat[spot], back[spot] = ids[where], where
-    index = FmIndex(flat, len(phrases.vocabulary))
-    low, high = index.search(phrases.table, phrases.length)
+    flat[spot], back[spot] = ids[where] + 1, where
+    index = FmIndex(flat, len(phrases.vocabulary) + 1)
+    low, high = index.search(phrases.table + 1, phrases.length)
     found = np.flatnonzero(high > low)
     sizes = (high - low)[found]
     which = np.repeat(found, sizes)

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesflow.llm.frames import components, map_batches
+from salesflow.llm.frames import components, map_batches, spanning
 from salesflow.session import staged
 
 THRESHOLD = 0.9
@@ -161,22 +161,6 @@ def search(x: np.ndarray, start: np.ndarray, to: np.ndarray, q: np.ndarray, seed
     return sims
 
 
-def lowest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A spanning set of edges: every node of an edge list to the smallest node it reaches."""
-    nodes, flat = np.unique(np.concatenate([a, b]), return_inverse=True)
-    u, v = flat[: len(a)], flat[len(a) :]
-    low = np.arange(len(nodes))
-    while True:
-        least = np.minimum(low[u], low[v])
-        new = low.copy()
-        np.minimum.at(new, u, least)
-        np.minimum.at(new, v, least)
-        new = new[new]
-        if (new == low).all():
-            return nodes, nodes[low]
-        low = new
-
-
 def searcher(threshold: float):
     """The task of one shard: its nodes (left) against the queries sent to it (right)."""
     floor = threshold - SLACK
@@ -226,7 +210,7 @@ def searcher(threshold: float):
                 some = np.flatnonzero(links)
                 tell(0, q_ids[part][some], q_ids[part][some], links[some], np.full(len(some), here))
                 if len(row_o):
-                    a, b = lowest(q_ids[part][row_o], ids[node_o])
+                    a, b = spanning(q_ids[part][row_o], ids[node_o])
                     edges_a.append(a)
                     edges_b.append(b)
                 row, node = np.nonzero(sims >= floor)
@@ -240,7 +224,7 @@ def searcher(threshold: float):
                 _, one = np.unique(r * (1 << 32) + a_owner[e], return_index=True)
                 tell(2, q_ids[part][r[one]], a_dst[e[one]], np.zeros(len(one)), a_owner[e[one]])
             if edges_a:
-                a, b = lowest(np.concatenate(edges_a), np.concatenate(edges_b))
+                a, b = spanning(np.concatenate(edges_a), np.concatenate(edges_b))
                 tell(1, a[a != b], b[a != b], np.zeros(int((a != b).sum())), np.zeros(int((a != b).sum())))
         empty = np.zeros(0, np.int64)
         return pa.Table.from_pydict({k: np.concatenate([empty, *v]) for k, v in out.items()})

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -56,6 +57,22 @@ def before(df: DataFrame, groups: list[str], order: list[Column], value: Column,
     return joined.drop("_salt", "_value", "_local", "_from", *[f"_of_{k}" for k in keys])
 
 
+def spanning(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A spanning set of edges: every node of an edge list to the smallest node it reaches."""
+    nodes, flat = np.unique(np.concatenate([a, b]), return_inverse=True)
+    u, v = flat[: len(a)], flat[len(a) :]
+    low = np.arange(len(nodes))
+    while True:
+        least = np.minimum(low[u], low[v])
+        new = low.copy()
+        np.minimum.at(new, u, least)
+        np.minimum.at(new, v, least)
+        new = new[new]
+        if (new == low).all():
+            return nodes, nodes[low]
+        low = new
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of an edge list (columns a, b): node and comp, the smallest node reachable.
 
