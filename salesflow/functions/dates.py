@@ -4,10 +4,9 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import DateType, StringType, TimestampNTZType, TimestampType
+from pyspark.sql import Column, functions as F
 
-from salesflow.functions import as_column, named
+from salesflow.functions import as_column
 from salesflow.functions.text import strip
 
 # Accepted text layouts. Ranges are in the pattern, so that bad text fails cheaply.
@@ -35,20 +34,6 @@ def parse_date(col: Column | str) -> Column:
     return _text_date(as_column(col), ISO_OR_DAY_FIRST)
 
 
-def dates_in(df: DataFrame, *names: str) -> DataFrame:
-    """Make the named columns dates: parse text, cut timestamps, leave numbers and dates."""
-    fixed = {}
-    for name in names:
-        if name not in df.columns:
-            continue
-        kind = df.schema[name].dataType
-        if isinstance(kind, StringType):
-            fixed[name] = parse_date(name)
-        elif isinstance(kind, (TimestampType, TimestampNTZType)):
-            fixed[name] = named(name).cast(DateType())
-    return df.withColumns(fixed) if fixed else df
-
-
 def repair_date_cell(value: Column | str, is_number: Column) -> Column:
     """Repair a date cell kept as text: a serial number, or day-first text, becomes ISO text.
 

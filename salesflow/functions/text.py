@@ -4,10 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import DoubleType, FloatType, StringType
+from pyspark.sql import Column, functions as F
 
-from salesflow.functions import as_column, named
+from salesflow.functions import as_column
 from salesflow.functions.numbers import number_text
 
 # Texts that mean "missing" in a delimited file; a fixed list.
@@ -22,29 +21,6 @@ BLANKS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(
 )
 
 
-def to_text(df: DataFrame, name: str) -> Column:
-    """A column of any type as text; doubles keep all their digits."""
-    if isinstance(df.schema[name].dataType, (DoubleType, FloatType)):
-        return number_text(name)
-    return named(name).cast("string")
-
-
-def text_in(df: DataFrame, *names: str) -> DataFrame:
-    """Make the named columns text."""
-    fixed = {
-        n: to_text(df, n)
-        for n in names
-        if n in df.columns and not isinstance(df.schema[n].dataType, StringType)
-    }
-    return df.withColumns(fixed) if fixed else df
-
-
-def upper_in(df: DataFrame, *names: str) -> DataFrame:
-    """Upper-case the named columns as text; null stays null."""
-    fixed = {n: F.upper(to_text(df, n)) for n in names if n in df.columns}
-    return df.withColumns(fixed) if fixed else df
-
-
 def strip(col: Column | str) -> Column:
     """Cut blanks of any kind (tabs and line breaks too) from both ends."""
     return F.btrim(as_column(col), F.lit(BLANKS))

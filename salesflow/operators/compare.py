@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import FractionalType, StringType, StructField, StructType
 
 from salesflow.functions import named
-from salesflow.functions.text import to_text
+from salesflow.functions.kinds import to_text
 from salesflow.operators.joins import full_compare
 
 

@@ -1,8 +1,7 @@
 """Lookups against master data, and comparisons of aggregated tables.
 
-Broadcasting is decided by size. A master within the session's broadcast limit, as the
-planner estimates it or, once it was filtered or de-duplicated, as counted, goes to every
-executor, so the fact table is never shuffled and no hot key can hurt. A larger master is
+Broadcasting is decided by size. A master within the session's broadcast limit, by its
+files where it is a plain scan and else as counted, goes to every executor, so the fact table is never shuffled and no hot key can hurt. A larger master is
 joined by shuffle, except for the fact table's hottest keys: their master rows are few, so
 those facts stay where they are and only the rest is shuffled. Adaptive execution splits
 what is still skewed.
@@ -24,8 +23,8 @@ from salesflow.functions.text import blank_to
 HOT_SHARE = 0.005
 # Keys the frequency sketch tracks; its counts are off by far less than the share.
 SKETCH_ITEMS = 10_000
-# Plan steps behind which the estimate is far too high, or, for rows the driver made, none.
-OVERESTIMATED = {"Aggregate", "Distinct", "Filter", "GlobalLimit", "Join", "LogicalRDD"}
+# Plan steps of a table that is as large as its files, or its literal rows, say.
+PLAIN = {"LogicalRelation", "Relation", "LocalRelation"}
 # Plan steps that make a table dearer to compute than to read.
 COSTLY = {"Aggregate", "Distinct", "Generate", "Join", "Sort", "Window"}
 MISSING = "-"
@@ -66,16 +65,17 @@ def measured_bytes(df: DataFrame) -> int:
 def fits_broadcast(df: DataFrame) -> bool:
     """Whether a table may be sent whole to every executor.
 
-    The estimate comes first since it is free. A table that was filtered or aggregated is
-    over-estimated, so it is measured: one pass over the master spares a shuffle of the
-    facts. A plain table is as large as its files say and is not read for that.
+    Only a plain scan, all of whose columns are read, is trusted to be as large as its files
+    say. Any other plan's estimate may be far off either way (rows that an array is exploded
+    to count nothing, a long text kept by a projection counts twenty bytes), so the table is
+    counted: one pass over the master spares a shuffle of the facts.
     """
     limit = broadcast_limit(df)
     if limit <= 0:
         return False
-    if planned_bytes(df) <= limit:
-        return True
-    return bool(OVERESTIMATED & _steps(_optimized(df))) and measured_bytes(df) <= limit
+    if _steps(_optimized(df)) <= PLAIN:
+        return planned_bytes(df) <= limit
+    return measured_bytes(df) <= limit
 
 
 def _matches(

@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from salesflow.functions import named
-from salesflow.functions.text import strip, upper_in
+from salesflow.functions.kinds import as_upper, column_as
+from salesflow.functions.text import strip
 from salesflow.operators.filters import drop_sentinel, has_key
 from salesflow.operators.joins import MISSING, lookup
 
@@ -38,7 +39,8 @@ def product_master(sheet: DataFrame, order: Sequence[str]) -> DataFrame:
 
     Names that differ only by case survive and become duplicate keys.
     """
-    return upper_in(keep_first(sheet, ["ItemName"], order), "ItemName").select(
+    first = keep_first(sheet, ["ItemName"], order)
+    return first.withColumn("ItemName", column_as(first, "ItemName", as_upper)).select(
         *[named(c) for c in PRODUCT_COLUMNS]
     )
 
@@ -51,7 +53,7 @@ def product_master_upper(
     ``blank_as_text`` writes a blank cell as the text NAN, which a later item type filter
     then drops; by default it stays null and is kept.
     """
-    out = upper_in(sheet.select(*[named(c) for c in columns]), *columns)
+    out = sheet.select(*[column_as(sheet, c, as_upper).alias(c) for c in columns])
     return out.na.fill("NAN") if blank_as_text else out
 
 

@@ -1,4 +1,4 @@
-"""Cutting a month into report parts that hold at most a given number of rows."""
+"""Cutting a month into report parts: at split days and, where a capacity is given, by row counts."""
 
 from __future__ import annotations
 
@@ -10,8 +10,8 @@ from salesflow.functions import named
 from salesflow.functions.dates import month_key, month_label, month_start
 from salesflow.operators.joins import lookup
 
-# A sheet holds 1,048,576 rows, one of them the header.
-PART_CAPACITY = 1_048_576 - 1
+# What a spreadsheet's sheet holds beside its header: for callers whose parts become sheets.
+SHEET_CAPACITY = 1_048_576 - 1
 SPLIT_DAYS = (15,)
 
 
@@ -45,8 +45,17 @@ def _filled(days: Column, lo: Column, hi: Column, cap: int) -> Column:
     return F.aggregate(days, F.array(empty), add)
 
 
-def online_parts(month: Column, days: Column, split_days: Sequence[int], cap: int) -> Column:
-    """Array of a month's online parts; a single day above the cap is an error."""
+def _whole(days: Column, lo: Column, hi: Column) -> Column:
+    """One part of all rows between two days."""
+    inside = F.filter(days, lambda d: d["day"].between(lo, hi))
+    rows = F.aggregate(inside, F.lit(0).cast("long"), lambda total, d: total + d["n"])
+    return F.struct(lo.alias("lo"), hi.alias("hi"), rows.alias("rows"))
+
+
+def online_parts(month: Column, days: Column, split_days: Sequence[int], cap: int | None) -> Column:
+    """Array of a month's online parts; with a cap, a single day above it is an error."""
+    if cap is None:
+        return F.transform(month_ranges(month, split_days), lambda r: _whole(days, r["lo"], r["hi"]))
     above = F.filter(days, lambda d: d["n"] > cap)
     day = F.get(above, F.lit(0))["day"].cast("string")
     refused = F.raise_error(F.concat(F.lit("more rows than one part holds on "), day))
@@ -61,12 +70,14 @@ def online_parts(month: Column, days: Column, split_days: Sequence[int], cap: in
     )
 
 
-def offline_parts(month: Column, days: Column, cap: int) -> Column:
-    """Array of a month's one offline part; a month above the cap is an error."""
-    rows = F.aggregate(days, F.lit(0).cast("long"), lambda total, d: total + d["n"])
+def offline_parts(month: Column, days: Column, cap: int | None) -> Column:
+    """Array of a month's one offline part; with a cap, a month above it is an error."""
+    part = _whole(days, month, F.last_day(month))
+    if cap is None:
+        return F.array(part)
     too_long = F.concat(F.lit("more offline rows than one part holds in "), month_key(month))
-    fitting = F.when(rows > cap, F.raise_error(too_long).cast("long")).otherwise(rows)
-    return F.array(F.struct(month.alias("lo"), F.last_day(month).alias("hi"), fitting.alias("rows")))
+    rows = F.when(part["rows"] > cap, F.raise_error(too_long).cast("long")).otherwise(part["rows"])
+    return F.array(F.struct(part["lo"].alias("lo"), part["hi"].alias("hi"), rows.alias("rows")))
 
 
 def _month_days(counts: DataFrame, *by: str) -> DataFrame:
@@ -76,11 +87,11 @@ def _month_days(counts: DataFrame, *by: str) -> DataFrame:
     )
 
 
-def pack_days(counts: DataFrame, split_days: Sequence[int] = SPLIT_DAYS, cap: int = PART_CAPACITY) -> DataFrame:
+def pack_days(counts: DataFrame, split_days: Sequence[int] = SPLIT_DAYS, cap: int | None = None) -> DataFrame:
     """Parts of each month: ``month, part_no, lo, hi, rows, part_count``.
 
-    ``counts`` has ``day`` and ``n``, one row a day. Each range above the cap is filled day
-    by day, a new part starting where the next day would not fit, which gives the fewest
+    ``counts`` has ``day`` and ``n``, one row a day. Without a cap each range between split
+    days is one part. With one, each range above the cap is filled day by day, a new part starting where the next day would not fit, which gives the fewest
     parts; ranges within the cap stay whole, also when they are empty. Parts are numbered
     over the month in date order. A single day above the cap is an error.
     """
@@ -100,7 +111,7 @@ def part_name(side: Column, month: Column, part_no: Column, part_count: Column)
 
 
 def with_parts(
-    rows: DataFrame, day: str, side: str, split_days: Sequence[int] = SPLIT_DAYS, cap: int = PART_CAPACITY
+    rows: DataFrame, day: str, side: str, split_days: Sequence[int] = SPLIT_DAYS, cap: int | None = None
 ) -> DataFrame:
     """Each row with its ``sale_month`` and ``part_name``; ``side`` says Online or Offline.
 

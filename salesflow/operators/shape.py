@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -13,11 +13,14 @@ from pyspark.sql.types import (
 )
 
 from salesflow.functions import named
-from salesflow.functions.dates import dates_in, parse_date
+from salesflow.functions.dates import parse_date
+from salesflow.functions.kinds import as_day, column_as, to_text
 from salesflow.functions.numbers import coerce_int
-from salesflow.functions.text import to_text
 
-WHOLE_KINDS = [ByteType, ShortType, IntegerType, LongType]
+WHOLE_DIGITS = {ByteType: 3, ShortType: 5, IntegerType: 10, LongType: 19}
+WHOLE_KINDS = list(WHOLE_DIGITS)
+
+INDEX_PREFIX = "__index_level_"
 
 
 def require_columns(df: DataFrame, names: Iterable[str], hint: str = "") -> DataFrame:
@@ -65,9 +68,9 @@ def typed(
     """
     absent = [n for n in [*dates, *longs, *texts] if n not in df.columns]
     out = df.withColumns({n: F.lit(None).cast("string") for n in absent}) if absent else df
-    out = dates_in(out, *dates)
     return out.withColumns(
         {
+            **{n: column_as(out, n, as_day) for n in dates},
             **{n: coerce_int(n) for n in longs},
             **{n: F.coalesce(to_text(out, n), F.lit("")) for n in texts},
         }
@@ -96,6 +99,7 @@ def supertype(a: DataType, b: DataType) -> DataType:
 def _wider_number(a: DataType, b: DataType) -> DataType:
     if type(a) in WHOLE_KINDS and type(b) in WHOLE_KINDS:
         return max((a, b), key=lambda t: WHOLE_KINDS.index(type(t)))
+    a, b = (DecimalType(WHOLE_DIGITS[type(t)], 0) if type(t) in WHOLE_DIGITS and isinstance(o, DecimalType) else t for t, o in ((a, b), (b, a)))
     if isinstance(a, DecimalType) and isinstance(b, DecimalType):
         scale = max(a.scale, b.scale)
         whole = max(a.precision - a.scale, b.precision - b.scale)
@@ -105,14 +109,18 @@ def _wider_number(a: DataType, b: DataType) -> DataType:
     return DoubleType()
 
 
-def common_schema(dfs: Sequence[DataFrame]) -> StructType:
-    """All columns in first-seen order, each with the supertype over the inputs."""
-    kinds: dict[str, DataType] = {}
-    for df in dfs:
-        for field in df.schema.fields:
-            have = kinds.get(field.name)
-            kinds[field.name] = field.dataType if have is None else supertype(have, field.dataType)
-    return StructType([StructField(name, kind) for name, kind in kinds.items()])
+def common_schema(
+    dfs: Sequence[DataFrame], meet: Callable[[DataType, DataType], DataType] = supertype
+) -> StructType:
+    """All columns in first-seen order, each with the type its inputs ``meet`` in."""
+    fields = [field for df in dfs for field in df.schema.fields]
+    names = dict.fromkeys(f.name for f in fields)
+    return StructType([StructField(n, reduce(meet, [f.dataType for f in fields if f.name == n])) for n in names])
+
+
+def first_real(a: DataType, b: DataType) -> DataType:
+    """The first type that is more than blank."""
+    return b if isinstance(a, NullType) else a
 
 
 def union_relaxed(*dfs: DataFrame) -> DataFrame:
@@ -133,20 +141,14 @@ def stack_months(dfs: Sequence[DataFrame], date_cols: Sequence[str]) -> DataFram
     is blank in every month becomes text; the named date columns become dates whatever a
     blank month stored; leftover index columns are dropped.
     """
-    kinds: dict[str, DataType] = {}
-    for df in dfs:
-        for field in df.schema.fields:
-            if field.name.startswith("__index_level_"):
-                continue
-            if isinstance(kinds.get(field.name, NullType()), NullType):
-                kinds[field.name] = field.dataType
-    for name, kind in kinds.items():
-        if name in date_cols:
-            kinds[name] = DateType()
-        elif isinstance(kind, NullType):
-            kinds[name] = StringType()
-    schema = StructType([StructField(name, kind) for name, kind in kinds.items()])
-    return union_all([conform(_text_dates(df, date_cols), schema) for df in dfs])
+    own = [df.drop(*[c for c in df.columns if c.startswith(INDEX_PREFIX)]) for df in dfs]
+
+    def settled(field: StructField) -> StructField:
+        blank = StringType() if isinstance(field.dataType, NullType) else field.dataType
+        return StructField(field.name, DateType() if field.name in date_cols else blank)
+
+    schema = StructType([settled(f) for f in common_schema(own, first_real).fields])
+    return union_all([conform(_text_dates(df, date_cols), schema) for df in own])
 
 
 def _text_dates(df: DataFrame, date_cols: Sequence[str]) -> DataFrame:

@@ -4,31 +4,40 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
-from salesflow.operators.packing import PART_CAPACITY, SPLIT_DAYS
+from salesflow.operators.filters import in_days, month_bounds
+from salesflow.operators.packing import SPLIT_DAYS, with_parts
 from salesflow.plans.history import save_months
-from salesflow.plans.marketplace import Masters, marketplace_month
-from salesflow.plans.sell_in import marketplace_rows, month_report
-from salesflow.session import staged
+from salesflow.plans.marketplace import Masters, marketplace_months
+from salesflow.plans.sell_in import marketplace_rows, report_rows
+from salesflow.session import new_folder, remove_folder
 from salesflow.sources.sinks import write_report_parts
 
 
 def build_months(
     base: DataFrame, orders: DataFrame, masters: Masters, months: Sequence[tuple[int, int]], as_of: dt.date,
     market_source: str, report_path: str, history_path: str, scope: str = "all",
-    split_days: Sequence[int] = SPLIT_DAYS, cap: int = PART_CAPACITY,
+    split_days: Sequence[int] = SPLIT_DAYS, cap: int | None = None,
 ) -> None:
     """Rebuild the given (year, month) pairs; all other months stay as they are.
 
-    The base is worked out once and kept in the shared folder for all months.
+    All months are worked out in one pass over the base and the orders, and kept in the
+    shared folder while they are counted and cut into parts; the history is taken from the
+    report as written. A month that comes out empty replaces the rows it had by none.
     """
-    kept = staged(base, "base")
-    for year, month in months:
-        market = marketplace_rows(
-            marketplace_month(orders, masters, year, month, as_of, scope), market_source
-        )
-        report = month_report(kept, market, year, month, split_days, cap).drop("side")
-        write_report_parts(report, report_path)
-        save_months(report.drop("part_name"), history_path)
+    spark = base.sparkSession
+    keys = [f"{year:04d}-{month:02d}" for year, month in months]
+    days = reduce(or_, [in_days("SentOn", *month_bounds(y, m)) for y, m in months])
+    market = marketplace_rows(marketplace_months(orders, masters, months, as_of, scope), market_source)
+    rows = report_rows(base, market, days)
+    folder = new_folder(spark, "months")
+    rows.write.parquet(folder)
+    kept = spark.read.schema(rows.schema).parquet(folder)
+    write_report_parts(with_parts(kept, "SentOn", "side", split_days, cap).drop("side"), report_path, keys)
+    remove_folder(spark, folder)
+    report = spark.read.parquet(report_path).withColumn("sale_month", F.col("sale_month").cast("string"))
+    save_months(report.filter(F.col("sale_month").isin(keys)).drop("part_name"), history_path, months=keys)

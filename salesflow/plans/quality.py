@@ -123,14 +123,16 @@ def _findings(figures: DataFrame, rules: Sequence[tuple[str, Column, Column]]) -
 
 
 def promotion_check(
-    new: DataFrame, old: DataFrame, allowed: Sequence[str] = (),
+    new: DataFrame, old: DataFrame | None, allowed: Sequence[str] = (),
     min_ratio: float = PROMOTION_ROWS, date_col: str | None = "SentOn",
 ) -> DataFrame:
     """Reasons not to promote a table, one row per violated rule.
 
+    A first release, without an old table, breaks none.
     Unexpected or dropped columns, too few rows, or a newest date that went backwards. The
     date check needs the column on both sides.
     """
+    old = new.filter(F.lit(False)) if old is None else old
     is_new, day = F.col("is_new"), F.col("v")
     figures = _sided(new, old, date_col, "date").agg(
         F.count_if(is_new).alias("new_rows"),
@@ -151,14 +153,17 @@ def promotion_check(
 
 
 def compile_check(
-    new: DataFrame, old: DataFrame, file_col: str = "SourceFile", date_col: str = "Date",
+    new: DataFrame, old: DataFrame | None, file_col: str = "SourceFile", date_col: str = "Date",
     min_ratio: float = COMPILE_ROWS, min_dates: float = DATES_FILLED,
 ) -> DataFrame:
     """Reasons not to publish a compiled table, one row per violated rule.
 
     Source files missing or new, columns that differ or moved, too few rows, or too few
-    rows with a date; a table without rows or without the date column has too few.
+    rows with a date; a table without rows or without the date column has too few. A first
+    release, without an old table, is held to the dates alone.
     """
+    if old is None:
+        return compile_check(new, new, file_col, date_col, 0.0, min_dates)
     files = set_diff(old, new, file_col).select(
         F.concat(F.lit("file "), F.col("side")).alias("rule"), named(file_col).alias("detail")
     )
@@ -200,8 +205,7 @@ def freshness(
         [(name, int(age.total_seconds())) for name, age in limits.items()],
         "dataset string, max_age long",
     )
-    # One row per dataset on both sides.
-    rows = F.broadcast(wanted).join(newest, "dataset", "left")
+    rows = wanted.join(newest, "dataset", "left")
     age = F.timestamp_diff("SECOND", F.col("newest"), now)
     newer = F.lit(True) if last_output is None else F.col("newest") > _moment(last_output)
     return rows.select(
@@ -216,12 +220,13 @@ def freshness(
 def build_decision(
     fresh: DataFrame, as_of: dt.datetime, last_output: dt.datetime | None, hourly: str,
     running: Sequence[str] = (), rebuild_gap: dt.timedelta = REBUILD_GAP, max_wait: dt.timedelta = MAX_WAIT,
+    force: bool = False,
 ) -> DataFrame:
     """One row ``(run, reason)`` out of the freshness table.
 
-    In turn: wait for a running feed unless the last output is too old; wait for a stale
-    feed; nothing new; only feeds other than ``hourly`` changed and the last output is
-    younger than the gap; else run.
+    A forced build runs whatever the feeds say. Else, in turn: wait for a running feed
+    unless the last output is too old; wait for a stale feed; nothing new; only feeds other
+    than ``hourly`` changed and the last output is younger than the gap; else run.
     """
     age = None if last_output is None else as_of - last_output
     waiting = bool(running) and (age is None or age < max_wait)
@@ -234,6 +239,8 @@ def build_decision(
     go = "ready: something new and nothing stale"
     if running:
         go = f"ready: last finished inputs, though {', '.join(running)} is loading"
+    if force:
+        return facts.select(F.lit(True).alias("run"), F.lit("ready: forced").alias("reason"))
     reason = (
         F.when(F.lit(waiting), F.lit(f"wait: {', '.join(running)} is loading"))
         .when(F.col("stale") != "", F.concat(F.lit("wait: stale "), F.col("stale")))

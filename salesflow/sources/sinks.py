@@ -2,31 +2,36 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Observation, functions as F
 
 from salesflow.functions import named
+from salesflow.session import remove_folder
 
 
-def write_months(df: DataFrame, path: str, month_col: str) -> None:
-    """One folder per month; only the months present in ``df`` are replaced.
+def write_months(df: DataFrame, path: str, month_col: str, months: Sequence[str] | None = None) -> None:
+    """One folder per month; only the months present in ``df``, or named, are replaced.
 
-    The rebalance lets adaptive execution give every month few files and cut a month that
-    holds most of the rows into several tasks.
+    ``months`` names those that are being rebuilt: one that came out without rows loses the
+    rows it had. The rebalance lets adaptive execution give every month few files and cut a
+    month that holds most of the rows into several tasks.
     """
-    _by_folder(df, path, month_col, sort=[])
+    _by_folder(df, path, month_col, [], months)
 
 
-def write_report_parts(df: DataFrame, path: str) -> None:
-    """Report rows by month; only the months present in ``df`` are replaced.
+def write_report_parts(df: DataFrame, path: str, months: Sequence[str] | None = None) -> None:
+    """Report rows by month; only the months present in ``df``, or named, are replaced.
 
     A month is replaced whole, since a rebuilt month can have fewer parts than before; so
     the part stays a column. Rows lie sorted by part, and reading one part skips the rest.
     """
-    _by_folder(df, path, "sale_month", sort=["sale_month", "part_name"])
+    _by_folder(df, path, "sale_month", ["sale_month", "part_name"], months)
 
 
-def _by_folder(df: DataFrame, path: str, by: str, sort: list[str]) -> None:
-    spread = df.hint("rebalance", by)
+def _by_folder(df: DataFrame, path: str, by: str, sort: list[str], months: Sequence[str] | None) -> None:
+    seen = Observation("written")
+    spread = df.observe(seen, F.collect_set(named(by).cast("string")).alias("months")).hint("rebalance", by)
     ordered = spread.sortWithinPartitions(*[named(c) for c in sort]) if sort else spread
     (
         ordered.write.mode("overwrite")
@@ -34,6 +39,9 @@ def _by_folder(df: DataFrame, path: str, by: str, sort: list[str]) -> None:
         .partitionBy(by)
         .parquet(path)
     )
+    # Overwriting by folder leaves the folders that got no rows: those of emptied months go.
+    for month in set(months or ()) - set(seen.get["months"]):
+        remove_folder(df.sparkSession, f"{path.rstrip('/')}/{by}={month}")
 
 
 def write_union(df: DataFrame, path: str) -> int:

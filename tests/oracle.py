@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import math
 import sys
+import tempfile
 import time
 from collections import Counter
 
@@ -55,7 +56,8 @@ def main(argv: list[str]) -> int:
     from salesflow.session import build_session
 
     sf_dir = argv[0] if argv else "/root/testdata/sf0.001"
-    spark = build_session("oracle", "local[8]", **{"spark.sql.shuffle.partitions": "8"})
+    shared = {"spark.checkpoint.dir": tempfile.mkdtemp(prefix="oracle-")}
+    spark = build_session("oracle", "local[8]", **{"spark.sql.shuffle.partitions": "8"}, **shared)
     spark.sparkContext.setLogLevel("ERROR")
     con, sqls, bad = connect(sf_dir), oracle_sql(), 0
     for name, run in queries().items():

@@ -3,10 +3,11 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from salesflow.functions.dates import date_text, dates_in, month_label, parse_date, repair_date_cell
+from salesflow.functions.dates import date_text, month_label, parse_date, repair_date_cell
+from salesflow.functions.kinds import as_day, as_upper, column_as
 from salesflow.functions.numbers import coerce_double, coerce_int, number_text, percent_off, round_int
 from salesflow.functions.text import (
-    blank_to, cell_text, clean_text, last_part, na_to_null, remove_text, replace_first, strip, suffix_after, upper_in,
+    blank_to, cell_text, clean_text, last_part, na_to_null, remove_text, replace_first, strip, suffix_after,
 )
 from salesflow.plans.marketplace import sales_type
 
@@ -31,7 +32,7 @@ def test_parse_date_takes_three_layouts_and_nothing_else(spark):
 
 def test_dates_in_by_column_type(spark):
     df = spark.sql("SELECT '2026-01-02' AS a, timestamp_ntz'2026-01-02 23:59:59' AS b, 5 AS c, date'2026-01-02' AS d")
-    row = dates_in(df, "a", "b", "c", "d", "absent").first()
+    row = df.select(*[column_as(df, c, as_day).alias(c) for c in df.columns]).first()
     assert tuple(row) == (dt.date(2026, 1, 2), dt.date(2026, 1, 2), 5, dt.date(2026, 1, 2))
 
 
@@ -53,6 +54,17 @@ def test_coerce_int_cuts_toward_zero_and_defaults_to_zero(spark):
     assert apply(spark, "string", coerce_int, texts) == [12, -3, 0, 0, 0, 0, 0, 5, 7, 1000, 0, 5, 0, 0, 12345678901234567]
 
 
+@pytest.mark.parametrize("text", ["9223372036854775808", "10000000000000000000", "100000000000000000000", "1e25", "-1e19", "inf", "-Infinity", "1e400"])
+def test_coerce_int_refuses_what_does_not_fit(spark, text):
+    with pytest.raises(Exception, match="fit|OVERFLOW|overflow"):
+        apply(spark, "string", coerce_int, [text])
+
+
+def test_coerce_int_at_the_limits(spark):
+    texts = ["9223372036854775807", "-9223372036854775808", "1e18", "-1.5e2", "+7.9", "1e-30", "nan", "infinite", "0" * 40 + "12"]
+    assert apply(spark, "string", coerce_int, texts) == [2**63 - 1, -(2**63), 10**18, -150, 7, 0, 0, 0, 12]
+
+
 def test_coerce_int_refuses_to_wrap_around(spark):
     with pytest.raises(Exception, match="OVERFLOW"):
         apply(spark, "string", coerce_int, ["99999999999999999999"])
@@ -95,7 +107,7 @@ def test_cell_text(spark):
 
 def test_upper_keeps_null_and_long_numbers(spark):
     df = spark.sql("SELECT 'aé' AS a, cast(null AS string) AS b, 1234567890123D AS c")
-    assert tuple(upper_in(df, "a", "b", "c", "absent").first()) == ("AÉ", None, "1234567890123")
+    assert tuple(df.select(*[column_as(df, c, as_upper).alias(c) for c in df.columns]).first()) == ("AÉ", None, "1234567890123")
 
 
 def test_labels_and_percent(spark):

@@ -165,3 +165,18 @@ def test_places(spark):
         [("P", "A", 1, "STD A", "X"), (" P ", "Q ", 2, "-", "-"), ("P", None, 3, "BLANK", "Z"), ("P", "N", 4, "-", "W"), (None, "Q", 5, "-", "-")]
     )
     assert [tuple(r) for r in unmatched_places(orders, master).collect()] == [("P", "N"), ("P", "Q"), (None, "Q")]
+
+
+def test_estimates_that_are_too_low_are_not_trusted(spark, broadcast_below, tmp_path):
+    broadcast_below(64 * 1024)
+    grown = spark.range(4).select(F.explode(F.sequence(F.lit(1), F.lit(50_000))).alias("k"), F.lit("x").alias("v"))
+    path = str(tmp_path / "long")
+    spark.range(200).select(F.col("id").alias("k"), F.repeat(F.lit("text "), 400).alias("v"), F.lit(1).alias("w")).write.parquet(path)
+    long = spark.read.parquet(path).select("k", "v")
+    small = spark.range(100).select(F.col("id").alias("k"), F.lit("x").alias("v"))
+    assert not fits_broadcast(grown)
+    assert not fits_broadcast(long)
+    assert fits_broadcast(small)
+    facts = spark.range(1000).withColumnRenamed("id", "k")
+    for master in (grown, long):
+        assert "ResolvedHint" not in lookup(facts, master, ["k"])._jdf.queryExecution().analyzed().toString()

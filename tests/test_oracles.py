@@ -4,8 +4,9 @@ import os
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry, queries
 from tests.oracle import connect, differences
+from workload import ORACLES, QUERIES
 
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 
@@ -15,9 +16,9 @@ def con():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_agrees_with_sql(spark, con, name):
-    assert differences(spark, con, SF_DIR, queries()[name], oracle_sql()[name]) is None
+    assert differences(spark, con, SF_DIR, QUERIES[name], ORACLES[name]) is None
 
 
 def test_entry(spark):
@@ -29,3 +30,7 @@ def test_plans_stay_inside_the_engine(spark, name):
     plan = queries()[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
     for banned in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "ArrowEval"):
         assert banned not in plan
+
+
+def test_every_query_is_registered():
+    assert set(QUERIES) <= set(queries())

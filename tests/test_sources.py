@@ -152,8 +152,17 @@ def test_seed_history_by_stem(spark, tmp_path):
     path = str(tmp_path / "months")
     seed_history(spark, str(source), path, only=["2025 06 Jun"])
     assert rows(spark.read.parquet(path).select("sale_month", "NoPesanan", "Quantity")) == Counter(
-        [("2025 06 Jun", "1", 2), ("2025 06 Jun", "2", 0)]
+        [("2025-06", "1", 2), ("2025-06", "2", 0)]
     )
+    rebuilt = spark.sql("SELECT '7' AS NoPesanan, '2025-06-09' AS SentOn, '5' AS Quantity")
+    save_months(rebuilt, path, months=["2025-06"])
+    assert rows(read_history(spark, path).select("sale_month", "NoPesanan", "Quantity")) == Counter([("2025-06", "7", 5)])
+    save_months(rebuilt.filter("NoPesanan = ''"), path, months=["2025-06"])
+    save_months(rebuilt.withColumn("SentOn", F.lit("2025-07-01")), path, months=["2025-07"])
+    assert rows(read_history(spark, path).select("sale_month", "NoPesanan")) == Counter([("2025-07", "7")])
+    (source / "no month.csv").write_text("NoPesanan\n9\n")
+    with pytest.raises(ValueError, match="no month"):
+        seed_history(spark, str(source), path)
 
 
 def test_coverage_orders_end_to_end(spark, tmp_path):

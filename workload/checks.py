@@ -318,3 +318,28 @@ def freshness_query(spark, sf_dir):
 )
 def decision(spark, sf_dir):
     return build_decision(fresh(spark, sf_dir), NOW, LAST_OUTPUT, "click", rebuild_gap=dt.timedelta(0))
+
+
+@query(
+    "forced_decision",
+    "SELECT count(*) >= 0 AS run, 'ready: forced' AS reason FROM events",
+)
+def forced_decision(spark, sf_dir):
+    return build_decision(fresh(spark, sf_dir), NOW, LAST_OUTPUT, "click", force=True)
+
+
+@query(
+    "first_release",
+    """
+    SELECT 'dates' AS rule, CAST(count(*) FILTER (WHERE o_orderkey % 10 <> 1) AS varchar) AS detail FROM orders
+    HAVING count(*) FILTER (WHERE o_orderkey % 10 <> 1) < count(*) * 0.95
+    """,
+)
+def first_release(spark, sf_dir):
+    """Tables without a published one: only the share of dates can hold them back."""
+    rows = table(spark, sf_dir, "orders").select(
+        F.expr(BOOK).alias("SourceFile"),
+        F.expr("case when o_orderkey % 10 = 1 then '' else cast(cast(o_orderdate as date) as string) end").alias("Date"),
+        F.col("o_totalprice").alias("Total"),
+    )
+    return compile_check(rows, None).unionByName(promotion_check(HISTORY.df(spark, sf_dir), None))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 
@@ -10,8 +12,9 @@ from salesflow.operators.masters import marketplace_channels, product_master_upp
 from salesflow.operators.packing import pack_days
 from salesflow.operators.shape import union_relaxed
 from salesflow.operators.summary import day_counts
+from salesflow.plans.chain import build_months
 from salesflow.plans.coverage import coverage_sales, write_coverage_sales
-from salesflow.plans.history import combined, save_months
+from salesflow.plans.history import combined, read_history, save_months, seed_history
 from salesflow.plans.marketplace import Masters, marketplace_month
 from salesflow.plans.sell_in import (
     clean_accounting, clean_erp, clean_stock, lost_marketplace, marketplace_rows, month_report,
@@ -19,6 +22,7 @@ from salesflow.plans.sell_in import (
 )
 from salesflow.plans.sell_through import compile_sheets
 from salesflow.session import new_folder
+from salesflow.sources.files import list_files
 from workload import query
 from workload.masters import (
     AREA_SQL, CHANNEL_SQL, POSTCODE_SQL, PRODUCT_SQL, areas, channels, postcodes, products,
@@ -217,10 +221,8 @@ def monthly_split(spark, sf_dir):
     """,
 )
 def month_report_query(spark, sf_dir):
-    """A month's rows with their parts; the capacity is out of reach, so only split days cut."""
-    rows = month_report(
-        base(spark, sf_dir), marketplace_in_report(spark, sf_dir), YEAR, MONTH, split_days=(10, 20), cap=10**12
-    )
+    """A month's rows with their parts; without a capacity, only split days cut."""
+    rows = month_report(base(spark, sf_dir), marketplace_in_report(spark, sf_dir), YEAR, MONTH, split_days=(10, 20))
     return dates_as_text(rows.select("NoPesanan", "SentOn", "ReportSource", "Quantity", "sale_month", "part_name"))
 
 
@@ -271,6 +273,57 @@ def report_parts(spark, sf_dir):
     return dates_as_text(pack_days(counts, (15,), cap))
 
 
+@query(
+    "report_parts_uncapped",
+    """
+    WITH days AS (SELECT date_trunc('month', o_orderdate)::date AS month, o_orderdate::date AS day FROM orders),
+    ranges AS (
+        SELECT DISTINCT month, unnest([1, 2]) AS part_no, unnest([month, month + 15]) AS lo,
+               unnest([month + 14, last_day(month)]) AS hi FROM days)
+    SELECT r.month::varchar AS month, CAST(part_no AS bigint) AS part_no, lo::varchar AS lo, hi::varchar AS hi,
+           count(day) AS rows, CAST(2 AS bigint) AS part_count
+    FROM ranges r LEFT JOIN days d ON d.month = r.month AND day BETWEEN lo AND hi GROUP BY ALL
+    """,
+)
+def report_parts_uncapped(spark, sf_dir):
+    """Half months whole, however many rows they hold."""
+    return dates_as_text(pack_days(day_counts(table(spark, sf_dir, "orders"), "o_orderdate")))
+
+
+TWO_MONTHS_SQL = ROWS_SQL.replace(f"last_day(DATE '{YEAR}-{MONTH:02d}-01')", f"last_day(DATE '{YEAR}-{MONTH + 1:02d}-01')")
+SPLIT_SQL = "CASE WHEN side = 'Offline' THEN '' WHEN day(\"SentOn\") <= 15 THEN ' (1)' ELSE ' (2)' END"
+
+
+@query(
+    "build_two_months",
+    f"""
+    WITH r AS (SELECT *, strftime("SentOn", '%Y-%m') AS sale_month,
+                      strftime("SentOn", '%Y %m %b') || ' ' || side || {SPLIT_SQL} AS part_name FROM {TWO_MONTHS_SQL})
+    SELECT 'report' AS kept_in, sale_month, part_name, "ReportSource" AS source, count(*) AS rows,
+           CAST(coalesce(sum("Quantity"), 0) AS bigint) AS units FROM r GROUP BY ALL
+    UNION ALL SELECT 'history', sale_month, NULL, "ReportSource", count(*), CAST(coalesce(sum("Quantity"), 0) AS bigint)
+    FROM r GROUP BY ALL
+    """,
+)
+def build_two_months(spark, sf_dir):
+    """Two months built in one run, one of them twice, read back from the written report and history."""
+    report, history = new_folder(spark, "report"), new_folder(spark, "history")
+    for months in ([(YEAR, MONTH)], [(YEAR, MONTH), (YEAR, MONTH + 1)]):
+        build_months(
+            base(spark, sf_dir), MARKET_ORDERS.df(spark, sf_dir), market_masters(spark, sf_dir), months, AS_OF, "market", report, history
+        )
+
+    def figures(df, kept_in, part):
+        return df.groupBy("sale_month", part.alias("part_name"), named("ReportSource").alias("source")).agg(
+            F.count("*").alias("rows"), F.coalesce(F.sum("Quantity"), F.lit(0)).cast("long").alias("units")
+        ).withColumn("kept_in", F.lit(kept_in))
+
+    parts = spark.read.parquet(report).withColumn("sale_month", F.col("sale_month").cast("string"))
+    return figures(parts, "report", F.col("part_name")).unionByName(
+        figures(read_history(spark, history), "history", F.lit(None).cast("string"))
+    )
+
+
 ORDER_COLS = 'o_orderkey AS "NoPesanan", o_orderdate AS "SentOn", o_totalprice AS "Quantity"'
 
 
@@ -285,16 +338,75 @@ ORDER_COLS = 'o_orderkey AS "NoPesanan", o_orderdate AS "SentOn", o_totalprice A
 )
 def incremental_months(spark, sf_dir):
     """All months saved, then those of one year rebuilt; the others must survive untouched."""
-    rows = table(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").cast("string").alias("NoPesanan"), F.col("o_orderdate").alias("SentOn"),
-        F.col("o_totalprice").alias("Quantity"),
-    )
+    rows = order_rows(spark, sf_dir)
     path = new_folder(spark, "months")
     save_months(rows, path)
     rebuilt = rows.filter("year(SentOn) = 1998 AND cast(NoPesanan as bigint) % 2 = 0")
     save_months(rebuilt.withColumn("Quantity", F.col("Quantity") + 1000), path)
-    saved = spark.read.parquet(path)
-    return dates_as_text(saved.select("NoPesanan", "SentOn", "Quantity", F.date_format("SentOn", "yyyy-MM").alias("sale_month")))
+    return saved_months(spark, path)
+
+
+def order_rows(spark, sf_dir) -> DataFrame:
+    return table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").cast("string").alias("NoPesanan"), F.col("o_orderdate").alias("SentOn"),
+        F.col("o_totalprice").alias("Quantity"),
+    )
+
+
+def saved_months(spark, path: str) -> DataFrame:
+    """The history as saved, under the keys it is stored by."""
+    saved = read_history(spark, path).withColumn("sale_month", F.col("sale_month").cast("string"))
+    return dates_as_text(saved.select("NoPesanan", "SentOn", "Quantity", "sale_month"))
+
+
+@query(
+    "emptied_month",
+    """
+    SELECT CAST(o_orderkey AS varchar) AS "NoPesanan", o_orderdate::date::varchar AS "SentOn",
+           CAST(trunc(o_totalprice) AS bigint) AS "Quantity", strftime(o_orderdate, '%Y-%m') AS sale_month
+    FROM orders WHERE strftime(o_orderdate, '%Y-%m') <> '1998-03'
+    """,
+)
+def emptied_month(spark, sf_dir):
+    """Two months rebuilt, one of which has no rows any more."""
+    rows, path = order_rows(spark, sf_dir), new_folder(spark, "months")
+    save_months(rows, path)
+    save_months(rows.filter("date_format(SentOn, 'yyyy-MM') = '1998-04'"), path, months=["1998-03", "1998-04"])
+    return saved_months(spark, path)
+
+
+@query(
+    "seed_then_rebuild",
+    """
+    SELECT CAST(o_orderkey AS varchar) AS "NoPesanan", o_orderdate::date::varchar AS "SentOn",
+           CAST(trunc(o_totalprice) AS bigint) + CASE WHEN year(o_orderdate) = 1998 THEN 1000 ELSE 0 END AS "Quantity",
+           strftime(o_orderdate, '%Y-%m') AS sale_month
+    FROM orders
+    """,
+)
+def seed_then_rebuild(spark, sf_dir):
+    """All months seeded from exports named by month, then those of one year rebuilt: no month twice."""
+    rows = order_rows(spark, sf_dir)
+    raw, exports, path = new_folder(spark, "raw"), new_folder(spark, "exports"), new_folder(spark, "months")
+    texts = rows.withColumns({"SentOn": F.col("SentOn").cast("date").cast("string"), "Quantity": F.col("Quantity").cast("string")})
+    stems = texts.withColumn("stem", F.date_format(F.col("SentOn").cast("date"), "yyyy MM MMM"))
+    stems.repartition("stem").write.partitionBy("stem").option("header", True).csv(raw)
+    move_exports(spark, raw, exports)
+    seed_history(spark, exports, path)
+    rebuilt = rows.filter("year(SentOn) = 1998").withColumn("Quantity", F.col("Quantity") + 1000)
+    save_months(rebuilt, path)
+    return saved_months(spark, path)
+
+
+def move_exports(spark, raw: str, exports: str) -> None:
+    """Written part files as exports: ``1998 03 Mar_0.csv``."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    for i, file in enumerate(list_files(spark, raw, ".csv")):
+        stem = unquote(file.split("stem=")[1].split("/")[0])
+        target = hadoop.Path(f"{exports}/{stem}_{i}.csv")
+        store = target.getFileSystem(spark._jsc.hadoopConfiguration())
+        store.mkdirs(target.getParent())
+        store.rename(hadoop.Path(file), target)
 
 
 @query(

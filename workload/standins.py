@@ -105,7 +105,6 @@ STOCK = Standin(
         "Quantity": f"case when o_orderkey % 17 = 0 then null else {HALVES} end",
     },
     [CUSTOMER, NATION],
-    "o_orderstatus = 'O'",
 )
 
 # Source B: the ERP feed.
@@ -135,7 +134,6 @@ ERP = Standin(
         "DO Number": "cast(o_orderkey as string)",
     },
     [CUSTOMER, NATION],
-    "o_orderstatus = 'F'",
 )
 
 # Source C: the accounting feed.
@@ -160,7 +158,6 @@ ACCOUNTING = Standin(
         "Quantity": HALVES,
     },
     [CUSTOMER, NATION],
-    "o_orderstatus = 'P'",
 )
 
 # Product sheet: names that differ only by case, many rows a name.
