@@ -45,13 +45,14 @@ def coverage_orders(
 
     The master keeps its first row per city, in file order.
     """
-    files = [p for p in list_files(spark, folder, ".csv") if ORDER_KEYWORD in p.rsplit("/", 1)[-1].lower()]
+    files = [p for p in list_files(spark, folder, ".csv", recursive=False) if ORDER_KEYWORD in p.rsplit("/", 1)[-1].lower()]
     if not files:
-        raise ValueError(f"no CSV with '{ORDER_KEYWORD}' in its name below {folder}")
+        raise ValueError(f"no CSV with '{ORDER_KEYWORD}' in its name in {folder}")
     orders = read_text_csvs(spark, files)
-    sheet = read_delimited_master(spark, master_path, required=[MASTER_CITY, MASTER_STANDARD, MASTER_AREA])
-    # One file read as a whole: its rows are numbered in file order.
-    master = city_master(sheet.withColumn("row_no", F.monotonically_increasing_id()), ["row_no"])
+    sheet = read_delimited_master(
+        spark, master_path, required=[MASTER_CITY, MASTER_STANDARD, MASTER_AREA], row_no="row_no"
+    )
+    master = city_master(sheet, ["row_no"])
     write_union(standardise_places(orders, master), out)
     missing = unmatched_places(orders, master)
     if unmatched_out:

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
+from typing import NamedTuple
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from salesflow.functions import named
-from salesflow.functions.text import NA_TOKENS, na_to_null
+from salesflow.functions.text import NA_TOKENS, na_to_null, strip
 from salesflow.operators.shape import require_columns, union_relaxed
 
 # Regional workbooks are numbered; other files in the folder are strays.
@@ -42,10 +42,10 @@ def select_files(
     return out
 
 
-def list_files(spark: SparkSession, folder: str, suffix: str) -> list[str]:
-    """Paths below a folder with a suffix, sorted; works on any store Spark reads."""
+def list_files(spark: SparkSession, folder: str, suffix: str, recursive: bool = True) -> list[str]:
+    """Paths below a folder, or in it alone, with a suffix, sorted; works on any store Spark reads."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(path, True)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(path, recursive)
     paths = []
     while found.hasNext():
         paths.append(found.next().getPath().toString())
@@ -60,19 +60,30 @@ def _csv(spark: SparkSession, sep: str, multiline: bool):
     )
 
 
-def _clean_names(df: DataFrame) -> DataFrame:
-    return df.toDF(*[c.strip().lstrip("﻿") for c in df.columns])
+class FileShape(NamedTuple):
+    """What one pass over the lines of a delimited file shows."""
 
+    header: str
+    multiline: bool
+    lines: int
 
-def files_with_breaks(spark: SparkSession, paths: Sequence[str]) -> set[str]:
-    """Which CSV files may hold line breaks inside quoted cells.
 
-    A record cut by such a break leaves a line with an odd number of quotes.
+def file_shapes(spark: SparkSession, paths: Sequence[str]) -> dict[str, FileShape]:
+    """Header line, line breaks inside quoted cells, and number of lines of every file, from one job.
+
+    A record cut by a break leaves a line with an odd number of quotes. Files without a line
+    are left out.
     """
-    lines = spark.read.text(list(paths))
-    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    odd = lines.filter(quotes % 2 == 1).select(F.col("_metadata.file_path")).distinct()
-    return {_without_scheme(unquote(row[0])) for row in odd.collect()}
+    value = F.col("value")
+    quotes = F.length(value) - F.length(F.replace(value, F.lit('"'), F.lit("")))
+    place = F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
+    lines = spark.read.text(list(paths)).select(
+        value, F.col("_metadata.file_path").alias("file"), place.alias("place"), (quotes % 2 == 1).alias("odd")
+    )
+    found = lines.filter(strip(value) != "").groupBy("file").agg(
+        F.min_by("value", "place").alias("header"), F.bool_or("odd").alias("multiline"), F.count("*").alias("lines")
+    )
+    return {_without_scheme(unquote(r["file"])): FileShape(r["header"], r["multiline"], r["lines"]) for r in found.collect()}
 
 
 def _without_scheme(path: str) -> str:
@@ -87,25 +98,17 @@ def read_text_csvs(
     """CSV files as text, stacked by column name, "missing" texts as null.
 
     Headers may differ per file. Spark binds CSV columns by position, so files are read in
-    groups of equal headers. A file with line breaks inside cells is read by one task; all
+    groups of equal header lines, which one job over all files finds. A file with line breaks inside cells is read by one task; all
     others are split, so a single large file does not hold up the rest. ``stem_col`` adds
     the file name up to its first ``_``; ``skip_empty`` leaves out the columns of files
     without a row.
     """
-    broken = files_with_breaks(spark, paths)
-
-    def shape_of(path: str) -> tuple[bool, tuple[str, ...]]:
-        multiline = _without_scheme(path) in broken
-        table = _csv(spark, ",", multiline).csv(path)
-        return multiline, () if skip_empty and table.isEmpty() else tuple(table.columns)
-
-    # Only headers come to the driver.
-    with ThreadPoolExecutor(16) as pool:
-        shapes = list(pool.map(shape_of, paths))
-    groups: dict[tuple[bool, tuple[str, ...]], list[str]] = {}
-    for path, shape in zip(paths, shapes):
-        if shape[1]:
-            groups.setdefault(shape, []).append(path)
+    shapes = file_shapes(spark, paths)
+    groups: dict[tuple[bool, str], list[str]] = {}
+    for path in paths:
+        shape = shapes.get(_without_scheme(path))
+        if shape and not (skip_empty and shape.lines < 2):
+            groups.setdefault((shape.multiline, shape.header), []).append(path)
     if not groups:
         raise ValueError(f"no CSV with a header among {len(paths)} files")
     parts = []
@@ -127,16 +130,20 @@ def _stem(alias: str | None) -> list[Column]:
 
 def read_delimited_master(
     spark: SparkSession, path: str, sep: str = ";", required: Sequence[str] = (),
-    na_tokens: Sequence[str] = NA_TOKENS,
+    na_tokens: Sequence[str] = NA_TOKENS, row_no: str | None = None,
 ) -> DataFrame:
     """A delimited master as text: header names stripped, "missing" as null.
 
     Bytes that are not UTF-8 become the replacement character. ``required`` columns are
-    checked before any job.
+    checked before the rows are read. Only a file with line breaks inside cells is read by one
+    task. ``row_no`` names a column by which rows sort in file order.
     """
-    raw = _clean_names(_csv(spark, sep, True).csv(path))
-    require_columns(raw, required, f"master {path}")
-    return raw.select(*[na_to_null(c, na_tokens).alias(c) for c in raw.columns])
+    shape = file_shapes(spark, [path]).get(_without_scheme(path))
+    raw = _csv(spark, sep, shape is None or shape.multiline).csv(path)
+    names = [c.strip().lstrip("\ufeff") for c in raw.columns]
+    order = [] if row_no is None else [F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias(row_no)]
+    out = raw.select(*[na_to_null(old, na_tokens).alias(new) for old, new in zip(raw.columns, names)], *order)
+    return require_columns(out, required, f"master {path}")
 
 
 def with_lineage(df: DataFrame, report_source: str) -> DataFrame:
