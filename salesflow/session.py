@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -29,15 +30,15 @@ def build_session(app: str = "salesflow", master: str | None = None, **conf: str
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach: ``spark.checkpoint.dir`` as the cluster sets it.
 
-    Only a local master without that setting falls back to a temporary folder of this
-    machine; on a cluster the setting is required.
+    Where it is unset, one machine alone, as in tests, gets a temporary folder of its own; on
+    a cluster the setting is required.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir"
     )
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^,]*\])?", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     folder = tempfile.mkdtemp(prefix="salesflow-")
     spark.conf.set("spark.checkpoint.dir", folder)

@@ -42,10 +42,11 @@ def grid_to_table(
 
 
 def promote_header(grid: DataFrame, names: Sequence[str], header_row: int = 0) -> DataFrame:
-    """The named columns of one sheet, found in its header row."""
-    header = grid.filter(F.col("row_no") == header_row).select("cells").first()
-    if header is None:
-        raise ValueError(f"no header in row {header_row}")
+    """The named columns of one sheet, found in its header row; a grid of several sheets is an error."""
+    found = grid.filter(F.col("row_no") == header_row).select("cells").take(2)
+    if len(found) != 1:
+        raise ValueError(f"{'no header' if not found else 'headers of several sheets'} in row {header_row}")
+    header = found[0]
     missing = [n for n in names if n not in header["cells"]]
     if missing:
         raise ValueError(f"header lacks {missing}")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from salesflow.functions import named
 from salesflow.functions.dates import month_key
 from salesflow.operators.compare import (
-    differing_columns, group_diff, multiset_compare, set_diff,
+    differing_columns, group_diff, multiset_compare, same_columns, set_diff,
 )
 from salesflow.operators.filters import counted, sale_day, type_filter
 from salesflow.operators.summary import day_counts, dominant_month, monthly_units, profile, summarise
@@ -142,6 +142,19 @@ def columns_compared(spark, sf_dir):
     return differing_columns(lines(spark, sf_dir), lines(spark, sf_dir, CHANGED))
 
 
+@query(
+    "same_columns",
+    " UNION ALL ".join(
+        f"""SELECT l_linenumber, '{c}' AS "column", count(*) FILTER (WHERE w <> 0) = 0 AS same FROM (
+            SELECT l_linenumber, {c}, sum(w) AS w FROM (SELECT l_linenumber, {c}, 1 AS w FROM ({lines_sql('l_returnflag', 'true')})
+                UNION ALL SELECT l_linenumber, {c}, -1 FROM ({lines_sql(CHANGED, 'true')})) GROUP BY ALL) GROUP BY l_linenumber"""
+        for c in LINE_COLS if c != "l_linenumber"
+    ),
+)
+def columns_alike(spark, sf_dir):
+    return same_columns(lines(spark, sf_dir), lines(spark, sf_dir, CHANGED), "l_linenumber")
+
+
 @query(
     "group_diff",
     f"""
