@@ -2,15 +2,19 @@
 
 Each document's distinct shingle hashes are sorted; their top bits are the bin, so the first hash of
 each bin is that bin's minimum. Empty bins are filled by optimal densification: every bin has its
-own fixed random order of the other bins and copies the first one that is not empty. Bands of four
-bins are hashed to bucket keys; at similarity 0.8 a pair misses all 32 bands with probability below
-1e-6.
+own fixed random order of the other bins and copies the first one that is not empty. Bands of six
+bins are hashed to bucket keys; at similarity 0.8 a pair misses all 42 bands with probability 3e-6.
 
-Documents with equal shingle sets are one class and go on as one representative. In every bucket
-stars are drawn from a hub to the members, never all pairs: hubs are the members that meet the most
-others. Candidates are confirmed on the full sets. A link between two members that are both unlike
-the hub would be missed by one star, so further rounds draw stars from twice as many hubs each,
-but only between members still in different components, until no bucket has an untried pair left.
+Documents with equal shingle sets are one class and go on as one representative. In every bucket a
+star is drawn from a hub to the members, never all pairs: the hub is the member that meets the most
+others. Members that are clearly unlike their hub go no further: two bits a bin differ in 38 of 256
+bins on average at similarity 0.8, and more than 70 (over five deviations) rule a pair out. All others are confirmed
+on the full sets.
+
+A link between two members that are both unlike the hub would be missed by the stars. Where a bucket
+still holds members of different components, those that were no hub are compared among themselves
+in blocks inside the tasks, first by the two bits, then, where any may be alike, on the full sets;
+only the links found become rows. Groups that the stars have joined need none of this.
 
 Defined cases: a null or empty text, or one without words, has 0 shingles, links with nothing and is
 kept. A text of one to k - 1 words has its whole word sequence as its one shingle. Rows that share a
@@ -20,19 +24,27 @@ A null doc_id takes part in no link: its component_id is null and kept is true.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesflow.llm.frames import components, map_batches
+from salesflow.llm.frames import components, map_batches, spanning
 from salesflow.llm.tokens import SPACED, Slice, mix, shingles, slices, words
 from salesflow.session import staged
 
 SHINGLE = 5
 SHARE = 80
-BINS = 128
-ROWS = 4
+BINS = 256
+ROWS = 6
+BANDS = BINS // ROWS
+SKETCH_BINS = 256
+FURTHEST = 70  # of SKETCH_BINS two-bit values; 38 differ on average at similarity 0.8
+LEAST_SKETCHED = 16
+BLOCK = 256
+ODD_BITS = np.uint64(0x5555555555555555)
 HASH_BITS = 52
 _ORDERS = np.argsort(np.random.default_rng(5).random((BINS, BINS)), axis=1)
 
@@ -70,20 +82,26 @@ def signatures(sets: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
 
 def band_keys(sketch: np.ndarray) -> np.ndarray:
     """One bucket key a band, the band's number hashed in."""
-    bands = sketch.reshape(len(sketch), BINS // ROWS, ROWS)
-    key = np.broadcast_to(np.arange(BINS // ROWS, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15), bands.shape[:2])
+    bands = sketch[:, : BANDS * ROWS].reshape(len(sketch), BANDS, ROWS)
+    key = np.broadcast_to(np.arange(BANDS, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15), bands.shape[:2])
     for i in range(ROWS):
         key = mix(key ^ bands[:, :, i])
     return key.astype(np.int64)
 
 
+def two_bits(sketch: np.ndarray) -> np.ndarray:
+    """Two hashed bits of each of the first SKETCH_BINS bins, packed 32 bins to a word."""
+    bits = (mix(sketch[:, :SKETCH_BINS]) >> np.uint64(62)).reshape(len(sketch), -1, 32)
+    return (bits << (np.arange(32, dtype=np.uint64) * np.uint64(2))).sum(axis=2, dtype=np.uint64).astype(np.int64)
+
+
 def features(documents: DataFrame, k: int) -> DataFrame:
     """Per document: the set's size, a 128-bit digest of the set and its band keys."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         n = batch.num_rows
         size, one, two = np.zeros(n, np.int64), np.zeros(n, np.uint64), np.zeros(n, np.uint64)
-        keys: list[np.ndarray] = []
+        keys, bits = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         lengths = np.zeros(n, np.int64)
         for piece in slices(batch.column("text")):
             sets = sorted_sets(piece, k)
@@ -96,18 +114,19 @@ def features(documents: DataFrame, k: int) -> DataFrame:
                 begin = np.searchsorted(text, have)
                 one[piece.first + have] = np.add.reduceat(value, begin)
                 two[piece.first + have] = np.add.reduceat(mix(value + np.uint64(77)), begin)
-                lengths[piece.first + have] = BINS // ROWS
+                lengths[piece.first + have] = 1
                 keys.append(band_keys(sketch).ravel())
-        flat = np.concatenate(keys) if keys else np.zeros(0, np.int64)
-        offsets = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
+                bits.append(two_bits(sketch).ravel())
+        at = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
         return pa.RecordBatch.from_pydict({
             "doc_id": batch.column("doc_id"), "n_shingles": size, "one": one.astype(np.int64), "two": two.astype(np.int64),
-            "bands": pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)),
+            "bands": pa.ListArray.from_arrays(pa.array(at * np.int32(BANDS)), pa.array(np.concatenate(keys))),
+            "bits": pa.ListArray.from_arrays(pa.array(at * np.int32(SKETCH_BINS // 32)), pa.array(np.concatenate(bits))),
         })
 
     return map_batches(
         documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run,
-        "doc_id long, n_shingles long, one long, two long, bands array<long>",
+        "doc_id long, n_shingles long, one long, two long, bands array<long>, bits array<long>",
     )
 
 
@@ -155,55 +174,171 @@ def near_duplicates(documents: DataFrame, k: int = SHINGLE, share: int = SHARE)
     crowded = crowded.where("low <> high").select("key", "met")
     buckets = staged(entries.join(crowded, "key").distinct(), "buckets")
     degree = buckets.groupBy("rep").agg(F.sum("met").alias("degree"))
+    sketches = members.where("doc_id = rep").groupBy("rep").agg(F.first("bits").alias("bits"))
     texts = staged(docs.join(degree.select(F.col("rep").alias("doc_id")), "doc_id"), "candidates")
     # a hub is the smallest of these: most met, then smallest id
     ranked = staged(
-        buckets.join(degree, "rep").select("key", "rep", "n", F.struct((-F.col("degree")).alias("less"), "rep", "n").alias("first")),
+        buckets.join(degree.join(sketches, "rep"), "rep").select("key", "rep", "n", F.struct((-F.col("degree")).alias("less"), "rep").alias("first"), "bits"),
         "ranked",
     )
 
-    links = same
-    tried = None
-    hubs = 1
-    comp = None
-    while True:
-        if comp is None:
-            live = ranked.withColumn("comp", F.col("rep"))
-        else:
-            live = ranked.join(comp, ranked["rep"] == comp["node"], "left").select(
-                *ranked.columns, F.coalesce("comp", "rep").alias("comp")
-            )
-            split = live.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low <> high")
-            live = live.join(split.select("key"), "key")
-        spare = live if tried is None else live.join(tried, ["key", "rep"], "left_anti")
-        heads = (
-            spare.groupBy("key", F.pmod(F.xxhash64("rep"), F.lit(hubs)).alias("part")).agg(F.min("first").alias("first"))
-        )
-        heads = staged(heads.select("key", "first"), "hubs")
-        if heads.isEmpty():
-            return _labelled(found, links if comp is None else comp, comp is None)
-        owners = live.select("key", "rep", F.col("comp").alias("hub_comp")) if comp is not None else None
-        stars = heads.select("key", F.col("first.rep").alias("hub"), F.col("first.n").alias("hub_n"))
-        if owners is not None:
-            stars = stars.join(owners.withColumnRenamed("rep", "hub"), ["key", "hub"])
-        else:
-            stars = stars.withColumn("hub_comp", F.col("hub"))
-        pairs = (
-            live.join(stars, "key").where("comp <> hub_comp")
-            .where(100 * F.least("n", "hub_n") >= share * F.greatest("n", "hub_n"))
-            .select(F.least("hub", "rep").alias("rep"), F.greatest("hub", "rep").alias("hub")).distinct()
-        )
-        used = heads.select("key", F.col("first.rep").alias("rep"))
-        tried = used if tried is None else staged(tried.union(used), "tried")
-        new = staged(confirmed(pairs, texts, k, share).select(F.col("hub").alias("a"), F.col("rep").alias("b")), "links")
-        links = links.union(new)
-        comp = staged(components(links), "components")
-        hubs *= 2
-
-
-def _labelled(found: DataFrame, comp: DataFrame, raw: bool) -> DataFrame:
-    if raw:
-        comp = components(comp)
+    heads = staged(ranked.groupBy("key").agg(F.min("first").alias("first")), "hubs").select("key", "first.rep")
+    comp = staged(components(same.union(stars(ranked, heads, texts, k, share))), "components")
+    # hubs have met their whole bucket: only pairs among the others are untried
+    left = ranked.join(heads, ["key", "rep"], "left_anti").join(comp, F.col("rep") == F.col("node"), "left")
+    left = staged(left.select("key", "rep", "n", "bits", F.coalesce("comp", "rep").alias("comp")), "left")
+    untried = in_blocks(left)
+    likely = untried.mapInArrow(comparing(alike_bits(share), False), "key long, rep long").distinct()
+    likely = staged(likely, "likely")
+    sets = texts.join(likely.select(F.col("rep").alias("doc_id")).distinct(), "doc_id")
+    sets = staged(map_batches(sets, set_rows(k), "rep long, members array<long>"), "sets")
+    again = in_blocks(left.drop("bits").join(likely, ["key", "rep"]), sets)
+    new = again.mapInArrow(comparing(alike_sets(share), True), "a long, b long").distinct()
+    comp = components(comp.select(F.col("node").alias("a"), F.col("comp").alias("b")).union(new))
+    return labelled(found, comp)
+
+
+def stars(ranked: DataFrame, heads: DataFrame, texts: DataFrame, k: int, share: int) -> DataFrame:
+    """The confirmed links (a, b) between each bucket's hub and its members."""
+    own = ranked.join(heads, ["key", "rep"], "left_semi").select(
+        F.col("key").alias("hub_key"), F.col("rep").alias("hub"), F.col("n").alias("hub_n"), F.col("bits").alias("hub_bits")
+    )
+    differ = sum(
+        F.bit_count(F.expr(f"(bits[{i}] ^ hub_bits[{i}] | shiftrightunsigned(bits[{i}] ^ hub_bits[{i}], 1)) & {int(ODD_BITS)}L"))
+        for i in range(SKETCH_BINS // 32)
+    )
+    alike = (F.least("n", "hub_n") < LEAST_SKETCHED) | (differ <= FURTHEST)
+    sizes = 100 * F.least("n", "hub_n") >= share * F.greatest("n", "hub_n")
+    pairs = ranked.join(own, (F.col("key") == F.col("hub_key")) & (F.col("rep") != F.col("hub")) & sizes & alike)
+    pairs = pairs.select(F.least("hub", "rep").alias("hub"), F.greatest("hub", "rep").alias("rep")).distinct()
+    return confirmed(pairs, texts, k, share).select(F.col("rep").alias("a"), F.col("hub").alias("b"))
+
+
+def in_blocks(entries: DataFrame, extra: DataFrame | None = None) -> DataFrame:
+    """Buckets with members of different components, dealt to tasks in blocks and in order.
+
+    A bucket of m members has m / BLOCK blocks by a hash of the member; a block's owners come first,
+    then as guests the members of the later blocks. So every pair of a bucket meets in one block, no
+    pair is a row, and a block's owners are all that a task holds.
+    """
+    open_ = entries.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("m")).where("low <> high")
+    open_ = open_.select("key", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"))
+    rows = entries.join(open_, "key").withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("own")))).withColumn("guest", F.col("own") != F.col("block"))
+    rows = rows.drop("own", "blocks")
+    if extra is not None:
+        rows = rows.join(extra, "rep")
+    return rows.repartition("key", "block").sortWithinPartitions("key", "block", "guest", "rep")
+
+
+def comparing(alike, links: bool):
+    """A task over blocks in order: compares owners with each other and with the guests.
+
+    ``alike`` says which pairs count. Returned are spanning links, or else the members in any pair.
+    """
+
+    def told(key: int, left: pa.RecordBatch, i: np.ndarray, right: pa.RecordBatch, j: np.ndarray) -> pa.RecordBatch:
+        a, b = left.column("rep").to_numpy()[i], right.column("rep").to_numpy()[j]
+        if links:
+            a, b = spanning(a, b)
+            return pa.RecordBatch.from_pydict({"a": a[a != b], "b": b[a != b]})
+        rep = np.unique(np.concatenate([a, b]))
+        return pa.RecordBatch.from_pydict({"key": np.full(len(rep), key), "rep": rep})
+
+    def pairs(key: int, left: pa.RecordBatch, right: pa.RecordBatch, same: bool) -> Iterator[pa.RecordBatch]:
+        good = left.column("comp").to_numpy()[:, None] != right.column("comp").to_numpy()[None, :]
+        if same:
+            good &= np.tri(len(good), k=-1, dtype=bool)
+        if good.any():
+            good &= alike(left, right)
+            i, j = np.nonzero(good)
+            if len(i):
+                yield told(key, left, i, right, j)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place, owners, met = None, None, True
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            key, block, guest = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "block", "guest"))
+            cuts = np.flatnonzero((key[1:] != key[:-1]) | (block[1:] != block[:-1]) | (guest[1:] != guest[:-1])) + 1
+            for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows]):
+                here = (int(key[lo]), int(block[lo]))
+                part = batch.slice(lo, hi - lo)
+                if not guest[lo]:
+                    if here != place and not met:
+                        yield from pairs(place[0], owners, owners, True)
+                    owners = pa.Table.from_batches([owners, part]).combine_chunks().to_batches()[0] if here == place else part
+                    place, met = here, False
+                    continue
+                if here != place:
+                    continue  # a block without owners
+                if not met:
+                    yield from pairs(place[0], owners, owners, True)
+                    met = True
+                for at in range(0, part.num_rows, BLOCK):
+                    yield from pairs(place[0], owners, part.slice(at, BLOCK), False)
+        if place is not None and not met:
+            yield from pairs(place[0], owners, owners, True)
+
+    return run
+
+
+def near_sizes(left: pa.RecordBatch, right: pa.RecordBatch, share: int) -> tuple[np.ndarray, np.ndarray]:
+    """The smaller size of each pair, and whether the sizes allow the share."""
+    n, m = left.column("n").to_numpy()[:, None], right.column("n").to_numpy()[None, :]
+    return np.minimum(n, m), 100 * np.minimum(n, m) >= share * np.maximum(n, m)
+
+
+def alike_bits(share: int):
+    def alike(left: pa.RecordBatch, right: pa.RecordBatch) -> np.ndarray:
+        least, good = near_sizes(left, right, share)
+        a, b = (x.column("bits").flatten().to_numpy().view(np.uint64).reshape(x.num_rows, -1) for x in (left, right))
+        differ = np.zeros(good.shape, np.int32)
+        for w in range(a.shape[1]):
+            x = a[:, w][:, None] ^ b[:, w][None, :]
+            differ += np.bitwise_count((x | (x >> np.uint64(1))) & ODD_BITS)
+        return good & ((least < LEAST_SKETCHED) | (differ <= FURTHEST))
+
+    return alike
+
+
+def alike_sets(share: int):
+    def alike(left: pa.RecordBatch, right: pa.RecordBatch) -> np.ndarray:
+        (a, n), (b, m) = ((x.column("members").flatten().to_numpy(), np.diff(x.column("members").offsets.to_numpy())) for x in (left, right))
+        owner = np.repeat(np.arange(len(n)), n)
+        order = np.argsort(a, kind="stable")
+        a, owner = a[order], owner[order]
+        low, high = np.searchsorted(a, b, "left"), np.searchsorted(a, b, "right")
+        count = high - low
+        guest = np.repeat(np.repeat(np.arange(len(m)), m), count)
+        at = np.repeat(low - np.cumsum(count) + count, count) + np.arange(int(count.sum()))
+        meet = np.bincount(owner[at] * len(m) + guest, minlength=len(n) * len(m)).reshape(len(n), len(m))
+        return 100 * meet >= share * (n[:, None] + m[None, :] - meet)
+
+    return alike
+
+
+def set_rows(k: int):
+    """Each text's distinct shingle hashes as one list."""
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        at, values = [np.zeros(1, np.int32)], [np.zeros(0, np.int64)]
+        total = 0
+        for piece in slices(batch.column("text")):
+            sets = sorted_sets(piece, k)
+            ends = np.searchsorted(sets >> np.uint64(HASH_BITS), np.arange(1, piece.n + 1, dtype=np.uint64))
+            at.append((total + ends).astype(np.int32))
+            values.append((sets & np.uint64((1 << HASH_BITS) - 1)).astype(np.int64))
+            total += len(sets)
+        lists = pa.ListArray.from_arrays(pa.array(np.concatenate(at)), pa.array(np.concatenate(values)))
+        return pa.RecordBatch.from_pydict({"rep": batch.column("doc_id"), "members": lists})
+
+    return run
+
+
+def labelled(found: DataFrame, comp: DataFrame) -> DataFrame:
+    """The rows of the result, from the features and the components."""
     out = found.select("doc_id", "n_shingles").join(comp, F.col("doc_id") == F.col("node"), "left")
     component = F.coalesce("comp", "doc_id")
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
