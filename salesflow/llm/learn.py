@@ -78,7 +78,8 @@ def fit(sample: DataFrame, terms: Terms, train: Callable[[np.ndarray, list[np.nd
 
     rows = map_batches(sample.select("doc_id", "y", "text"), sparse, "doc_id long, y int, bins array<int>, counts array<int>")
     one = rows.repartition(1).sortWithinPartitions(F.xxhash64("doc_id"), "doc_id")
-    return bytes(one.mapInArrow(whole, "model binary").first()["model"])
+    made = one.mapInArrow(whole, "model binary").first()
+    return bytes(made["model"]) if made else train(np.zeros(0), [], [])  # no labelled rows: no partition
 
 
 def scored(documents: DataFrame, keep: list[str], score: Callable[[Slice], np.ndarray], cut: float) -> DataFrame:
