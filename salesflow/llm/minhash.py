@@ -169,16 +169,18 @@ def near_duplicates(documents: DataFrame, k: int = SHINGLE, share: int = SHARE)
     same = members.where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).distinct()
     same = staged(same, "copies")
 
-    entries = members.where("doc_id = rep").select("rep", F.col("n_shingles").alias("n"), F.explode("bands").alias("key"))
+    # a doc_id may stand for several texts, which the tag tells apart
+    own = members.where("doc_id = rep").withColumn("tag", F.hash("one", "two"))
+    entries = own.select("rep", "tag", F.col("n_shingles").alias("n"), F.explode("bands").alias("key"))
     crowded = entries.groupBy("key").agg(F.count("*").alias("met"), F.min("rep").alias("low"), F.max("rep").alias("high"))
     crowded = crowded.where("low <> high").select("key", "met")
     buckets = staged(entries.join(crowded, "key").distinct(), "buckets")
     degree = buckets.groupBy("rep").agg(F.sum("met").alias("degree"))
-    sketches = members.where("doc_id = rep").groupBy("rep").agg(F.first("bits").alias("bits"))
+    sketches = own.groupBy("rep", "tag").agg(F.first("bits").alias("bits")).join(degree, "rep")
     texts = staged(docs.join(degree.select(F.col("rep").alias("doc_id")), "doc_id"), "candidates")
     # a hub is the smallest of these: most met, then smallest id
     ranked = staged(
-        buckets.join(degree.join(sketches, "rep"), "rep").select("key", "rep", "n", F.struct((-F.col("degree")).alias("less"), "rep").alias("first"), "bits"),
+        buckets.join(sketches, ["rep", "tag"]).select("key", "rep", "n", F.struct((-F.col("degree")).alias("less"), "rep").alias("first"), "bits"),
         "ranked",
     )
 
