@@ -105,6 +105,7 @@ def pruned_edges(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def build(members: pa.Table) -> pa.Table:
     """One overlapping shard: the adjacency list of every member."""
+    members = members.sort_by("vec_id")
     x = unit(matrix(members["embedding"])).astype(np.float32)
     ids, owner = members["vec_id"].to_numpy(), members["owner"].to_numpy()
     out = []

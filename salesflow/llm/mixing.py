@@ -77,7 +77,7 @@ def mix(documents: DataFrame, block: int = BLOCK, keep: list[str] | None = None)
     plan = plan.withColumn("about", about).withColumn("width", F.expr("greatest((source_size + about - 1) div about, 1)"))
     plan = plan.withColumn("blocks", F.expr("(source_size + width - 1) div width")).drop("about")
     due = F.when(F.col("source_size") > 0, F.col("target") * F.col("blocks") / F.col("source_size")).otherwise(0.0)
-    plan = plan.withColumn("due", due)  # slots the target asks for
+    plan = plan.withColumn("due", due.cast("decimal(28,6)"))  # slots the target asks for; sums in any order agree
     plan = staged(plan, "targets")
     shuffled = before(rows, ["source"], [F.xxhash64("id", "body"), F.col("id"), F.col("body")], F.col("size"), "start", F.xxhash64("id", "body", F.lit(1)))
     shuffled = shuffled.join(plan.withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of"))).drop("of")
@@ -85,7 +85,7 @@ def mix(documents: DataFrame, block: int = BLOCK, keep: list[str] | None = None)
 
     # the guide: each cell of [0, 1) lists the sources whose share of the weights meets it
     upto = Window.orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
-    shares = plan.where("due > 0").withColumn("share", F.col("due") / F.sum("due").over(Window.partitionBy()))
+    shares = plan.where("due > 0").withColumn("share", (F.col("due") / F.sum("due").over(Window.partitionBy())).cast("double"))
     shares = shares.withColumn("high", F.sum("share").over(upto)).withColumn("last", F.max("place").over(Window.partitionBy()))
     shares = shares.withColumn("high", F.when(F.col("place") == F.col("last"), F.lit(1.0)).otherwise(F.col("high")))
     shares = shares.withColumn("low", F.coalesce(F.lag("high").over(Window.orderBy("place")), F.lit(0.0)))
