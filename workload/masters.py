@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from functools import reduce
+
+from pyspark.sql import DataFrame, functions as F
 
 from salesflow.functions import named
 from salesflow.operators.joins import lookup, lookup_or_default
@@ -10,6 +12,7 @@ from salesflow.operators.masters import (
     area_master, channel_master, keep_first, lookup_fanout, place_master, postcode_master,
     product_master, standardise_places, unmatched_places,
 )
+from salesflow.plans.master_data import AREA_CELLS, AREA_SKIP, PRODUCT_CELLS, PRODUCT_SKIP, report_masters
 from salesflow.session import new_folder
 from salesflow.sources.sinks import write_exceptions
 from workload import query
@@ -179,3 +182,50 @@ def exceptions_file(spark, sf_dir):
     path = new_folder(spark, "unmatched")
     write_exceptions(places_unmatched(spark, sf_dir), path)
     return spark.read.csv(path, header=True)
+
+
+def workbook(spark, sf_dir):
+    """The master workbook as a grid: sheets by cell position, and one with its header in row 0."""
+
+    def sheet(name: str, df, cells: list[str], row_no) -> DataFrame:
+        values = F.array(*[F.col(f"`{c}`").cast("string") if c else F.lit("") for c in cells])
+        kinds = F.transform(values, lambda v: F.when(v.isNull(), F.lit("empty")).otherwise(F.lit("text")))
+        return df.select(
+            F.lit("masters.xlsx").alias("source_file"), F.lit(name).alias("sheet"), F.lit("visible").alias("sheet_state"),
+            row_no.cast("long").alias("row_no"), values.alias("cells"), kinds.alias("cell_types"),
+        )
+
+    at = F.col("row_no")
+    channel_cells = ["Sub Channel", "SalesType", "Channel Group", "Channel", "SubSalesType"]
+    channels_sheet = CHANNEL_SHEET.df(spark, sf_dir)
+    header = spark.range(1).select(*[F.lit(c).alias(c) for c in channel_cells])
+    parts = [
+        sheet("Product", PRODUCT_SHEET.df(spark, sf_dir), ["", *PRODUCT_CELLS], at + PRODUCT_SKIP),
+        sheet("Area", AREA_SHEET.df(spark, sf_dir), ["", *AREA_CELLS], at + AREA_SKIP),
+        sheet("Channel", header, channel_cells, F.lit(0)),
+        sheet("Channel", channels_sheet, channel_cells, F.monotonically_increasing_id() + 1),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query(
+    "workbook_masters",
+    f"""
+    SELECT 'product' AS master, "ItemName" AS a, "Brand" AS b, "Category" AS c, "SubCategory" AS d, "Type of Item" AS e FROM {PRODUCT_SQL}
+    UNION ALL SELECT 'area', "Province", "Region", NULL, NULL, NULL FROM {AREA_SQL}
+    UNION ALL SELECT 'channel', "SalesType", "SubSalesType", "Channel Group", "Channel", "Sub Channel" FROM {CHANNEL_SQL}
+    """,
+)
+def workbook_masters(spark, sf_dir):
+    """Product, area and channel masters out of the workbook's sheets."""
+    product, area, channel = report_masters(workbook(spark, sf_dir))
+
+    def shown(df, name: str, *cols: str):
+        filled = [F.col(f"`{c}`") for c in cols] + [F.lit(None).cast("string")] * (5 - len(cols))
+        return df.select(F.lit(name).alias("master"), *[c.alias(n) for c, n in zip(filled, "abcde")])
+
+    return (
+        shown(product, "product", "ItemName", "Brand", "Category", "SubCategory", "Type of Item")
+        .unionByName(shown(area, "area", "Province", "Region"))
+        .unionByName(shown(channel, "channel", "SalesType", "SubSalesType", "Channel Group", "Channel", "Sub Channel"))
+    )

@@ -131,20 +131,29 @@ def file_name_filter(spark, sf_dir):
 QUARTER_TAGS = ["98 07 Jul", "98 08 Aug", "98 09 Sep", "98 06 Jun (3)"]
 
 
-@query(
-    "quarter_scope",
-    f"""
+QUARTER_SQL = f"""
     SELECT "Order Number" AS order_number, "Source" AS source FROM {MARKET_ORDERS.sql}
     WHERE regexp_matches("Source", '{"|".join(t.replace("(", "[(]").replace(")", "[)]") for t in QUARTER_TAGS)}', 'i')
       AND contains(upper("Source"), 'REPORT') AND NOT contains("Source", '$')
-    """,
-)
-def scope_of_quarter(spark, sf_dir):
-    orders = MARKET_ORDERS.df(spark, sf_dir)
-    scoped = quarter_scope(orders, "Source", YEAR, MONTH)
+    """
+
+
+def quarter(spark, sf_dir, list_up_to=None):
+    scoped = quarter_scope(MARKET_ORDERS.df(spark, sf_dir), "Source", YEAR, MONTH, list_up_to)
     return scoped.select(named("Order Number").alias("order_number"), named("Source").alias("source"))
 
 
+@query("quarter_scope", QUARTER_SQL)
+def scope_of_quarter(spark, sf_dir):
+    return quarter(spark, sf_dir)
+
+
+@query("quarter_scope_listed", QUARTER_SQL)
+def listed_scope_of_quarter(spark, sf_dir):
+    """The file names listed first, so that the scan gets an IN list."""
+    return quarter(spark, sf_dir, 1000)
+
+
 @query(
     "sale_window",
     """
