@@ -38,6 +38,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the schedule of target weights takes them."""
+    with_package(spark)
     return mixed(docs)
 
 

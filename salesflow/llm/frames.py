@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -22,10 +24,31 @@ def map_batches(df: DataFrame, run: Callable[[pa.RecordBatch], pa.RecordBatch |
         for batch in batches:
             if batch.num_rows and (out := run(batch)) is not None:
                 yield out
+        give_back()
 
     return df.mapInArrow(each, schema)
 
 
+def give_back() -> None:
+    """Returns a worker's freed memory to the system: Spark keeps workers for later tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+@contextmanager
+def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
+    """What is planned and run inside sends at most ``rows`` rows at a time to Python."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def keep_rows(df: DataFrame, test: Callable[[pa.Array], pa.Array], uses: str = "text") -> DataFrame:
     """The rows of the frame, all columns as they are, for which ``test`` holds. The test gets
     the column ``uses`` alone, so the names of the others don't matter."""

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salesflow.llm.frames import map_batches
+from salesflow.llm.frames import give_back, map_batches
 from salesflow.llm.tokens import Slice, slices
 
 MAX_ROWS = 12_000
@@ -73,8 +73,11 @@ def fit(sample: DataFrame, terms: Terms, train: Callable[[np.ndarray, list[np.nd
                 column = batch.column(name)
                 at = column.offsets.to_numpy()
                 values = column.values.to_numpy()
-                out.extend(values[a:b].copy() for a, b in zip(at[:-1], at[1:]))
-        yield pa.RecordBatch.from_pydict({"model": pa.array([train(np.array(y, np.float64), bins, counts)], pa.binary())})
+                out.extend(values[a:b] for a, b in zip(at[:-1], at[1:]))
+        model = train(np.array(y, np.float64), bins, counts)
+        bins, counts = [], []
+        give_back()
+        yield pa.RecordBatch.from_pydict({"model": pa.array([model], pa.binary())})
 
     rows = map_batches(sample.select("doc_id", "y", "text"), sparse, "doc_id long, y int, bins array<int>, counts array<int>")
     one = rows.repartition(1).sortWithinPartitions(F.xxhash64("doc_id"), "doc_id")

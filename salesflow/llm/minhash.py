@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesflow.llm.frames import components, map_batches, spanning
+from salesflow.llm.frames import batches_of, components, give_back, map_batches, spanning
 from salesflow.llm.tokens import SPACED, Slice, mix, shingles, slices, words
 from salesflow.session import staged
 
@@ -44,6 +44,7 @@ SKETCH_BINS = 256
 FURTHEST = 70  # of SKETCH_BINS two-bit values; 38 differ on average at similarity 0.8
 LEAST_SKETCHED = 16
 BLOCK = 256
+PAIRS_A_BATCH = 512
 ODD_BITS = np.uint64(0x5555555555555555)
 HASH_BITS = 52
 _ORDERS = np.argsort(np.random.default_rng(5).random((BINS, BINS)), axis=1)
@@ -164,7 +165,8 @@ def near_duplicates(documents: DataFrame, k: int = SHINGLE, share: int = SHARE)
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     found = staged(features(docs, k), "shingles")
     known = found.where("doc_id IS NOT NULL AND n_shingles > 0")
-    classes = known.groupBy("one", "two").agg(F.min("doc_id").alias("rep"))
+    # written first: a join of two plain shuffles can have a large group's partition split
+    classes = staged(known.groupBy("one", "two").agg(F.min("doc_id").alias("rep")), "classes")
     members = known.join(classes, ["one", "two"])
     same = members.where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).distinct()
     same = staged(same, "copies")
@@ -173,7 +175,7 @@ def near_duplicates(documents: DataFrame, k: int = SHINGLE, share: int = SHARE)
     own = members.where("doc_id = rep").withColumn("tag", F.hash("one", "two"))
     entries = own.select("rep", "tag", F.col("n_shingles").alias("n"), F.explode("bands").alias("key"))
     crowded = entries.groupBy("key").agg(F.count("*").alias("met"), F.min("rep").alias("low"), F.max("rep").alias("high"))
-    crowded = crowded.where("low <> high").select("key", "met")
+    crowded = staged(crowded.where("low <> high").select("key", "met"), "crowded")
     buckets = staged(entries.join(crowded, "key").distinct(), "buckets")
     degree = buckets.groupBy("rep").agg(F.sum("met").alias("degree"))
     sketches = own.groupBy("rep", "tag").agg(F.first("bits").alias("bits")).join(degree, "rep")
@@ -185,7 +187,9 @@ def near_duplicates(documents: DataFrame, k: int = SHINGLE, share: int = SHARE)
     )
 
     heads = staged(ranked.groupBy("key").agg(F.min("first").alias("first")), "hubs").select("key", "first.rep")
-    comp = staged(components(same.union(stars(ranked, heads, texts, k, share))), "components")
+    with batches_of(docs.sparkSession, PAIRS_A_BATCH):  # two whole texts a row
+        links = staged(stars(ranked, heads, texts, k, share), "links")
+    comp = staged(components(same.union(links)), "components")
     # hubs have met their whole bucket: only pairs among the others are untried
     left = ranked.join(heads, ["key", "rep"], "left_anti").join(comp, F.col("rep") == F.col("node"), "left")
     left = staged(left.select("key", "rep", "n", "bits", F.coalesce("comp", "rep").alias("comp")), "left")
@@ -282,6 +286,7 @@ def comparing(alike, links: bool):
                     yield from pairs(place[0], owners, part.slice(at, BLOCK), False)
         if place is not None and not met:
             yield from pairs(place[0], owners, owners, True)
+        give_back()
 
     return run
 

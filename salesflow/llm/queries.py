@@ -19,13 +19,16 @@ from salesflow.llm.repeats import cut_repeats
 from salesflow.llm.secrets import scan_secrets
 from salesflow.llm.toxicity import score_toxicity
 
+ROWS_A_BATCH = 1000
 ROOT = str(Path(__file__).resolve().parents[2])
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
 def with_package(spark: SparkSession) -> None:
-    """Lets the session's Python workers find this package even where it is not installed."""
+    """Readies a session: its Python workers find this package even where it is not installed, and
+    get rows in batches that stay small when every row is a whole document."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ROWS_A_BATCH)
     path = spark.sparkContext.environment.get("PYTHONPATH", "")
     if ROOT not in path.split(os.pathsep):
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [ROOT, path]))

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _GRAM = np.random.default_rng(20).integers(1, 1 << 63, 64, dtype=np.uint64) | np.uint64(1)
 _BYTE = np.random.default_rng(21).integers(1, 1 << 63, 256, dtype=np.uint64)
