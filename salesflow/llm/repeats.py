@@ -27,14 +27,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesflow.llm.frames import map_batches
+from salesflow.llm.frames import give_back, map_batches
 from salesflow.llm.suffixes import common_prefix_reaches, induced_suffix_array
 from salesflow.llm.tokens import Slice, buffers, mix, prefix_sums, slices, span_hash
 from salesflow.session import staged
 
 LENGTH = 200
 GRAM = 32
-SHARD_BYTES = 3 << 20
+SHARD_BYTES = 2 << 20
 GROUP = 4096
 
 
@@ -117,14 +117,16 @@ def cut_repeats(documents: DataFrame, length: int = LENGTH, shard_bytes: int = S
     place_type = f"doc_id {id_type}, body int, start int, n short"
     places = staged(map_batches(docs, cut, f"{place_type}, key long, digest long"), "contexts")
     keys = places.groupBy("key").agg(F.count("*").alias("met"), F.min("digest").alias("low"), F.max("digest").alias("high"))
-    keys = keys.where("met > 1").select("key", (F.col("low") != F.col("high")).alias("mixed"))
+    # written first: a join of two plain shuffles can have a hot key's partition split
+    keys = staged(keys.where("met > 1").select("key", (F.col("low") != F.col("high")).alias("mixed")), "keys")
     again = staged(places.join(keys, "key"), "repeated")
 
     plain = again.where("NOT mixed").select("doc_id", "body", F.col("start").alias("first"), (F.col("start") + F.col("n") - 1 + length).alias("end"))
     classes = again.where("mixed").groupBy("key", "digest").agg(F.count("*").alias("copies"), F.min(F.struct("doc_id", "body", "start", "n")).alias("at"))
-    sizes = classes.groupBy("key").agg((F.count("*") > group).alias("large"))
+    classes = staged(classes, "classes")
+    sizes = classes.groupBy("key").agg((F.count("*") > group).alias("large")).where("large")
     wanted = (
-        classes.join(sizes, "key").groupBy(F.col("at.doc_id").alias("w_id"), F.col("at.body").alias("w_body"))
+        classes.join(sizes, "key", "left").withColumn("large", F.coalesce("large", F.lit(False))).groupBy(F.col("at.doc_id").alias("w_id"), F.col("at.body").alias("w_body"))
         .agg(F.collect_list(F.struct("key", "digest", "copies", "large", F.col("at.start").alias("start"), F.col("at.n").alias("n"))).alias("wanted"))
     )
     with_text = docs.join(wanted, F.col("doc_id").eqNullSafe(F.col("w_id")) & (F.col("body") == F.col("w_body")))
@@ -175,6 +177,7 @@ def cut_repeats(documents: DataFrame, length: int = LENGTH, shard_bytes: int = S
                 size += len(s)
         if key:
             yield solve(len(key))
+        give_back()
 
     def strings(batch: pa.RecordBatch) -> pa.RecordBatch | None:
         raw, offsets = binary(batch.column("stretch"))
