@@ -180,6 +180,16 @@ def test_cut_repeats(spark, kwargs):
     assert got == Counter((d, *x) for (d, _), x in zip(rows, brute.cut_repeats(rows)))
 
 
+def test_cut_repeats_tells_apart_texts_of_one_id_with_equal_short_hashes(spark):
+    tail = " " + "ab cd " * 50
+    pairs_ = [("226391 short", "253708" + tail), ("94280" + tail, "136518" + tail)]
+    rows = [(i, t) for i, pair in zip((None, 7), pairs_) for t in pair] + [(8, "136518" + tail)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert docs.where("doc_id IS NULL OR doc_id = 7").select(F.hash("text")).distinct().count() == 2
+    got = as_rows(cut_repeats(docs), "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    assert got == Counter((d, *x) for (d, _), x in zip(rows, brute.cut_repeats(rows)))
+
+
 def test_cut_repeats_of_nothing(no_documents):
     assert cut_repeats(no_documents).count() == 0
 
