@@ -98,17 +98,24 @@ def read_text_csvs(
     """CSV files as text, stacked by column name, "missing" texts as null.
 
     Headers may differ per file. Spark binds CSV columns by position, so files are read in
-    groups of equal header lines, which one job over all files finds. A file with line breaks inside cells is read by one task; all
-    others are split, so a single large file does not hold up the rest. ``stem_col`` adds
-    the file name up to its first ``_``; ``skip_empty`` leaves out the columns of files
-    without a row.
+    groups of equal headers. One job over all files finds the header lines; a file with line
+    breaks inside cells may have one in its header, so there the parsed columns are compared.
+    Such a file is read by one task; all others are split, so a single large file does not
+    hold up the rest. ``stem_col`` adds the file name up to its first ``_``; ``skip_empty``
+    leaves out the columns of files without a row.
     """
     shapes = file_shapes(spark, paths)
-    groups: dict[tuple[bool, str], list[str]] = {}
+    groups: dict[tuple[bool, str | tuple[str, ...]], list[str]] = {}
     for path in paths:
         shape = shapes.get(_without_scheme(path))
-        if shape and not (skip_empty and shape.lines < 2):
-            groups.setdefault((shape.multiline, shape.header), []).append(path)
+        if shape is None:
+            continue
+        header, empty = shape.header, shape.lines < 2
+        if shape.multiline:
+            one = _csv(spark, ",", True).csv(path)
+            header, empty = tuple(one.columns), skip_empty and one.isEmpty()
+        if not (skip_empty and empty):
+            groups.setdefault((shape.multiline, header), []).append(path)
     if not groups:
         raise ValueError(f"no CSV with a header among {len(paths)} files")
     parts = []

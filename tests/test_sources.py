@@ -31,6 +31,19 @@ def test_csvs_with_different_headers_meet_by_name(spark, tmp_path):
     assert "Other" in read_text_csvs(spark, files).columns
 
 
+def test_csvs_with_a_line_break_in_the_header_meet_by_name(spark, tmp_path):
+    (tmp_path / "a_1.csv").write_text('"Order\nNo",City,Province\n1,Bandung,West\n')
+    (tmp_path / "b_1.csv").write_text('"Order\nNo",Province,City\n2,East,Surabaya\n')
+    (tmp_path / "c_1.csv").write_text('"Order\nNo",Other\n')
+    files = list_files(spark, str(tmp_path), ".csv")
+    out = read_text_csvs(spark, files, stem_col="stem", skip_empty=True)
+    assert rows(out.select("stem", "Order\nNo", "City", "Province")) == Counter(
+        [("a", "1", "Bandung", "West"), ("b", "2", "Surabaya", "East")]
+    )
+    assert "Other" not in out.columns
+    assert "Other" in read_text_csvs(spark, files).columns
+
+
 def test_delimited_master_with_bom_bad_bytes_and_padded_header(spark, tmp_path):
     path = tmp_path / "master.csv"
     path.write_bytes(b"\xef\xbb\xbfCity ; ADM1\nBandung;W\xffst\n;None\n")
