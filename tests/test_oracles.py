@@ -34,3 +34,7 @@ def test_plans_stay_inside_the_engine(spark, name):
 
 def test_every_query_is_registered():
     assert set(QUERIES) <= set(queries())
+
+
+def test_the_coverage_job_is_a_query_with_sql():
+    assert "coverage_orders" in queries() and "coverage_orders" in ORACLES

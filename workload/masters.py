@@ -12,8 +12,10 @@ from salesflow.operators.masters import (
     area_master, channel_master, keep_first, lookup_fanout, place_master, postcode_master,
     product_master, standardise_places, unmatched_places,
 )
+from salesflow.plans.coverage import coverage_orders
 from salesflow.plans.master_data import AREA_CELLS, AREA_SKIP, PRODUCT_CELLS, PRODUCT_SKIP, report_masters
 from salesflow.session import new_folder
+from salesflow.sources.files import list_files
 from salesflow.sources.sinks import write_exceptions
 from workload import query
 from workload.standins import (
@@ -184,6 +186,36 @@ def exceptions_file(spark, sf_dir):
     return spark.read.csv(path, header=True)
 
 
+@query(
+    "coverage_orders",
+    f"""
+    SELECT DISTINCT 'orders' AS list, "Province", "City", "Segment", "Day",
+           coalesce("ADM2_Standardized", '-') AS "ADM2_Standardized", coalesce("ADM1", '-') AS "ADM1" FROM {FOUND_SQL}
+    UNION ALL SELECT 'unmatched', "Province", "City", NULL, NULL, NULL, NULL FROM ({UNMATCHED_SQL})
+    """,
+)
+def order_files(spark, sf_dir):
+    """The whole job: order files of two headers beside a stray, a master file, both results read back."""
+    folder, sheet = new_folder(spark, "order-files"), new_folder(spark, "city-master")
+    plain = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    orders = PLACE_ORDERS.df(spark, sf_dir)
+    even = F.pmod(F.xxhash64(*orders.columns), F.lit(2)) == 0
+    for name, rows in (
+        ("Sales_Order_Number", orders.filter(even)),
+        ("order_number_2", orders.filter(~even).select("Day", "City", "Segment", "Province")),
+        ("stray", orders.limit(5).withColumn("City", F.lit("stray"))),
+    ):
+        rows.write.mode("append").options(**plain, **{"mapreduce.output.basename": name}).csv(folder)
+    # a master is one file, and its order counts
+    master = CITY_SHEET.df(spark, sf_dir).repartition(1).sortWithinPartitions("row_no").drop("row_no")
+    master.write.options(**plain, sep=";").csv(sheet)
+    out, listed = new_folder(spark, "places"), new_folder(spark, "unmatched")
+    coverage_orders(spark, folder, list_files(spark, sheet, ".csv")[0], out, listed)
+    found = spark.read.parquet(out).withColumn("list", F.lit("orders"))
+    missing = spark.read.csv(listed, header=True).withColumn("list", F.lit("unmatched"))
+    return found.unionByName(missing, allowMissingColumns=True)
+
+
 def workbook(spark, sf_dir):
     """The master workbook as a grid: sheets by cell position, and one with its header in row 0."""
 
