@@ -238,6 +238,19 @@ def test_secrets(spark, odd_documents):
         assert set(kept) >= set(filter(None, brute.secrets(row["text"])[4].split(","))) or row["doc_id"] in (103, 106)
 
 
+def test_grammar_judges_short_plain_and_dotted_tokens(spark):
+    draw = np.random.default_rng(5)
+    formats = [("abcdefghij", 10, ""), ("0123456789", 12, ""), ("XYZ", 9, ".")]
+    make = lambda pool, n, dot: "".join(draw.choice(list(pool), n)) + (dot and dot + "".join(draw.choice(list(pool), n)))
+    rows = [(i, f"token={make(*formats[i % 3])}") for i in range(600)]
+    fresh = [make(*f) for f in formats for _ in range(20)]
+    rows += [(1000 + i, f"see {v}. thanks-a-lot") for i, v in enumerate(fresh)]
+    got = {r["doc_id"]: r["spans"] for r in scan_secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    want = [f"grammar:4:{4 + len(v)}" for v in fresh]
+    for k in range(0, 60, 20):
+        assert sum(got[1000 + i] == want[i] for i in range(k, k + 20)) >= 15
+
+
 def test_grammar_finds_its_format():
     random = np.random.default_rng(4)
     machine = Automaton(["".join(random.choice(list("0123456789abcdef"), 40)) for _ in range(200)])
