@@ -7,10 +7,13 @@ from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from salesflow.llm.centroids import cluster_vectors, digest_of
 from salesflow.llm.decontaminate import decontaminate
 from salesflow.llm.embeddings import link_vectors
 from salesflow.llm.hilbert import shards
+from salesflow.llm.interaction import audit_filters
 from salesflow.llm.licenses import scan_licenses
 from salesflow.llm.minhash import near_duplicates
 from salesflow.llm.mixing import mix
@@ -166,3 +169,89 @@ FROM rows r JOIN lowest USING (vec_id) LEFT JOIN degree d ON d.vec_id = r.vec_id
 @query("op4_embedding_near_dedup", OP4_SQL)
 def op4_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link_vectors(table(spark, sf_dir, "embeddings"))
+
+
+OP11_ROUND = """
+near{r} AS MATERIALIZED (
+  SELECT row_no, min(struct_pack(d := d, cluster := cluster)) AS best
+  FROM (
+    SELECT v.row_no, c.cluster, list_sum([(v.q[i] - c.q[i]) * (v.q[i] - c.q[i]) for i in range(1, 65)]) AS d
+    FROM vectors v, centroids{r} c
+  ) GROUP BY row_no
+),"""
+OP11_MOVE = """
+means{n} AS (
+  SELECT cluster, list(((s - ((s % n + n) % n)) // n)::BIGINT ORDER BY i) AS q
+  FROM (SELECT best.cluster AS cluster, i, sum(q[i])::BIGINT AS s, count(*)::BIGINT AS n FROM near{r} JOIN vectors USING (row_no), range(1, 65) t(i) GROUP BY ALL)
+  GROUP BY cluster
+),
+centroids{n} AS MATERIALIZED (SELECT c.cluster, coalesce(m.q, c.q) AS q FROM centroids{r} c LEFT JOIN means{n} m USING (cluster)),"""
+OP11_SQL = """
+WITH usable AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE len(embedding) = 64 AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
+),
+vectors AS MATERIALIZED (SELECT vec_id, row_number() OVER () AS row_no, [floor(256 * x)::BIGINT for x in e] AS q FROM usable),
+centroids0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id), q) - 1 AS cluster, q
+  FROM (SELECT * FROM vectors ORDER BY sha256('2:' || vec_id), q LIMIT 40)
+),""" + "".join(OP11_ROUND.format(r=r) + OP11_MOVE.format(r=r, n=r + 1) for r in range(5)) + OP11_ROUND.format(r=5) + """
+spread AS (SELECT best.cluster AS cluster, sum(best.d)::BIGINT AS inertia FROM near5 GROUP BY 1)
+SELECT v.vec_id, n.best.cluster::INTEGER AS cluster, n.best.d::BIGINT AS distance, s.inertia AS cluster_inertia,
+  (SELECT sum(inertia)::BIGINT FROM spread) AS inertia, sha256(array_to_string(c.q, ',')) AS centroid_sha256
+FROM near5 n JOIN vectors v USING (row_no) JOIN spread s ON s.cluster = n.best.cluster JOIN centroids5 c ON c.cluster = n.best.cluster
+"""
+
+
+@query("op11_centroid_clustering", OP11_SQL)
+def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = cluster_vectors(table(spark, sf_dir, "embeddings"))
+    return rows.withColumn("centroid_sha256", digest_of(F.col("centroid"))).drop("centroid")
+
+
+OP13_SQL = r"""
+WITH texts AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+),
+flags AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+masks AS (
+  SELECT doc_id, part,
+    (len(w) < 100)::INT + 2 * (100 * len(list_distinct(w)) < 80 * len(w))::INT
+    + 4 * (100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t))::INT
+    + 8 * regexp_matches(t, '[#$%&*|]')::INT + 16 * coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false)::INT AS mask
+  FROM texts
+),
+cells AS (
+  SELECT part, mask, count(*) AS n, count(*) FILTER (WHERE good) AS n_good, count(*) FILTER (WHERE toxic) AS n_toxic
+  FROM masks LEFT JOIN flags USING (doc_id) GROUP BY part, mask
+),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f),
+orders AS (
+  SELECT a.f || b.f || c.f || d.f || e.f AS filter_order FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5
+),
+steps AS (
+  SELECT filter_order, step, filter_order[step] AS f, 1 << (ascii(filter_order[step]) - 65) AS bit,
+    list_sum([1 << (ascii(filter_order[i]) - 65) for i in range(1, step + 1)])::INT AS upto
+  FROM orders, range(1, 6) s(step)
+),
+counted AS (
+  SELECT part, filter_order, step, f,
+    sum(CASE WHEN mask & upto = 0 THEN n ELSE 0 END) AS kept,
+    sum(CASE WHEN mask & upto = bit THEN n ELSE 0 END) AS removed,
+    sum(CASE WHEN mask & bit > 0 AND mask & upto <> bit THEN n ELSE 0 END) AS redundant,
+    sum(CASE WHEN mask = bit THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN mask & upto = bit THEN n_good ELSE 0 END) AS good_lost,
+    sum(CASE WHEN mask & upto = bit THEN n_toxic ELSE 0 END) AS toxic_lost
+  FROM cells, steps GROUP BY ALL
+)
+SELECT part, filter_order, step::INT AS step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant,
+  unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+  (sum(removed) OVER (PARTITION BY part, f))::BIGINT AS shapley
+FROM counted
+"""
+
+
+@query("op13_filter_interaction", OP13_SQL)
+def op13_filter_interaction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
