@@ -20,6 +20,7 @@ from salesflow.llm.mixing import mix
 from salesflow.llm.quality import score_quality
 from salesflow.llm.repeats import cut_repeats
 from salesflow.llm.secrets import scan_secrets
+from salesflow.llm.token_ids import tokenised
 from salesflow.llm.toxicity import score_toxicity
 
 ROWS_A_BATCH = 1000
@@ -255,3 +256,15 @@ FROM counted
 @query("op13_filter_interaction", OP13_SQL)
 def op13_filter_interaction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def tokenizer_text(name: str) -> str:
+    """A public tokenizer's file as it lies outside this repository."""
+    import public_tokenizers
+
+    return Path(public_tokenizers.path(name)).read_text(encoding="utf-8")
+
+
+@query("op12_token_ids")
+def op12_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenised(table(spark, sf_dir, "documents"), tokenizer_text("word_bpe_49k.json"))
