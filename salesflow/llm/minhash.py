@@ -45,6 +45,8 @@ FURTHEST = 70  # of SKETCH_BINS two-bit values; 38 differ on average at similari
 LEAST_SKETCHED = 16
 BLOCK = 256
 PAIRS_A_BATCH = 512
+SETS_A_BATCH = 64
+TRIPLES = 1 << 20
 ODD_BITS = np.uint64(0x5555555555555555)
 HASH_BITS = 52
 _ORDERS = np.argsort(np.random.default_rng(5).random((BINS, BINS)), axis=1)
@@ -97,7 +99,7 @@ def two_bits(sketch: np.ndarray) -> np.ndarray:
 
 
 def features(documents: DataFrame, k: int) -> DataFrame:
-    """Per document: the set's size, a 128-bit digest of the set and its band keys."""
+    """Per document: the text's hash, the set's size, a 128-bit digest of the set and its band keys."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         n = batch.num_rows
@@ -120,22 +122,22 @@ def features(documents: DataFrame, k: int) -> DataFrame:
                 bits.append(two_bits(sketch).ravel())
         at = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
         return pa.RecordBatch.from_pydict({
-            "doc_id": batch.column("doc_id"), "n_shingles": size, "one": one.astype(np.int64), "two": two.astype(np.int64),
+            "doc_id": batch.column("doc_id"), "tag": batch.column("tag"), "n_shingles": size, "one": one.astype(np.int64), "two": two.astype(np.int64),
             "bands": pa.ListArray.from_arrays(pa.array(at * np.int32(BANDS)), pa.array(np.concatenate(keys))),
             "bits": pa.ListArray.from_arrays(pa.array(at * np.int32(SKETCH_BINS // 32)), pa.array(np.concatenate(bits))),
         })
 
     return map_batches(
-        documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run,
-        "doc_id long, n_shingles long, one long, two long, bands array<long>, bits array<long>",
+        documents, run,
+        "doc_id long, tag long, n_shingles long, one long, two long, bands array<long>, bits array<long>",
     )
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, k: int, share: int) -> DataFrame:
     """The candidate pairs (hub, rep) whose full sets agree enough."""
-    sides = pairs.join(texts.select(F.col("doc_id").alias("rep"), F.col("text").alias("right")), "rep").join(
-        texts.select(F.col("doc_id").alias("hub"), F.col("text").alias("left")), "hub"
-    )
+    right = texts.select(F.col("doc_id").alias("rep"), "tag", F.col("text").alias("right"))
+    left = texts.select(F.col("doc_id").alias("hub"), F.col("tag").alias("hub_tag"), F.col("text").alias("left"))
+    sides = pairs.join(right, ["rep", "tag"]).join(left, ["hub", "hub_tag"])
 
     def sets(column: pa.Array, row: int, n: int) -> tuple[np.ndarray, np.ndarray]:
         parts = [(p.first, sorted_sets(p, k)) for p in slices(column)]
@@ -162,7 +164,8 @@ def confirmed(pairs: DataFrame, texts: DataFrame, k: int, share: int) -> DataFra
 
 def near_duplicates(documents: DataFrame, k: int = SHINGLE, share: int = SHARE) -> DataFrame:
     """Per row: doc_id, n_shingles, component_id (smallest doc_id reachable by links) and kept."""
-    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    # the tag tells apart the texts that a doc_id may stand for
+    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("tag"), "text")
     found = staged(features(docs, k), "shingles")
     known = found.where("doc_id IS NOT NULL AND n_shingles > 0")
     # written first: a join of two plain shuffles can have a large group's partition split
@@ -171,43 +174,44 @@ def near_duplicates(documents: DataFrame, k: int = SHINGLE, share: int = SHARE)
     same = members.where("doc_id <> rep").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")).distinct()
     same = staged(same, "copies")
 
-    # a doc_id may stand for several texts, which the tag tells apart
-    own = members.where("doc_id = rep").withColumn("tag", F.hash("one", "two"))
+    own = members.where("doc_id = rep")
     entries = own.select("rep", "tag", F.col("n_shingles").alias("n"), F.explode("bands").alias("key"))
     crowded = entries.groupBy("key").agg(F.count("*").alias("met"), F.min("rep").alias("low"), F.max("rep").alias("high"))
     crowded = staged(crowded.where("low <> high").select("key", "met"), "crowded")
     buckets = staged(entries.join(crowded, "key").distinct(), "buckets")
-    degree = buckets.groupBy("rep").agg(F.sum("met").alias("degree"))
-    sketches = own.groupBy("rep", "tag").agg(F.first("bits").alias("bits")).join(degree, "rep")
-    texts = staged(docs.join(degree.select(F.col("rep").alias("doc_id")), "doc_id"), "candidates")
+    degree = buckets.groupBy("rep", "tag").agg(F.sum("met").alias("degree"))
+    sketches = own.groupBy("rep", "tag").agg(F.first("bits").alias("bits")).join(degree, ["rep", "tag"])
+    texts = staged(docs.join(degree.select(F.col("rep").alias("doc_id"), "tag"), ["doc_id", "tag"]), "candidates")
+    texts = staged(texts.dropDuplicates(["doc_id", "tag"]), "candidate-texts")  # rows may repeat
     # a hub is the smallest of these: most met, then smallest id
     ranked = staged(
-        buckets.join(sketches, ["rep", "tag"]).select("key", "rep", "n", F.struct((-F.col("degree")).alias("less"), "rep").alias("first"), "bits"),
+        buckets.join(sketches, ["rep", "tag"]).select("key", "rep", "tag", "n", F.struct((-F.col("degree")).alias("less"), "rep", "tag").alias("first"), "bits"),
         "ranked",
     )
 
-    heads = staged(ranked.groupBy("key").agg(F.min("first").alias("first")), "hubs").select("key", "first.rep")
+    heads = staged(ranked.groupBy("key").agg(F.min("first").alias("first")), "hubs").select("key", "first.rep", "first.tag")
     with batches_of(docs.sparkSession, PAIRS_A_BATCH):  # two whole texts a row
         links = staged(stars(ranked, heads, texts, k, share), "links")
     comp = staged(components(same.union(links)), "components")
     # hubs have met their whole bucket: only pairs among the others are untried
-    left = ranked.join(heads, ["key", "rep"], "left_anti").join(comp, F.col("rep") == F.col("node"), "left")
-    left = staged(left.select("key", "rep", "n", "bits", F.coalesce("comp", "rep").alias("comp")), "left")
+    left = ranked.join(heads, ["key", "rep", "tag"], "left_anti").join(comp, F.col("rep") == F.col("node"), "left")
+    left = staged(left.select("key", "rep", "tag", "n", "bits", F.coalesce("comp", "rep").alias("comp")), "left")
     untried = in_blocks(left)
-    likely = untried.mapInArrow(comparing(alike_bits(share), False), "key long, rep long").distinct()
+    likely = untried.mapInArrow(comparing(share, None), "key long, rep long, tag long").distinct()
     likely = staged(likely, "likely")
-    sets = texts.join(likely.select(F.col("rep").alias("doc_id")).distinct(), "doc_id")
-    sets = staged(map_batches(sets, set_rows(k), "rep long, members array<long>"), "sets")
-    again = in_blocks(left.drop("bits").join(likely, ["key", "rep"]), sets)
-    new = again.mapInArrow(comparing(alike_sets(share), True), "a long, b long").distinct()
+    sets = texts.join(likely.select(F.col("rep").alias("doc_id"), "tag").distinct(), ["doc_id", "tag"])
+    sets = staged(map_batches(sets, set_rows(k), "rep long, tag long, members array<long>"), "sets")
+    again = in_blocks(left.join(likely, ["key", "rep", "tag"]), sets)
+    with batches_of(docs.sparkSession, SETS_A_BATCH):  # a whole set a row
+        new = staged(again.mapInArrow(comparing(share, meeting), "a long, b long").distinct(), "late-links")
     comp = components(comp.select(F.col("node").alias("a"), F.col("comp").alias("b")).union(new))
     return labelled(found, comp)
 
 
 def stars(ranked: DataFrame, heads: DataFrame, texts: DataFrame, k: int, share: int) -> DataFrame:
     """The confirmed links (a, b) between each bucket's hub and its members."""
-    own = ranked.join(heads, ["key", "rep"], "left_semi").select(
-        F.col("key").alias("hub_key"), F.col("rep").alias("hub"), F.col("n").alias("hub_n"), F.col("bits").alias("hub_bits")
+    own = ranked.join(heads, ["key", "rep", "tag"], "left_semi").select(
+        F.col("key").alias("hub_key"), F.col("rep").alias("hub"), F.col("tag").alias("hub_tag"), F.col("n").alias("hub_n"), F.col("bits").alias("hub_bits")
     )
     differ = sum(
         F.bit_count(F.expr(f"(bits[{i}] ^ hub_bits[{i}] | shiftrightunsigned(bits[{i}] ^ hub_bits[{i}], 1)) & {int(ODD_BITS)}L"))
@@ -216,8 +220,12 @@ def stars(ranked: DataFrame, heads: DataFrame, texts: DataFrame, k: int, share:
     alike = (F.least("n", "hub_n") < LEAST_SKETCHED) | (differ <= FURTHEST)
     sizes = 100 * F.least("n", "hub_n") >= share * F.greatest("n", "hub_n")
     pairs = ranked.join(own, (F.col("key") == F.col("hub_key")) & (F.col("rep") != F.col("hub")) & sizes & alike)
-    pairs = pairs.select(F.least("hub", "rep").alias("hub"), F.greatest("hub", "rep").alias("rep")).distinct()
-    return confirmed(pairs, texts, k, share).select(F.col("rep").alias("a"), F.col("hub").alias("b"))
+    # a pair that meets with either as the hub is one
+    hub, rep = F.struct(F.col("hub").alias("id"), F.col("hub_tag").alias("tag")), F.struct(F.col("rep").alias("id"), "tag")
+    pairs = pairs.select(F.least(hub, rep).alias("low"), F.greatest(hub, rep).alias("high")).select(
+        F.col("low.id").alias("hub"), F.col("low.tag").alias("hub_tag"), F.col("high.id").alias("rep"), F.col("high.tag").alias("tag")
+    )
+    return confirmed(pairs.distinct(), texts, k, share).select(F.col("rep").alias("a"), F.col("hub").alias("b"))
 
 
 def in_blocks(entries: DataFrame, extra: DataFrame | None = None) -> DataFrame:
@@ -229,34 +237,37 @@ def in_blocks(entries: DataFrame, extra: DataFrame | None = None) -> DataFrame:
     """
     open_ = entries.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("m")).where("low <> high")
     open_ = open_.select("key", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"))
-    rows = entries.join(open_, "key").withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    rows = entries.join(open_, "key").withColumn("own", F.pmod(F.xxhash64("rep", "tag"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("own")))).withColumn("guest", F.col("own") != F.col("block"))
     rows = rows.drop("own", "blocks")
     if extra is not None:
-        rows = rows.join(extra, "rep")
-    return rows.repartition("key", "block").sortWithinPartitions("key", "block", "guest", "rep")
+        rows = rows.join(extra, ["rep", "tag"])
+    return rows.repartition("key", "block").sortWithinPartitions("key", "block", "guest", "rep", "tag")
 
 
-def comparing(alike, links: bool):
+def comparing(share: int, meet):
     """A task over blocks in order: compares owners with each other and with the guests.
 
-    ``alike`` says which pairs count. Returned are spanning links, or else the members in any pair.
+    Pairs within one component, of too different sizes or too far apart by their two bits are out
+    first. With ``meet``, which counts the shingles that given pairs share, the others are decided
+    and spanning links returned; without, the members of any such pair.
     """
 
     def told(key: int, left: pa.RecordBatch, i: np.ndarray, right: pa.RecordBatch, j: np.ndarray) -> pa.RecordBatch:
-        a, b = left.column("rep").to_numpy()[i], right.column("rep").to_numpy()[j]
-        if links:
-            a, b = spanning(a, b)
+        if meet is not None:
+            a, b = spanning(left.column("rep").to_numpy()[i], right.column("rep").to_numpy()[j])
             return pa.RecordBatch.from_pydict({"a": a[a != b], "b": b[a != b]})
-        rep = np.unique(np.concatenate([a, b]))
-        return pa.RecordBatch.from_pydict({"key": np.full(len(rep), key), "rep": rep})
+        both = pa.Table.from_batches([x.select(["key", "rep", "tag"]).take(pa.array(np.unique(at))) for x, at in ((left, i), (right, j))])
+        return both.combine_chunks().to_batches()[0]
 
     def pairs(key: int, left: pa.RecordBatch, right: pa.RecordBatch, same: bool) -> Iterator[pa.RecordBatch]:
         good = left.column("comp").to_numpy()[:, None] != right.column("comp").to_numpy()[None, :]
         if same:
             good &= np.tri(len(good), k=-1, dtype=bool)
         if good.any():
-            good &= alike(left, right)
+            good &= alike_bits(left, right, share)
+            if meet is not None and good.any():
+                good &= alike_sets(left, right, good, meet, share)
             i, j = np.nonzero(good)
             if len(i):
                 yield told(key, left, i, right, j)
@@ -297,33 +308,46 @@ def near_sizes(left: pa.RecordBatch, right: pa.RecordBatch, share: int) -> tuple
     return np.minimum(n, m), 100 * np.minimum(n, m) >= share * np.maximum(n, m)
 
 
-def alike_bits(share: int):
-    def alike(left: pa.RecordBatch, right: pa.RecordBatch) -> np.ndarray:
-        least, good = near_sizes(left, right, share)
-        a, b = (x.column("bits").flatten().to_numpy().view(np.uint64).reshape(x.num_rows, -1) for x in (left, right))
-        differ = np.zeros(good.shape, np.int32)
-        for w in range(a.shape[1]):
-            x = a[:, w][:, None] ^ b[:, w][None, :]
-            differ += np.bitwise_count((x | (x >> np.uint64(1))) & ODD_BITS)
-        return good & ((least < LEAST_SKETCHED) | (differ <= FURTHEST))
-
-    return alike
-
-
-def alike_sets(share: int):
-    def alike(left: pa.RecordBatch, right: pa.RecordBatch) -> np.ndarray:
-        (a, n), (b, m) = ((x.column("members").flatten().to_numpy(), np.diff(x.column("members").offsets.to_numpy())) for x in (left, right))
-        owner = np.repeat(np.arange(len(n)), n)
-        order = np.argsort(a, kind="stable")
-        a, owner = a[order], owner[order]
-        low, high = np.searchsorted(a, b, "left"), np.searchsorted(a, b, "right")
-        count = high - low
-        guest = np.repeat(np.repeat(np.arange(len(m)), m), count)
-        at = np.repeat(low - np.cumsum(count) + count, count) + np.arange(int(count.sum()))
-        meet = np.bincount(owner[at] * len(m) + guest, minlength=len(n) * len(m)).reshape(len(n), len(m))
-        return 100 * meet >= share * (n[:, None] + m[None, :] - meet)
+def alike_bits(left: pa.RecordBatch, right: pa.RecordBatch, share: int) -> np.ndarray:
+    """Which pairs' sizes and two bits allow the share."""
+    least, good = near_sizes(left, right, share)
+    a, b = (x.column("bits").flatten().to_numpy().view(np.uint64).reshape(x.num_rows, -1) for x in (left, right))
+    differ = np.zeros(good.shape, np.int32)
+    for w in range(a.shape[1]):
+        x = a[:, w][:, None] ^ b[:, w][None, :]
+        differ += np.bitwise_count((x | (x >> np.uint64(1))) & ODD_BITS)
+    return good & ((least < LEAST_SKETCHED) | (differ <= FURTHEST))
+
+
+def alike_sets(left: pa.RecordBatch, right: pa.RecordBatch, good: np.ndarray, meet, share: int) -> np.ndarray:
+    """Which of the pairs that are still good share enough shingles; others count as unlike."""
+    i, j = np.flatnonzero(good.any(axis=1)), np.flatnonzero(good.any(axis=0))
+    n, m = left.column("n").to_numpy()[i], right.column("n").to_numpy()[j]
+    shared = meet(left.column("members").take(pa.array(i)), right.column("members").take(pa.array(j)))
+    out = np.zeros(good.shape, bool)
+    out[np.ix_(i, j)] = 100 * shared >= share * (n[:, None] + m[None, :] - shared)
+    return out
 
-    return alike
+
+def meeting(left: pa.ListArray, right: pa.ListArray) -> np.ndarray:
+    """How many shingles each set on the left shares with each on the right.
+
+    The right sets' shingles are looked up among the left's in portions, so that what is held at a
+    time is bounded by TRIPLES however long the texts are.
+    """
+    (a, n), (b, m) = ((x.flatten().to_numpy(), np.diff(x.offsets.to_numpy())) for x in (left, right))
+    owner, guest = np.repeat(np.arange(len(n), dtype=np.int32), n), np.repeat(np.arange(len(m), dtype=np.int32), m)
+    order = np.argsort(a, kind="stable")
+    a, owner = a[order], owner[order]
+    shared = np.zeros(len(n) * len(m), np.int64)
+    step = max(1, TRIPLES // len(n))
+    for lo in range(0, len(b), step):
+        part = b[lo : lo + step]
+        low = np.searchsorted(a, part, "left")
+        count = np.searchsorted(a, part, "right") - low
+        at = np.repeat(low - np.cumsum(count) + count, count) + np.arange(int(count.sum()))
+        shared += np.bincount(owner[at].astype(np.int64) * len(m) + np.repeat(guest[lo : lo + step], count), minlength=len(shared))
+    return shared.reshape(len(n), len(m))
 
 
 def set_rows(k: int):
@@ -339,7 +363,7 @@ def set_rows(k: int):
             values.append((sets & np.uint64((1 << HASH_BITS) - 1)).astype(np.int64))
             total += len(sets)
         lists = pa.ListArray.from_arrays(pa.array(np.concatenate(at)), pa.array(np.concatenate(values)))
-        return pa.RecordBatch.from_pydict({"rep": batch.column("doc_id"), "members": lists})
+        return pa.RecordBatch.from_pydict({"rep": batch.column("doc_id"), "tag": batch.column("tag"), "members": lists})
 
     return run
 
