@@ -201,9 +201,11 @@ def cut_repeats(documents: DataFrame, length: int = LENGTH, shard_bytes: int = S
     mixed = again.where("mixed").join(found, ["key", "digest"]).select(
         "doc_id", "body", (F.col("start") + F.col("low")).alias("first"), (F.col("start") + F.col("high") - 1 + length).alias("end")
     )
+    # rows that repeat a document have its spans once; written first, so that a join with many such rows can be split
     spans = plain.union(mixed).groupBy(F.col("doc_id").alias("s_id"), F.col("body").alias("s_body")).agg(
-        F.array_sort(F.collect_list(F.struct("first", "end"))).alias("spans")
+        F.array_sort(F.collect_set(F.struct("first", "end"))).alias("spans")
     )
+    spans = staged(spans, "spans")
     joined = docs.join(spans, F.col("doc_id").eqNullSafe(F.col("s_id")) & (F.col("body") == F.col("s_body")), "left").select("doc_id", "text", "spans")
 
     def remove(batch: pa.RecordBatch) -> pa.RecordBatch:
