@@ -9,7 +9,14 @@ from pyspark.sql.types import FractionalType, StringType, StructField, StructTyp
 
 from salesflow.functions import named
 from salesflow.functions.kinds import to_text
-from salesflow.operators.joins import full_compare
+from salesflow.operators.filters import any_differs
+from salesflow.operators.joins import full_compare, lookup
+from salesflow.session import staged
+
+# Parts that the rows of a group are dealt to for a first look at what differs.
+BUCKETS = 256
+# Groups that differ are named to the scan up to so many.
+LISTED_GROUPS = 1000
 
 
 def _both(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -69,20 +76,53 @@ def _comparable(a: DataFrame, b: DataFrame) -> tuple[DataFrame, DataFrame, list[
     return side(a), side(b), cols
 
 
-def multiset_compare(a: DataFrame, b: DataFrame) -> DataFrame:
+def _bucketed(a: DataFrame, b: DataFrame, buckets: int) -> tuple[DataFrame, list[str]]:
+    """Both sides over the shared columns, each row with its bucket and the halves of two hashes."""
+    left, right, cols = _comparable(a, b)
+    # hashes skip nulls, so where a row has them is hashed too
+    row = [x for c in cols for x in (named(c), named(c).isNull())]
+    rows = _both(left, right).withColumns({"__h0": F.xxhash64(*row), "__h1": F.xxhash64(F.lit(1), *row)})
+    return rows.withColumn("__bucket", F.pmod("__h0", F.lit(buckets)).cast("int")), cols
+
+
+def _uneven_buckets(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Groups and buckets in which the two sides' counts or sums of hashes differ.
+
+    Halves of 32 bits, so that the sums stay within 64. Each task sends one line of figures per
+    group and bucket, whatever it reads.
+    """
+    sign = (F.col("__a") - F.col("__b")).cast("long")
+    halves = [h for i in (0, 1) for h in (F.shiftright(f"__h{i}", 32), F.col(f"__h{i}").bitwiseAND(F.lit(0xFFFFFFFF)))]
+    sums = [F.sum(sign).alias("__rows"), *[F.sum(sign * h).alias(f"__s{i}") for i, h in enumerate(halves)]]
+    figures = rows.groupBy(*[named(k) for k in keys], "__bucket").agg(*sums)
+    names = ["__rows", *[f"__s{i}" for i in range(len(halves))]]
+    return figures.filter(any_differs([(F.col(n), F.lit(0)) for n in names])).select(*[named(k) for k in keys], "__bucket")
+
+
+def multiset_compare(a: DataFrame, b: DataFrame, by: str | None = None, buckets: int = BUCKETS) -> DataFrame:
     """Rows, over the shared columns as text, that the two tables do not hold equally often.
 
-    Empty means equal whatever the order. Both sides go through one grouped count, so copies
-    are counted before the shuffle and no join is needed.
+    Empty means equal whatever the order. A first pass sums up both sides by group (``by``, a
+    month say) and bucket of rows; only rows of groups and buckets whose figures differ are then
+    counted exactly, and groups that are equal are skipped by the second scan. What the first pass
+    takes for equal agrees in its number of rows and in the sums of two 64-bit hashes. The exact
+    count is one grouped pass, so copies are counted before the shuffle and no join is needed.
     """
-    left, right, cols = _comparable(a, b)
-    uneven = (
-        _both(left, right)
-        .groupBy(*[named(c) for c in cols])
+    rows, cols = _bucketed(a, b, buckets)
+    keys = [] if by is None else [by]
+    uneven = staged(_uneven_buckets(rows, keys), "uneven")
+    if by is not None:
+        groups = [r[0] for r in uneven.select(named(by)).distinct().limit(LISTED_GROUPS + 1).collect()]
+        if len(groups) <= LISTED_GROUPS:
+            known = [g for g in groups if g is not None]
+            rows = rows.filter(named(by).isin(known) | (named(by).isNull() & F.lit(None in groups)))
+    rows = lookup(rows, uneven, [*keys, "__bucket"], "inner")
+    counts = (
+        rows.groupBy(*[named(c) for c in cols])
         .agg(F.sum("__a").alias("a_rows"), F.sum("__b").alias("b_rows"))
         .filter(F.col("a_rows") != F.col("b_rows"))
     )
-    return uneven.select(*[to_text(uneven, c).alias(c) for c in cols], "a_rows", "b_rows")
+    return counts.select(*[to_text(counts, c).alias(c) for c in cols], "a_rows", "b_rows")
 
 
 def differing_columns(a: DataFrame, b: DataFrame) -> DataFrame:

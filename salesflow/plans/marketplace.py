@@ -16,7 +16,7 @@ from salesflow.functions.text import remove_text, strip, suffix_after
 from salesflow.operators.filters import (
     STALE_DAYS, counted, in_days, month_bounds, quarter_scope, sale_day, sale_window, type_filter,
 )
-from salesflow.operators.joins import lookup, lookup_or_default
+from salesflow.operators.joins import lookup, lookup_or_default, prepared
 from salesflow.operators.shape import require_columns, union_all
 from salesflow.schemas import MARKETPLACE_COLUMNS
 
@@ -79,9 +79,9 @@ def marketplace_months(
         coerce_int("Unit Price").alias("Unit Price"),
         named("Shipping Postcode").cast("string").alias("__postcode"),
     )
-    found = lookup_or_default(lines, masters.postcode, "__postcode", "Kode Pos").drop("__postcode")
-    found = lookup(found, masters.channel, ["SalesType"])
-    product = masters.product.withColumnsRenamed({"SubCategory": "Sub Category"})
+    found = lookup_or_default(lines, prepared(masters.postcode), "__postcode", "Kode Pos").drop("__postcode")
+    found = lookup(found, prepared(masters.channel), ["SalesType"])
+    product = prepared(masters.product).withColumnsRenamed({"SubCategory": "Sub Category"})
     found = lookup(found, product, ["ItemName"])
     kept = found.filter(type_filter("Type of Item")).filter(reduce(or_, [in_days("SentOn", lo, hi) for lo, hi in bounds]))
     return kept.select(*[named(c) for c in MARKETPLACE_COLUMNS])

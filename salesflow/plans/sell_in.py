@@ -11,7 +11,7 @@ from salesflow.functions import named
 from salesflow.functions.kinds import as_day, as_is, as_text, as_upper, as_whole, column_as
 from salesflow.functions.text import remove_text
 from salesflow.operators.filters import in_days, is_online, month_bounds, not_contains
-from salesflow.operators.joins import lookup
+from salesflow.operators.joins import lookup, prepared
 from salesflow.operators.packing import SPLIT_DAYS, with_parts
 from salesflow.operators.shape import rename_drop, require_columns, union_relaxed
 from salesflow.schemas import REPORT_COLUMNS, REPORT_SCHEMA
@@ -101,10 +101,11 @@ def offline_base(
     """All cleaned feeds stacked by name, with product, region and channel looked up.
 
     A missing key finds the master's blank row, and duplicate master keys multiply rows.
+    Masters that have to be worked out are written once first.
     """
-    base = lookup(union_relaxed(*feeds), product, ["ItemName"])
-    base = lookup(base, area, ["Province"])
-    return lookup(base, channel, ["SalesType", "SubSalesType"])
+    base = lookup(union_relaxed(*feeds), prepared(product), ["ItemName"])
+    base = lookup(base, prepared(area), ["Province"])
+    return lookup(base, prepared(channel), ["SalesType", "SubSalesType"])
 
 
 def marketplace_rows(month: DataFrame, report_source: str) -> DataFrame:

@@ -180,3 +180,112 @@ def test_estimates_that_are_too_low_are_not_trusted(spark, broadcast_below, tmp_
     facts = spark.range(1000).withColumnRenamed("id", "k")
     for master in (grown, long):
         assert "ResolvedHint" not in lookup(facts, master, ["k"])._jdf.queryExecution().analyzed().toString()
+
+
+def jobs_of(spark, run):
+    """How many jobs ``run`` starts, and its result."""
+    group = f"probe-{id(run)}"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        out = run()
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group)), out
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+@pytest.fixture
+def wide_files(spark, tmp_path):
+    path = str(tmp_path / "master")
+    spark.range(20_000).select(F.col("id").alias("k"), F.uuid().alias("name")).repartition(4).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+@pytest.mark.parametrize("limit", [10_000_000, 1000])
+def test_plain_and_renamed_scans_start_no_job(spark, wide_files, broadcast_below, limit):
+    broadcast_below(limit)
+    renamed = wide_files.withColumnsRenamed({"k": "a", "name": "b"}).select("b", "a")
+    for master in (wide_files, renamed):
+        jobs, fits = jobs_of(spark, lambda m=master: fits_broadcast(m))
+        assert jobs == 0 and fits == (limit > 1000)
+    if limit > 1000:
+        assert jobs_of(spark, lambda: lookup(spark.range(10).toDF("k"), wide_files, ["k"]))[0] == 0
+
+
+def test_probe_ends_once_the_limit_is_passed(spark, broadcast_below):
+    read = spark.sparkContext.accumulator(0)
+
+    def counting(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    rows_ = spark.range(0, 1_000_000, 1, 50).mapInArrow(counting, "id long")
+    assert joins.passes(rows_, 4096 * 8 - 1)
+    assert read.value < 200_000
+    assert not joins.passes(spark.range(9000), 9000 * 8)
+    assert joins.passes(spark.range(9000), 9000 * 8 - 1)
+    assert not joins.passes(spark.range(0), 1)
+
+
+def test_first_rows_that_are_wider_than_the_rest(spark):
+    df = spark.range(0, 50_000, 1, 1).select(F.when(F.col("id") < 4096, F.repeat(F.lit("x"), 1000)).otherwise(F.lit("")).alias("v"))
+    exact = 50_000 * 8 + 4096 * 1000
+    assert not joins.passes(df, exact) and joins.passes(df, exact - 1)
+
+
+@pytest.fixture
+def many(spark, facts):
+    """40 % of the rows under one key, behind a join."""
+    more = facts.withColumn("k", F.when(F.col("id") % 5 < 2, F.lit(7)).otherwise(F.col("k")))
+    other = spark.range(3000).select("id", F.concat(F.lit("p"), F.col("id")).alias("payload"))
+    return more.join(other, "id")
+
+
+@pytest.mark.parametrize("how", ["left", "inner"])
+@pytest.mark.parametrize("nulls_match", [True, False])
+def test_salted_lookup_agrees_with_the_plain_join(many, master, broadcast_below, how, nulls_match):
+    broadcast_below(-1)
+    out = [lookup(many, master, ["k", "k2"], how, nulls_match, spread=way) for way in ("salted", "adaptive")]
+    assert out[0].columns == out[1].columns
+    assert rows(out[0]) == rows(out[1])
+    assert "__salt" in out[0]._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_salted_lookup_computes_the_facts_once_and_spreads_the_hot_key(spark, many, master, broadcast_below):
+    broadcast_below(-1)
+    read = spark.sparkContext.accumulator(0)
+
+    def counting(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    counted = many.select("id", "k", "k2").mapInArrow(counting, "id long, k int, k2 string")
+    one = master.filter("k2 = '0' AND name <> 'again'").drop("k2")
+    dealt = lookup(counted, one, ["k"], spread="salted")
+    assert dealt.count() == 3000
+    assert read.value == 3000
+    salted = lookup(counted, one, ["k"], spread="salted")
+    per_task = salted.repartition(1).groupBy("k").count()  # plan only: the join below carries the salt
+    text = per_task._jdf.queryExecution().optimizedPlan().toString()
+    assert "__salt" in text and "__copy" in text
+
+
+def test_auto_salts_only_what_adaptive_execution_cannot_split(spark, many, master, broadcast_below):
+    broadcast_below(-1)
+    one = master.filter("k2 = '0' AND name <> 'again'").drop("k2")
+    shuffled = lookup(many, one, ["k"])
+    assert "__salt" not in shuffled._jdf.queryExecution().optimizedPlan().toString()
+    whole = many.withColumn("k", F.col("k").cast("long"))
+    by_key = whole.join(spark.range(400).selectExpr("id AS k", "id + 1 AS other"), "k", "left")
+    lying = lookup(by_key, one, ["k"], nulls_match=False)
+    assert "__salt" in lying._jdf.queryExecution().optimizedPlan().toString()
+    assert rows(lying) == rows(lookup(by_key, one, ["k"], nulls_match=False, spread="adaptive"))
+
+
+def test_prepared_masters_are_written_once(spark, master, wide_files):
+    computed = keep_first(master, ["k"], ["k2", "name"])
+    assert joins.scan_bytes(computed) is None
+    kept = joins.prepared(computed)
+    assert joins.scan_bytes(kept) is not None and rows(kept) == rows(computed)
+    assert joins.prepared(wide_files) is wide_files

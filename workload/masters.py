@@ -128,6 +128,26 @@ def two_key_lookup(spark, sf_dir):
     return lookup(keys, channels(spark, sf_dir), ["SalesType", "SubSalesType"])
 
 
+HOT_CUSTOMER = "case when o_orderkey % 5 < 2 then 7 else o_custkey end"
+
+
+@query(
+    "salted_lookup",
+    f"""
+    SELECT l_orderkey, l_linenumber, l_suppkey, k, c."CustomerName" AS "CustomerName"
+    FROM (SELECT *, {HOT_CUSTOMER} AS k FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
+    LEFT JOIN (SELECT c_custkey, c_name AS "CustomerName" FROM customer WHERE c_custkey % 11 <> 3) c ON c_custkey = k
+    """,
+)
+def salted_lookup(spark, sf_dir):
+    """Order lines, two fifths of them under one customer, against a master not to be broadcast."""
+    lines = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "orders"), F.expr("l_orderkey = o_orderkey"))
+    facts = lines.select("l_orderkey", "l_linenumber", "l_suppkey", F.expr(HOT_CUSTOMER).alias("k"))
+    customers = table(spark, sf_dir, "customer").filter("c_custkey % 11 <> 3")
+    master = customers.select(F.col("c_custkey").alias("k"), F.col("c_name").alias("CustomerName"))
+    return lookup(facts, master, ["k"], nulls_match=False, spread="salted", limit=0)
+
+
 @query(
     "postcode_lookup",
     f"""
