@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from salesflow.functions import named
 from salesflow.functions.text import NA_TOKENS, na_to_null, strip
 from salesflow.operators.shape import require_columns, union_relaxed
+from salesflow.sources.records import ends_inside, file_lines, first_records, header_names, parsed_records
 
 # Regional workbooks are numbered; other files in the folder are strays.
 REGIONAL_NAME = r"(?i)^\d+\. .+ Sell Through\.xlsx$"
@@ -52,38 +53,46 @@ def list_files(spark: SparkSession, folder: str, suffix: str, recursive: bool =
     return sorted(p for p in paths if p.endswith(suffix))
 
 
-def _csv(spark: SparkSession, sep: str, multiline: bool):
-    # Quotes inside quoted cells are doubled; cells may hold line breaks.
+def _csv(spark: SparkSession, sep: str):
+    # Quotes inside quoted cells are doubled.
     return spark.read.options(
-        header=True, sep=sep, quote='"', escape='"', multiLine=multiline, encoding="UTF-8",
+        header=True, sep=sep, quote='"', escape='"', encoding="UTF-8",
         ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
     )
 
 
 class FileShape(NamedTuple):
-    """What one pass over the lines of a delimited file shows."""
+    """What one pass over the lines of a delimited file shows. The header is its first record."""
 
     header: str
     multiline: bool
-    lines: int
+    empty: bool
 
 
-def file_shapes(spark: SparkSession, paths: Sequence[str]) -> dict[str, FileShape]:
-    """Header line, line breaks inside quoted cells, and number of lines of every file, from one job.
+def file_shapes(spark: SparkSession, paths: Sequence[str], sep: str = ",") -> dict[str, FileShape]:
+    """Header, line breaks inside quoted cells, and whether only a header is there, of every file.
 
-    A record cut by a break leaves a line with an odd number of quotes. Files without a line
-    are left out.
+    One job for all files: a line that begins outside a quoted cell and ends inside one is cut by
+    a break. Files without a line are left out. Where a header itself holds a break, one more job
+    puts these together.
     """
-    value = F.col("value")
-    quotes = F.length(value) - F.length(F.replace(value, F.lit('"'), F.lit("")))
-    place = F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
-    lines = spark.read.text(list(paths)).select(
-        value, F.col("_metadata.file_path").alias("file"), place.alias("place"), (quotes % 2 == 1).alias("odd")
+    place = F.struct("block", "line")
+    lines = file_lines(spark, paths).withColumn("cut", ends_inside(F.col("value"), sep, False))
+    found = lines.filter(strip("value") != "").groupBy("file").agg(
+        F.min_by(F.struct("value", "cut"), place).alias("first"), F.bool_or("cut").alias("multiline"), F.count("*").alias("lines")
     )
-    found = lines.filter(strip(value) != "").groupBy("file").agg(
-        F.min_by("value", "place").alias("header"), F.bool_or("odd").alias("multiline"), F.count("*").alias("lines")
-    )
-    return {_without_scheme(unquote(r["file"])): FileShape(r["header"], r["multiline"], r["lines"]) for r in found.collect()}
+    shapes, broken = {}, []
+    for row in found.collect():
+        path = _without_scheme(unquote(row["file"]))
+        shapes[path] = FileShape(row["first"]["value"].removesuffix("\r"), row["multiline"], row["lines"] < 2)
+        if row["first"]["cut"]:
+            broken.append(path)
+    if broken:
+        given = {_without_scheme(p): p for p in paths}
+        for row in first_records(spark, [given[p] for p in broken], sep).collect():
+            path = _without_scheme(unquote(row["file"]))
+            shapes[path] = FileShape(row["header"], True, row["records"] < 2)
+    return shapes
 
 
 def _without_scheme(path: str) -> str:
@@ -98,41 +107,39 @@ def read_text_csvs(
     """CSV files as text, stacked by column name, "missing" texts as null.
 
     Headers may differ per file. Spark binds CSV columns by position, so files are read in
-    groups of equal headers. One job over all files finds the header lines; a file with line
-    breaks inside cells may have one in its header, so there the parsed columns are compared.
-    Such a file is read by one task; all others are split, so a single large file does not
-    hold up the rest. ``stem_col`` adds the file name up to its first ``_``; ``skip_empty``
-    leaves out the columns of files without a row.
+    groups of equal headers. One job over all files finds the headers and the files with line
+    breaks inside cells; these too are read by all tasks (``records``), so a single large file
+    never holds up the rest. ``stem_col`` adds the file name up to its first ``_``;
+    ``skip_empty`` leaves out the columns of files without a row.
     """
     shapes = file_shapes(spark, paths)
-    groups: dict[tuple[bool, str | tuple[str, ...]], list[str]] = {}
+    groups: dict[tuple[bool, str], list[str]] = {}
     for path in paths:
         shape = shapes.get(_without_scheme(path))
-        if shape is None:
-            continue
-        header, empty = shape.header, shape.lines < 2
-        if shape.multiline:
-            one = _csv(spark, ",", True).csv(path)
-            header, empty = tuple(one.columns), skip_empty and one.isEmpty()
-        if not (skip_empty and empty):
-            groups.setdefault((shape.multiline, header), []).append(path)
+        if shape is not None and not (skip_empty and shape.empty):
+            groups.setdefault((shape.multiline, shape.header), []).append(path)
     if not groups:
         raise ValueError(f"no CSV with a header among {len(paths)} files")
     parts = []
-    for (multiline, _), files in groups.items():
-        raw = _csv(spark, ",", multiline).csv(files)
-        parts.append(raw.select(*[na_to_null(c, na_tokens).alias(c) for c in raw.columns], *_stem(stem_col)))
+    for (multiline, header), files in groups.items():
+        if multiline:
+            names = header_names(header)
+            raw, stem = parsed_records(spark, files, names), _stem(stem_col, F.element_at(F.split("__file", "/"), -1))
+        else:
+            raw, stem = _csv(spark, ",").csv(files), _stem(stem_col, F.col("_metadata.file_name"))
+            names = raw.columns
+        parts.append(raw.select(*[na_to_null(c, na_tokens).alias(c) for c in names], *stem))
     return union_relaxed(*parts)
 
 
-def file_name() -> Column:
+def file_name(encoded: Column | None = None) -> Column:
     """Name of the file a row was read from; Spark keeps it percent-encoded."""
-    encoded = F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B"))
-    return F.url_decode(encoded)
+    encoded = F.col("_metadata.file_name") if encoded is None else encoded
+    return F.url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B")))
 
 
-def _stem(alias: str | None) -> list[Column]:
-    return [] if alias is None else [F.substring_index(file_name(), "_", 1).alias(alias)]
+def _stem(alias: str | None, encoded: Column) -> list[Column]:
+    return [] if alias is None else [F.substring_index(file_name(encoded), "_", 1).alias(alias)]
 
 
 def read_delimited_master(
@@ -142,14 +149,22 @@ def read_delimited_master(
     """A delimited master as text: header names stripped, "missing" as null.
 
     Bytes that are not UTF-8 become the replacement character. ``required`` columns are
-    checked before the rows are read. Only a file with line breaks inside cells is read by one
-    task. ``row_no`` names a column by which rows sort in file order.
+    checked before the rows are read. ``row_no`` names a column by which rows sort in file order.
+    The path may be a folder of files that share a header.
     """
-    shape = file_shapes(spark, [path]).get(_without_scheme(path))
-    raw = _csv(spark, sep, shape is None or shape.multiline).csv(path)
-    names = [c.strip().lstrip("\ufeff") for c in raw.columns]
-    order = [] if row_no is None else [F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias(row_no)]
-    out = raw.select(*[na_to_null(old, na_tokens).alias(new) for old, new in zip(raw.columns, names)], *order)
+    shapes = file_shapes(spark, [path], sep).values()
+    if any(shape.multiline for shape in shapes):
+        headers = {shape.header for shape in shapes}
+        if len(headers) > 1:
+            raise ValueError(f"master {path}: files with different headers")
+        given = header_names(headers.pop(), sep)
+        raw, place = parsed_records(spark, [path], given, sep), F.struct("__file", "__place")
+    else:
+        raw = _csv(spark, sep).csv(path)
+        given, place = raw.columns, F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
+    names = [c.strip().lstrip("\ufeff") for c in given]
+    order = [] if row_no is None else [place.alias(row_no)]
+    out = raw.select(*[na_to_null(old, na_tokens).alias(new) for old, new in zip(given, names)], *order)
     return require_columns(out, required, f"master {path}")
 
 
