@@ -10,9 +10,9 @@ from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 from salesflow.functions import named
 from salesflow.operators.masters import marketplace_channels, product_master_upper
 from salesflow.operators.packing import pack_days
-from salesflow.operators.shape import union_relaxed
+from salesflow.operators.shape import union_all, union_relaxed
 from salesflow.operators.summary import day_counts
-from salesflow.plans.chain import build_months
+from salesflow.plans.chain import build_months, release_months
 from salesflow.plans.coverage import coverage_sales, write_coverage_sales
 from salesflow.plans.history import combined, read_history, save_months, seed_history
 from salesflow.plans.marketplace import Masters, marketplace_month
@@ -21,8 +21,10 @@ from salesflow.plans.sell_in import (
     month_rows, offline_base,
 )
 from salesflow.plans.sell_through import compile_sheets
+from salesflow.schemas import HISTORY_DATES
 from salesflow.session import new_folder
 from salesflow.sources.files import list_files
+from salesflow.sources.releases import read_months, write_months_aside
 from workload import query
 from workload.masters import (
     AREA_SQL, CHANNEL_SQL, POSTCODE_SQL, PRODUCT_SQL, areas, channels, postcodes, products,
@@ -324,6 +326,38 @@ def build_two_months(spark, sf_dir):
     )
 
 
+@query(
+    "release_two_months",
+    f"""
+    WITH r AS (SELECT *, strftime("SentOn", '%Y-%m') AS sale_month,
+                      strftime("SentOn", '%Y %m %b') || ' ' || side || {SPLIT_SQL} AS part_name FROM {TWO_MONTHS_SQL}),
+    v AS (SELECT unnest([1, 2]) AS version)
+    SELECT version, 'report' AS kept_in, sale_month, part_name, "ReportSource" AS source, count(*) AS rows,
+           CAST(coalesce(sum("Quantity"), 0) AS bigint) AS units FROM r, v WHERE version = 2 OR sale_month = '{YEAR}-{MONTH:02d}' GROUP BY ALL
+    UNION ALL SELECT version, 'history', sale_month, NULL, "ReportSource", count(*), CAST(coalesce(sum("Quantity"), 0) AS bigint)
+    FROM r, v WHERE version = 2 OR sale_month = '{YEAR}-{MONTH:02d}' GROUP BY ALL
+    """,
+)
+def release_two_months(spark, sf_dir):
+    """A month published, then both, then a run that dies before it publishes: both versions read back."""
+    path, masters = new_folder(spark, "release"), market_masters(spark, sf_dir)
+    orders, kept = MARKET_ORDERS.df(spark, sf_dir), base(spark, sf_dir)
+    for months in ([(YEAR, MONTH)], [(YEAR, MONTH), (YEAR, MONTH + 1)]):
+        release_months(kept, orders, masters, months, AS_OF, "market", path)
+    broken = read_months(spark, path, "history").withColumn("Quantity", F.lit(0))
+    write_months_aside(broken, path, "history", "sale_month")
+
+    def figures(version: int, table: str, part):
+        rows = read_months(spark, path, table, version, date_cols=HISTORY_DATES)
+        return rows.groupBy("sale_month", part.alias("part_name"), named("ReportSource").alias("source")).agg(
+            F.count("*").alias("rows"), F.coalesce(F.sum("Quantity"), F.lit(0)).cast("long").alias("units")
+        ).withColumns({"kept_in": F.lit(table), "version": F.lit(version)})
+
+    parts = [figures(v, "report", F.col("part_name")) for v in (1, 2)]
+    parts += [figures(v, "history", F.lit(None).cast("string")) for v in (1, 2)]
+    return union_all(parts)
+
+
 ORDER_COLS = 'o_orderkey AS "NoPesanan", o_orderdate AS "SentOn", o_totalprice AS "Quantity"'
 
 
