@@ -231,15 +231,18 @@ def stars(ranked: DataFrame, heads: DataFrame, texts: DataFrame, k: int, share:
 def in_blocks(entries: DataFrame, extra: DataFrame | None = None) -> DataFrame:
     """Buckets with members of different components, dealt to tasks in blocks and in order.
 
-    A bucket of m members has m / BLOCK blocks by a hash of the member; a block's owners come first,
-    then as guests the members of the later blocks. So every pair of a bucket meets in one block, no
+    Members of a bucket's largest component need not meet each other. The r others have r / BLOCK
+    blocks by a hash of the member; a block's owners come first, then as guests the members of the
+    later blocks and of the largest component. So every pair that may be new meets in one block, no
     pair is a row, and a block's owners are all that a task holds.
     """
-    open_ = entries.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("m")).where("low <> high")
-    open_ = open_.select("key", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"))
-    rows = entries.join(open_, "key").withColumn("own", F.pmod(F.xxhash64("rep", "tag"), F.col("blocks")).cast("int"))
-    rows = rows.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("own")))).withColumn("guest", F.col("own") != F.col("block"))
-    rows = rows.drop("own", "blocks")
+    sizes = entries.groupBy("key", "comp").agg(F.count("*").alias("m"))
+    open_ = sizes.groupBy("key").agg(F.max(F.struct("m", "comp")).alias("main"), F.sum("m").alias("all")).where("all > main.m")
+    open_ = open_.select("key", F.col("main.comp").alias("main"), F.ceil((F.col("all") - F.col("main.m")) / BLOCK).cast("int").alias("blocks"))
+    rows = entries.join(open_, "key")
+    own = F.when(F.col("comp") == F.col("main"), F.col("blocks")).otherwise(F.pmod(F.xxhash64("rep", "tag"), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("own", own).withColumn("block", F.explode(F.sequence(F.lit(0), F.least("own", F.col("blocks") - 1))))
+    rows = rows.withColumn("guest", F.col("own") != F.col("block")).drop("own", "blocks", "main")
     if extra is not None:
         rows = rows.join(extra, ["rep", "tag"])
     return rows.repartition("key", "block").sortWithinPartitions("key", "block", "guest", "rep", "tag")
