@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import DecimalType, IntegralType
 
 from salesflow.functions import named
 from salesflow.functions.kinds import as_upper, column_as
 from salesflow.functions.text import strip
 from salesflow.operators.filters import drop_sentinel, has_key
-from salesflow.operators.joins import MISSING, lookup
+from salesflow.operators.joins import MISSING, lookup, prepared
 
 PRODUCT_COLUMNS = [
     "ItemName", "Brand", "Category", "SubCategory", "Variant", "Product Name", "Type of Item",
@@ -24,8 +25,9 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Data
     """The first row of every key, null being a key, in the given order.
 
     Rows that tie in the order are taken by their other columns, so the result never depends
-    on how the table is split. A grouped minimum keeps one row per key and map task: only
-    candidates are shuffled, and a hot key costs no more than others.
+    on how the table is split. A grouped minimum over whole rows keeps one per key and map task,
+    so only candidates are shuffled, also of a hot key; but each map task sorts its rows.
+    ``first_by_place`` does not, where the order is a place.
     """
     rest = [*order, *[c for c in df.columns if c not in keys and c not in order]]
     row = F.struct(*[named(c).alias(f"c{i}") for i, c in enumerate(rest)])
@@ -34,6 +36,19 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Data
     return firsts.select(*[spots[c].alias(c) if c not in keys else named(c) for c in df.columns])
 
 
+def first_by_place(df: DataFrame, keys: Sequence[str], place: str) -> DataFrame:
+    """The first row of every key, null being a key, by a whole number that no two rows share.
+
+    Only keys and places are grouped, by hashing and with one number per key and map task, so a
+    hot key costs no more than others; the rows themselves are found again by key and place and
+    are not shuffled while the keys' places fit a broadcast.
+    """
+    if not isinstance(df.schema[place].dataType, (IntegralType, DecimalType)):
+        raise ValueError(f"{place} is no whole number")
+    firsts = df.groupBy(*[named(k) for k in keys]).agg(F.min(named(place)).alias(place))
+    return lookup(df, prepared(firsts), [*keys, place], "inner").select(*[named(c) for c in df.columns])
+
+
 def product_master(sheet: DataFrame, order: Sequence[str]) -> DataFrame:
     """Distinct on the raw item name, then upper-cased.
 
@@ -100,12 +115,8 @@ def place_key(city: str) -> Column:
 
 def place_master(sheet: DataFrame, city: str, standard: str, area: str, order: Sequence[str]) -> DataFrame:
     """Place key to standard name and area, first row per key."""
-    rows = sheet.select(
-        place_key(city).alias("__place"),
-        named(standard).alias("ADM2_Standardized"),
-        named(area).alias("ADM1"),
-        F.struct(*[named(c) for c in order]).alias("__order"),
-    )
+    names = [named(standard).alias("ADM2_Standardized"), named(area).alias("ADM1")]
+    rows = sheet.select(place_key(city).alias("__place"), *names, F.struct(*[named(c) for c in order]).alias("__order"))
     return keep_first(rows, ["__place"], ["__order"]).drop("__order")
 
 

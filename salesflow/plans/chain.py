@@ -12,11 +12,12 @@ from pyspark.sql import DataFrame, functions as F
 from salesflow.functions.dates import month_key
 from salesflow.operators.filters import in_days, month_bounds
 from salesflow.operators.packing import SPLIT_DAYS, with_parts
+from salesflow.plans.figures import FIGURES, month_figures
 from salesflow.plans.history import save_months, typed_month
 from salesflow.plans.marketplace import Masters, marketplace_months
 from salesflow.plans.sell_in import marketplace_rows, report_rows
 from salesflow.session import new_folder, remove_folder
-from salesflow.sources.releases import publish, versions, write_months_aside
+from salesflow.sources.releases import publish, read_aside, versions, write_months_aside
 from salesflow.sources.sinks import write_report_parts
 
 
@@ -61,11 +62,11 @@ def release_months(
     base: DataFrame, orders: DataFrame, masters: Masters, months: Sequence[tuple[int, int]], as_of: dt.date,
     market_source: str, path: str, scope: str = "all", split_days: Sequence[int] = SPLIT_DAYS, cap: int | None = None,
 ) -> int:
-    """Rebuild the given months and publish their report and history as one new version.
+    """Rebuild the given months and publish their report, history and figures as one new version.
 
-    Until that moment, and after a failure at any other, readers find both as they were. What
+    Until that moment, and after a failure at any other, readers find all as they were. What
     was published while this run was at work makes it fail rather than be undone. Returns the
-    version; the tables are ``report`` and ``history``.
+    version; the tables are ``report``, ``history`` and ``figures``, what the guards go by.
     """
     spark, keys = base.sparkSession, month_keys(months)
     started_from = (versions(spark, path) or [0])[-1]
@@ -77,6 +78,8 @@ def release_months(
     report = write_months_aside(parts, path, "report", "sale_month", keys, ["part_name"])
     typed = typed_month(kept.drop("side")).withColumn("sale_month", month_key("SentOn"))
     history = write_months_aside(typed, path, "history", "sale_month", keys)
-    version = publish(spark, path, report, history, base=started_from)
+    written = read_aside(spark, path, history)
+    figures = write_months_aside(month_figures(written), path, FIGURES, "sale_month", keys)
+    version = publish(spark, path, report, history, figures, base=started_from)
     remove_folder(spark, folder)
     return version

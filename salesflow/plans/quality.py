@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from salesflow.functions import named
 from salesflow.functions.numbers import percent_off
@@ -15,7 +15,9 @@ from salesflow.operators.filters import (
     ITEM_TYPES, STALE_DAYS, any_differs, counted, month_bounds, sale_day, type_filter,
 )
 from salesflow.operators.joins import full_compare
+from salesflow.operators.shape import union_all
 from salesflow.operators.summary import dominant_month, monthly_units, summarise
+from salesflow.sources.footers import read_footers
 
 # Sales types that make up e-commerce, a fixed list.
 ECOMMERCE = [
@@ -140,16 +142,31 @@ def promotion_check(
         F.max(F.when(is_new, day)).alias("new_max"),
         F.max(F.when(~is_new, day)).alias("old_max"),
     )
-    rules = [
-        (kind, F.lit(True), F.lit(column))
-        for kind, column in schema_changes(old, new, allowed)
-        if kind in ("unexpected", "dropped")
-    ]
-    rules += [
+    return _findings(figures, _promotion_rules(schema_changes(old, new, allowed), min_ratio))
+
+
+def _promotion_rules(changes: Sequence[tuple[str, str]], min_ratio: float) -> list[tuple[str, Column, Column]]:
+    rules = [(kind, F.lit(True), F.lit(column)) for kind, column in changes if kind in ("unexpected", "dropped")]
+    return rules + [
         ("rows", F.col("new_rows") < F.col("old_rows") * min_ratio, F.col("new_rows")),
         ("newest", F.coalesce(F.col("new_max") < F.col("old_max"), F.lit(False)), F.col("new_max")),
     ]
-    return _findings(figures, rules)
+
+
+def promotion_check_files(
+    spark: SparkSession, new: str | Sequence[str], old: str | Sequence[str] | None, allowed: Sequence[str] = (),
+    min_ratio: float = PROMOTION_ROWS, date_col: str | None = "SentOn",
+) -> DataFrame:
+    """``promotion_check`` of Parquet tables as they lie in files: rows and newest dates come from the
+    footers, so no row of either table is read."""
+    new_rows, new_max = read_footers(spark, new, date_col)
+    old_rows, old_max = (0, None) if old is None else read_footers(spark, old, date_col)
+    tables = [spark.read.parquet(*([p] if isinstance(p, str) else p)) for p in (new, old if old is not None else new)]
+    figures = spark.createDataFrame(
+        [(new_rows, old_rows, *(None if x is None else str(x) for x in (new_max, old_max)))],
+        "new_rows long, old_rows long, new_max string, old_max string",
+    ).withColumns({c: F.col(c).cast("date") for c in ("new_max", "old_max")})
+    return _findings(figures, _promotion_rules(schema_changes(tables[1], tables[0], allowed), min_ratio))
 
 
 def compile_check(
@@ -187,6 +204,17 @@ def _moment(value: dt.datetime) -> Column:
     return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
+def file_updates(spark: SparkSession, datasets: Mapping[str, str]) -> DataFrame:
+    """When each file below the datasets' folders was last written (``dataset``, ``ts``), for
+    ``freshness``, from the store's listing: no file is opened. ``ts`` is in the session's zone."""
+    listed = [
+        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+        .select(F.lit(name).alias("dataset"), F.col("modificationTime").cast("timestamp_ntz").alias("ts"))
+        for name, path in datasets.items()
+    ]
+    return union_all(listed)
+
+
 def freshness(
     updates: DataFrame, limits: Mapping[str, dt.timedelta], as_of: dt.datetime,
     last_output: dt.datetime | None = None, dataset: str = "dataset", moment: str = "ts",

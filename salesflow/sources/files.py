@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from decimal import Decimal
 from typing import NamedTuple
 from urllib.parse import unquote
 
@@ -61,6 +62,10 @@ def _csv(spark: SparkSession, sep: str):
     )
 
 
+# Rows of one read have smaller numbers.
+BLOCK_SCALE = Decimal(2**63)
+
+
 class FileShape(NamedTuple):
     """What one pass over the lines of a delimited file shows. The header is its first record."""
 
@@ -138,6 +143,15 @@ def file_name(encoded: Column | None = None) -> Column:
     return F.url_decode(F.replace(encoded, F.lit("+"), F.lit("%2B")))
 
 
+def file_place() -> Column:
+    """Where in its file a row of a split file stands: block start and number of the row, in one number.
+
+    Sorts in file order within a file; no two rows of one share it.
+    """
+    block = F.col("_metadata.file_block_start").cast("decimal(19,0)")
+    return (block * F.lit(BLOCK_SCALE) + F.monotonically_increasing_id()).cast("decimal(38,0)")
+
+
 def _stem(alias: str | None, encoded: Column) -> list[Column]:
     return [] if alias is None else [F.substring_index(file_name(encoded), "_", 1).alias(alias)]
 

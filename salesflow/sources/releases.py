@@ -154,14 +154,21 @@ def read_months(
     known = manifest(spark, path, version)
     if table not in known:
         raise ValueError(f"no table {table} in {path}")
-    entry, groups = known[table], {}
+    return read_aside(spark, path, known[table], months, date_cols)
+
+
+def read_aside(
+    spark: SparkSession, path: str, entry: TableMonths, months: Sequence[str] | None = None, date_cols: Sequence[str] = ()
+) -> DataFrame:
+    """A table's months as its entry lists them, whether it is published yet or not."""
+    groups: dict[str, list[str]] = {}
     for month, files in entry.months.items():
         if files.folder is not None and (months is None or month in months):
             groups.setdefault(files.schema, []).append(f"{path.rstrip('/')}/data/{files.folder}")
     if not groups:
         schemas = [f.schema for f in entry.months.values() if f.schema] or [StructType([]).json()]
         return spark.createDataFrame([], _with_month(schemas[0], entry.month_col)).drop("run")
-    reader = spark.read.option("basePath", f"{path.rstrip('/')}/data/{table}")
+    reader = spark.read.option("basePath", f"{path.rstrip('/')}/data/{entry.table}")
     parts = [reader.schema(_with_month(schema, entry.month_col)).parquet(*folders).drop("run") for schema, folders in groups.items()]
     return stack_months(parts, date_cols)
 

@@ -13,14 +13,22 @@ from salesflow.operators.compare import (
 )
 from salesflow.operators.filters import counted, sale_day, type_filter
 from salesflow.operators.summary import day_counts, dominant_month, monthly_units, profile, summarise
+from salesflow.plans.figures import (
+    FIGURES, month_figures, stored_figures, stored_units, version_compare,
+)
 from salesflow.plans.marketplace import sales_type
 from salesflow.plans.quality import (
     ECOMMERCE_CHANNEL, build_decision, compile_check, expected_units, freshness, promotion_check,
-    published_units, release_compare, units_guard,
+    promotion_check_files, published_units, release_compare, units_guard,
 )
+from salesflow.plans.rebuild import touched_months
+from salesflow.session import new_folder
+from salesflow.sources.releases import publish, read_aside, write_months_aside
 from workload import query
 from workload.reports import dates_as_text
-from workload.standins import HISTORY, MARKET_FACTS, spark_sale_day, table
+from workload.standins import (
+    AS_OF, HISTORY, MARKET_FACTS, MARKET_ORDERS, spark_sale_day, table,
+)
 
 
 @query(
@@ -281,6 +289,114 @@ def promotion(spark, sf_dir):
     return promotion_check(new, old, allowed=["Dispatch Date"])
 
 
+@query(
+    "promotion_check_footers",
+    f"""
+    WITH h AS {HISTORY.sql},
+    f AS (SELECT count(*) FILTER (WHERE {CUT}) AS n, count(*) AS o,
+                 max("SentOn") FILTER (WHERE {CUT}) AS nd, max("SentOn") AS od FROM h)
+    SELECT 'unexpected' AS rule, 'Note' AS detail UNION ALL SELECT 'dropped', 'Variant'
+    UNION ALL SELECT 'rows', CAST(n AS varchar) FROM f WHERE n < o * 0.95
+    UNION ALL SELECT 'newest', CAST(nd AS varchar) FROM f WHERE nd < od
+    """,
+)
+def promotion_by_footers(spark, sf_dir):
+    """The same releases as files: rows and newest days out of the footers."""
+    old = HISTORY.df(spark, sf_dir)
+    new = old.filter(
+        (named("SentOn") < F.lit(dt.date(2001, 6, 1))) & (named("NoPesanan").cast("bigint") % 9 != 0)
+    ).drop("Variant").withColumns({"Note": F.lit(""), "Dispatch Date": named("SentOn")})
+    paths = [new_folder(spark, name) for name in ("new-release", "old-release")]
+    for df, path in zip((new, old), paths):
+        df.write.parquet(path)
+    return promotion_check_files(spark, *paths, allowed=["Dispatch Date"])
+
+
+FIGURE_MONTHS = "strftime(\"SentOn\", '%Y-%m') IN ('1998-06', '1998-07', '1998-08')"
+REBUILT = "CASE WHEN strftime(\"SentOn\", '%Y-%m') = '1998-07' AND \"ReportSource\" = 'ERP' THEN 2 ELSE 1 END"
+
+
+@query(
+    "stored_figures",
+    f"""
+    WITH h AS (SELECT *, strftime("SentOn", '%Y-%m') AS sale_month FROM {HISTORY.sql} WHERE {FIGURE_MONTHS}),
+    v AS (SELECT sale_month, "ReportSource", count(*) AS rows, CAST(sum("Quantity" * {REBUILT}) AS bigint) AS "Quantity",
+                 CAST(sum("Qty Sales") AS bigint) AS "Qty Sales", CAST(sum("Revenue") AS bigint) AS "Revenue",
+                 CAST(sum("Qty Return") AS bigint) AS "Qty Return", CAST(sum("Quantity") AS bigint) AS "Quantity_old" FROM h GROUP BY ALL)
+    SELECT *, rows AS rows_old, "Qty Sales" AS "Qty Sales_old", "Revenue" AS "Revenue_old", "Qty Return" AS "Qty Return_old",
+           CASE WHEN "Quantity" = "Quantity_old" THEN 'MATCH' ELSE 'DIFF' END AS status FROM v
+    """,
+)
+def figures_of_versions(spark, sf_dir):
+    """Three months published, one rebuilt with other units: both versions compared by their stored figures."""
+    path, month = new_folder(spark, "release"), month_key("SentOn")
+    rows = HISTORY.df(spark, sf_dir).withColumn("sale_month", month).filter(F.col("sale_month").isin("1998-06", "1998-07", "1998-08"))
+    doubled = F.when(named("ReportSource") == "ERP", 2).otherwise(1)
+    rebuilt = rows.filter(F.col("sale_month") == "1998-07").withColumn("Quantity", named("Quantity") * doubled)
+    for build in (rows, rebuilt):
+        history = write_months_aside(build, path, "history", "sale_month")
+        figures = write_months_aside(month_figures(read_aside(spark, path, history)), path, FIGURES, "sale_month")
+        publish(spark, path, history, figures)
+    return version_compare(stored_figures(spark, path), stored_figures(spark, path, 1))
+
+
+@query(
+    "stored_guard",
+    f"""
+    WITH h AS (SELECT strftime("SentOn", '%Y-%m') AS ym, * FROM {HISTORY.sql} WHERE "ReportSource" = 'MARKET'),
+    a AS (SELECT ym, CAST(sum("Quantity") AS bigint) AS actual FROM h WHERE "Channel" = 'E-COMMERCE' GROUP BY 1),
+    e AS (SELECT ym, CAST(sum("Quantity") AS bigint) AS expected FROM h GROUP BY 1)
+    SELECT ym, expected, coalesce(actual, 0) AS actual, coalesce(actual, 0) - expected AS diff,
+           (coalesce(actual, 0) - expected) / greatest(expected, 1) * 100 AS pct,
+           abs(coalesce(actual, 0) - expected) > 50 AND abs(coalesce(actual, 0) - expected) > greatest(expected, 1) * 0.2::double AS bad
+    FROM e LEFT JOIN a USING (ym)
+    """,
+)
+def guard_by_figures(spark, sf_dir):
+    """Units of all channels against those of one, both out of the stored figures of every month."""
+    path = new_folder(spark, "release")
+    rows = HISTORY.df(spark, sf_dir).withColumn("sale_month", month_key("SentOn"))
+    publish(spark, path, write_months_aside(month_figures(rows), path, FIGURES, "sale_month"))
+    figures = stored_figures(spark, path)
+    market = figures.filter(named("ReportSource") == "MARKET")
+    expected = market.groupBy(F.col("sale_month").alias("ym")).agg(F.sum("Quantity").alias("expected"))
+    return units_guard(expected, stored_units(figures, "MARKET"), "1990-01", 0.2, 50)
+
+
+REDELIVERED = "\"Source\" LIKE '98 03%' AND CAST(\"Order Number\" AS bigint) % 4 = 0"
+COUNT_COLS = ["Source", "Order Number", "Item Name", "Ordered Quantity", "CreatedOn", "SentOn"]
+
+
+def counted_sql(rows: str, as_of: dt.date) -> str:
+    return f"""SELECT strftime({spark_sale_day()}, '%Y-%m') AS ym, {', '.join(f'"{c}"' for c in COUNT_COLS)} FROM ({rows})
+        WHERE trim("Order Status") = 'DELIVERED' OR (trim("Order Status") = 'DISPATCHED' AND {spark_sale_day()} <= DATE '{as_of}' - 14)"""
+
+
+LATER = AS_OF + dt.timedelta(days=40)
+NEW_ORDERS_SQL = f"""SELECT * REPLACE (CASE WHEN {REDELIVERED} THEN '7' ELSE "Ordered Quantity" END AS "Ordered Quantity") FROM {MARKET_ORDERS.sql}
+    WHERE "Source" NOT LIKE '97 11%(2)%'"""
+
+
+@query(
+    "months_to_rebuild",
+    f"""
+    SELECT DISTINCT ym FROM (
+        SELECT ym, {', '.join(f'"{c}"' for c in COUNT_COLS)} FROM (
+            SELECT *, 1 AS w FROM ({counted_sql(f'SELECT * FROM {MARKET_ORDERS.sql}', AS_OF)})
+            UNION ALL SELECT *, -1 FROM ({counted_sql(NEW_ORDERS_SQL, LATER)}))
+        GROUP BY ALL HAVING sum(w) <> 0)
+    WHERE ym IS NOT NULL
+    """,
+)
+def rebuilt_months(spark, sf_dir):
+    """Forty days later, with some source files delivered anew and one taken back."""
+    old = MARKET_ORDERS.df(spark, sf_dir)
+    anew = named("Source").like("98 03%") & (named("Order Number").cast("bigint") % 4 == 0)
+    quantity = F.when(anew, F.lit("7")).otherwise(named("Ordered Quantity"))
+    new = old.withColumn("Ordered Quantity", quantity).filter(~named("Source").like("97 11%(2)%"))
+    return touched_months(old, new, AS_OF, LATER, COUNT_COLS)
+
+
 BOOK = "concat(cast(1 + o_custkey % 12 as string), '. Area Sell Through.xlsx')"
 
 

@@ -9,17 +9,20 @@ from pyspark.sql import DataFrame, functions as F
 from salesflow.functions import named
 from salesflow.operators.joins import lookup, lookup_or_default
 from salesflow.operators.masters import (
-    area_master, channel_master, keep_first, lookup_fanout, place_master, postcode_master,
+    area_master, channel_master, first_by_place, keep_first, lookup_fanout, place_master, postcode_master,
     product_master, standardise_places, unmatched_places,
 )
 from salesflow.plans.coverage import coverage_orders
-from salesflow.plans.master_data import AREA_CELLS, AREA_SKIP, PRODUCT_CELLS, PRODUCT_SKIP, report_masters
+from salesflow.plans.master_data import (
+    AREA_CELLS, AREA_SKIP, MARKET_CHANNEL_NAMES, POSTCODE_NAMES, PRODUCT_CELLS, PRODUCT_HEADER_ROW, PRODUCT_NAMES,
+    PRODUCT_SKIP, market_masters, report_masters,
+)
 from salesflow.session import new_folder
 from salesflow.sources.files import list_files
 from salesflow.sources.sinks import write_exceptions
 from workload import query
 from workload.standins import (
-    AREA_SHEET, CHANNEL_SHEET, CITY_SHEET, MARKET_ORDERS, PLACE_ORDERS, POSTCODE_SHEET, PRODUCT_SHEET,
+    AREA_SHEET, CHANNEL_SHEET, CITY_SHEET, MARKET_CHANNEL_SHEET, MARKET_ORDERS, PLACE_ORDERS, POSTCODE_SHEET, PRODUCT_SHEET,
     strip_sql, table,
 )
 
@@ -77,6 +80,20 @@ def keep_first_dedupe(spark, sf_dir):
     return firsts.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
 
 
+@query(
+    "first_by_place",
+    """
+    SELECT o_custkey, o_orderkey, o_orderstatus, o_orderpriority, o_totalprice
+    FROM orders QUALIFY row_number() OVER (PARTITION BY CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_custkey END ORDER BY o_orderkey) = 1
+    """,
+)
+def first_of_customer(spark, sf_dir):
+    """Each customer's first order; a third of the orders share the null key."""
+    orders = table(spark, sf_dir, "orders").withColumn("k", F.expr("CASE WHEN o_orderkey % 3 = 0 THEN NULL ELSE o_custkey END"))
+    firsts = first_by_place(orders, ["k"], "o_orderkey")
+    return firsts.select("o_custkey", "o_orderkey", "o_orderstatus", "o_orderpriority", "o_totalprice")
+
+
 query("product_master", f"SELECT * FROM {PRODUCT_SQL}")(products)
 query("area_master", f"SELECT * FROM {AREA_SQL}")(areas)
 query("channel_master", f"SELECT * FROM {CHANNEL_SQL}")(channels)
@@ -281,3 +298,52 @@ def workbook_masters(spark, sf_dir):
         .unionByName(shown(area, "area", "Province", "Region"))
         .unionByName(shown(channel, "channel", "SalesType", "SubSalesType", "Channel Group", "Channel", "Sub Channel"))
     )
+
+
+MARKET_PRODUCT_SQL = f"""(
+    SELECT upper("ItemName") AS "ItemName", upper("Brand") AS "Brand", upper("Category") AS "Category",
+           upper("SubCategory") AS "SubCategory", upper("Type of Item") AS "Type of Item" FROM {PRODUCT_SHEET.sql})"""
+MARKET_CHANNEL_SQL = f"""(
+    SELECT "Channel Group", {strip_sql('"SalesType"')} AS "SalesType", "Channel", "Sub Channel" FROM {MARKET_CHANNEL_SHEET.sql})"""
+
+
+def market_workbook(spark, sf_dir) -> DataFrame:
+    """The same workbook as the marketplace reads it: header rows above all three sheets."""
+    values = {
+        "Kode Pos": (POSTCODE_SHEET.df(spark, sf_dir).withColumn("No", F.lit("x")), ["No", *POSTCODE_NAMES], 0),
+        "Channel": (MARKET_CHANNEL_SHEET.df(spark, sf_dir), ["Sub Channel", *MARKET_CHANNEL_NAMES[:3]], 0),
+        "Product": (PRODUCT_SHEET.df(spark, sf_dir).withColumnRenamed("SubCategory", "Sub Category"), PRODUCT_NAMES, PRODUCT_HEADER_ROW),
+    }
+    parts = []
+    for sheet, (df, names, header_row) in values.items():
+        cells = F.array(*[named(c).cast("string") for c in names])
+        at = F.col("row_no") if "row_no" in df.columns else F.monotonically_increasing_id()
+        rows = df.select((at + header_row + 1).cast("long").alias("row_no"), cells.alias("cells"))
+        head = spark.range(1).select(F.lit(header_row).cast("long").alias("row_no"), F.array(*[F.lit(c) for c in names]).alias("cells"))
+        kinds = F.transform("cells", lambda v: F.when(v.isNull(), F.lit("empty")).otherwise(F.lit("text")))
+        lines = rows.unionByName(head).withColumn("cell_types", kinds)
+        parts.append(lines.select(F.lit("masters.xlsx").alias("source_file"), F.lit(sheet).alias("sheet"), F.lit("visible").alias("sheet_state"), "*"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query(
+    "workbook_market_masters",
+    f"""
+    SELECT 'postcode' AS master, "Kode Pos" AS a, "Province" AS b, "City" AS c, NULL AS d, NULL AS e FROM {POSTCODE_SQL}
+    UNION ALL SELECT 'channel', "SalesType", "Channel Group", "Channel", "Sub Channel", NULL FROM {MARKET_CHANNEL_SQL}
+    UNION ALL SELECT 'product', "ItemName", "Brand", "Category", "SubCategory", "Type of Item" FROM {MARKET_PRODUCT_SQL}
+    """,
+)
+def workbook_market_masters(spark, sf_dir):
+    """Postcode, channel and product masters of the marketplace out of the workbook's sheets."""
+    found = market_masters(market_workbook(spark, sf_dir))
+
+    def shown(df, name: str, *cols: str):
+        filled = [F.col(f"`{c}`") for c in cols] + [F.lit(None).cast("string")] * (5 - len(cols))
+        return df.select(F.lit(name).alias("master"), *[c.alias(n) for c, n in zip(filled, "abcde")])
+
+    return (
+        shown(found.postcode, "postcode", "Kode Pos", "Province", "City")
+        .unionByName(shown(found.channel, "channel", "SalesType", "Channel Group", "Channel", "Sub Channel"))
+        .unionByName(shown(found.product, "product", "ItemName", "Brand", "Category", "Sub Category", "Type of Item"))
+    )

@@ -11,6 +11,7 @@ from salesflow.sources.files import (
     list_files, read_delimited_master, read_facts, read_text_csvs, select_files,
 )
 from salesflow.sources.grid import grid_to_table, visible_sheets
+from salesflow.sources.zones import Zones, quarter_files, write_zoned
 from workload import query
 from workload.standins import CITY_SHEET, MARKET_ORDERS, MONTH, YEAR, table
 
@@ -154,6 +155,16 @@ def listed_scope_of_quarter(spark, sf_dir):
     return quarter(spark, sf_dir, 1000)
 
 
+@query("quarter_scope_zoned", QUARTER_SQL)
+def zoned_scope_of_quarter(spark, sf_dir):
+    """The orders written by source with a zone map, which tells the files to open."""
+    path = new_folder(spark, "zoned")
+    write_zoned(MARKET_ORDERS.df(spark, sf_dir).select("Source", "Order Number"), path, ["Source"], files=24)
+    zones = Zones(spark, path)
+    scoped = quarter_scope(zones.scan(quarter_files(zones, YEAR, MONTH)), "Source", YEAR, MONTH)
+    return scoped.select(named("Order Number").alias("order_number"), named("Source").alias("source"))
+
+
 @query(
     "sale_window",
     """
