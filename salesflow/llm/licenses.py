@@ -93,8 +93,7 @@ def scan_licenses(
         "doc_id", "body", "n_words", (F.col("at") - 1 - F.col("lead")).alias("at"), F.col("entry.left").alias("l"), F.col("entry.right").alias("r"),
     ).where("r IS NOT NULL").withColumn("gram", F.xxhash64("l", "r"))
     hits = rows.join(templates(spark, phrases or BASE, NOTICES if notices is None else notices), "gram").where("l = left AND r = right")
-    # from here on all steps group by at least these two columns
-    hits = hits.select("doc_id", "body", "n_words", "template", "spot", "pairs", "label", "base", "at").repartition("doc_id", "body")
+    hits = hits.select("doc_id", "body", "n_words", "template", "spot", "pairs", "label", "base", "at")
     diagonals = hits.groupBy("doc_id", "body", "n_words", "template", "pairs", "label", "base", (F.col("at") - F.col("spot")).alias("diagonal")).agg(
         F.bit_or(F.expr("shiftleft(1L, spot)")).alias("voted"), F.count("*").alias("copies"),
         F.min("at").alias("first"), (F.max("at") + 2).alias("end"),
