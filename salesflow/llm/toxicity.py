@@ -1,10 +1,13 @@
 """Toxicity classifier: a factorization machine over hashed terms.
 
-Every lower-cased word and its beginnings are hashed to bins. Of the bins met in the training sample those stay whose
-smoothed log-odds between toxic and clean documents lie at least Z standard errors from 0; the
-machine has a weight and a vector of FACTORS numbers for each, and scores a text's set of bins by
-intercept, weights and all pairwise products of vectors (by the usual square-of-sums identity), so
-that two terms together may count more or less than each adds.
+Every lower-cased word and its beginnings are hashed to bins. Of the bins met in the training sample
+two kinds stay: those whose smoothed log-odds between toxic and clean documents lie at least Z
+standard errors from 0, and, however neutral alone, those that tell together with another: among the
+rows that hold the other, their log-odds lie PAIR_Z standard errors from 0. For the latter every pair
+of bins that a SHARED part of the toxic rows hold is tried. The machine has a weight and a vector of
+FACTORS numbers for each bin, and scores a text's set of bins by intercept, weights and all pairwise
+products of vectors (by the usual square-of-sums identity), so that two terms together may count
+more or less than each adds.
 
 Defined cases: null and empty texts have no terms and score the intercept, the rate of toxic rows; a
 null doc_id is scored with held_out null; a label that is null or not 0 or 1 is not learnt from; with
@@ -26,6 +29,7 @@ PARTS = (4, 6, 8)
 FACTORS = 4
 Z = 3.0
 LEAST = 3
+SHARED, PAIR_Z, PAIR_ROWS = 0.05, 6.0, 1024
 PASSES, BATCH, RATE, DECAY = 40, 64, 0.3, 2e-4
 
 
@@ -39,16 +43,51 @@ def terms(piece: Slice) -> tuple[np.ndarray, np.ndarray]:
     return np.tile(found.text, len(value)), (np.concatenate(value) & np.uint64((1 << BITS) - 1)).astype(np.int64)
 
 
+def log_odds(a, b, c, d) -> tuple[np.ndarray, np.ndarray]:
+    """Smoothed log-odds of toxic with and without, against clean with and without; and its standard error."""
+    a, b, c, d = (x + 0.5 for x in (a, b, c, d))
+    return np.log(a * d / (b * c)), np.sqrt(1 / a + 1 / b + 1 / c + 1 / d)
+
+
 def chosen(y: np.ndarray, bins: list[np.ndarray]) -> np.ndarray:
-    """The bins that tell toxic from clean rows."""
+    """The bins that tell toxic from clean rows, alone or together with another."""
     size, good = 1 << BITS, int(y.sum())
     everywhere = np.bincount(np.concatenate(bins), minlength=size) if len(bins) else np.zeros(size, np.int64)
     toxic = np.concatenate([np.zeros(0, np.int64), *[b for b, label in zip(bins, y) if label]])
-    a = np.bincount(toxic.astype(np.int64), minlength=size) + 0.5
-    c = everywhere - a + 1.0
-    b, d = good - a + 1.0, len(y) - good - c + 1.0
-    odds = np.log(a * d / (b * c))
-    return np.flatnonzero((everywhere >= LEAST) & (np.abs(odds) >= Z * np.sqrt(1 / a + 1 / b + 1 / c + 1 / d)))
+    held = np.bincount(toxic.astype(np.int64), minlength=size)
+    odds, error = log_odds(held, good - held, everywhere - held, len(y) - good - everywhere + held)
+    tells = (everywhere >= LEAST) & (np.abs(odds) >= Z * error)
+    tried = np.flatnonzero((held >= max(LEAST, SHARED * good)) & (everywhere >= LEAST))
+    tells[tried[tell_together(y, bins, tried, ~tells[tried])]] = True
+    return np.flatnonzero(tells)
+
+
+def tell_together(y: np.ndarray, bins: list[np.ndarray], tried: np.ndarray, neutral: np.ndarray) -> np.ndarray:
+    """Which of the tried bins are neutral alone but tell among the rows that hold another, and these others.
+
+    Counts of pairs are products of the rows' marks, PAIR_ROWS rows and as many bins at a time.
+    """
+    place = np.full(1 << BITS, -1, np.int32)
+    place[tried] = np.arange(len(tried))
+    n = len(tried)
+    both = {label: np.zeros((n, n), np.float32) for label in (0, 1)}
+    for label, counts in both.items():
+        rows = np.flatnonzero(y == label)
+        for lo in range(0, len(rows), PAIR_ROWS):
+            marks = np.zeros((min(PAIR_ROWS, len(rows) - lo), n), np.float32)
+            for i, row in enumerate(rows[lo : lo + PAIR_ROWS]):
+                at = place[bins[row]]
+                marks[i, at[at >= 0]] = 1
+            counts += marks.T @ marks
+    alone = {label: np.diag(counts).copy()[:, None] for label, counts in both.items()}
+    out = np.zeros(n, bool)
+    for lo in range(0, n, PAIR_ROWS):
+        part = slice(lo, lo + PAIR_ROWS)  # rows: the bin held; columns: the other that may tell
+        odds, error = log_odds(both[1][part], alone[1][part] - both[1][part], both[0][part], alone[0][part] - both[0][part])
+        told = (np.abs(odds) >= PAIR_Z * error) & neutral[None, :]
+        out |= told.any(axis=0)
+        out[part] |= told.any(axis=1)
+    return out
 
 
 def machine(row: np.ndarray, at: np.ndarray, n: int, bias: float, weight: np.ndarray, factor: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
