@@ -5,13 +5,19 @@ that a range could use) and text size (by half powers of two). A row's place on
 index of its cell; runs of equally many rows are cut along the curve (law ``rows``), so each shard
 holds few sources, languages and sizes and files can be pruned by any of them.
 
-Ranks are exact without a global sort: rows are counted per cell and salt, the counts run up over
-4096 cells at most, and rows are only numbered inside a cell and salt. The salt comes from the text's
-checksum and the doc_id, so equal texts mostly stand together and a group of copies as large as a
-third of the table is still dealt to many tasks.
+Equal texts are a group: all its rows lie in the cell of the row with the smallest doc_id, and inside a
+cell rows are ordered by their text's hash, so a group stands together along the curve and is cut at
+a border between shards only.
+
+Ranks are exact without a global sort: rows are counted per cell and range of hashes, the counts run
+up over 4096 cells and HASH_RANGES ranges, and rows are only numbered inside a range. A text that a
+sketch finds to hold HOT_SHARE of the rows or more, at most 200 can, is cut into TURNS parts by a hash
+of the doc_id, and a doc_id and text that do so together, rows that repeat, are dealt to as many in
+turn. So a group of copies, or one repeated row, as large as a third of the table goes to many tasks.
 
 Defined cases: a null text has no bytes, size 1 and the checksum of the empty string; null source or
-language is a category of its own; a null doc_id is numbered first in its part; repeated rows each
+language is a category of its own; a null doc_id comes after others in choosing a group's
+cell; repeated rows each
 get a slot of their own; an empty table gives no rows.
 """
 
@@ -20,10 +26,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from salesflow.session import staged
+
 BITS = 4
 SHARDS = 8
-TEXT_SALTS = 16
-ID_SALTS = 64
+HASH_RANGES = 1024
+HOT_SHARE = 0.005
+TURNS = 256
 
 
 def coordinates() -> list[Column]:
@@ -77,6 +86,30 @@ def hilbert_index(x: Column, y: Column, z: Column) -> Column:
     )[0]
 
 
+def hot(rows: DataFrame, value: Column) -> list[int]:
+    """The values that HOT_SHARE of the rows or more hold, in order."""
+    top = F.call_function("approx_top_k", value, F.lit(int(1 / HOT_SHARE)), F.lit(10_000))
+    found = rows.agg(top.alias("top"), F.count("*").alias("n")).first()  # at most 1 / HOT_SHARE values
+    return sorted(t["item"] for t in found["top"] or [] if t["count"] >= max(HOT_SHARE * found["n"], 2))
+
+
+def salt(rows: DataFrame) -> Column:
+    """A row's part of its cell, a number whose digits are: the range of its text's hash, hot texts
+    before it, the part of a hot text, and the turn of a row that repeats."""
+    pair = F.xxhash64("text_hash", "id")
+    texts, pairs = hot(rows, F.col("text_hash")), hot(rows, pair)
+    part = F.shiftrightunsigned("text_hash", 64 - HASH_RANGES.bit_length() + 1)
+    if not texts:
+        return part
+    below = F.size(F.filter(F.array(*[F.lit(h) for h in texts]), lambda h: h < F.col("text_hash")))
+    in_text = F.when(F.col("text_hash").isin(texts), F.col("id_turn") + 1).otherwise(0)
+    in_pair = F.when(pair.isin(pairs), F.col("turn") + 1).otherwise(0) if pairs else F.lit(0)
+    out = part
+    for digit, size in ((below, 256), (in_text, TURNS + 1), (in_pair, TURNS + 1)):
+        out = out * size + digit
+    return out
+
+
 def shards(documents: DataFrame, n_shards: int = SHARDS, keep: list[str] | None = None) -> DataFrame:
     """Every row with its size, text checksum, law, shard and slot; ``keep`` are the columns that stay."""
     keep = keep or ["doc_id"]
@@ -84,13 +117,18 @@ def shards(documents: DataFrame, n_shards: int = SHARDS, keep: list[str] | None
     size = F.octet_length(body).cast("long") + 1
     rows = documents.select(
         F.struct(*keep).alias("row"), F.col("doc_id").cast("long").alias("id"), "source", "lang", size.alias("size"),
-        F.crc32(body.cast("binary")).alias("text_crc32"),
+        F.crc32(body.cast("binary")).alias("text_crc32"), F.xxhash64(body).alias("text_hash"),
     )
     x, y, z = coordinates()
-    rows = rows.select(
-        "row", "id", "size", "text_crc32", (x * 256 + y * 16 + z).alias("cell"),
-        (F.pmod(F.xxhash64("text_crc32"), F.lit(TEXT_SALTS)) * ID_SALTS + F.pmod(F.xxhash64("id"), F.lit(ID_SALTS))).cast("int").alias("salt"),
-    )
+    rows = rows.withColumns({"cell": x * 256 + y * 16 + z, "turn": F.pmod(F.monotonically_increasing_id(), F.lit(TURNS))})
+    # written first: whichever step reads the rows again finds the same turns
+    rows = staged(rows.drop("source", "lang"), "rows")
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "cell"))["cell"]
+    groups = rows.groupBy("text_hash").agg(first.alias("group_cell"), F.min("cell").alias("low"), F.max("cell").alias("high"))
+    groups = staged(groups.where("low < high").select("text_hash", "group_cell"), "groups")
+    rows = rows.join(groups, "text_hash", "left").withColumn("cell", F.coalesce("group_cell", "cell")).drop("group_cell")
+    rows = rows.withColumn("id_turn", F.pmod(F.xxhash64("id"), F.lit(TURNS)))
+    rows = rows.withColumn("salt", salt(rows))
     parts = rows.groupBy("cell", "salt").agg(F.count("*").alias("n"))
     cells = parts.groupBy("cell").agg(F.sum("n").alias("n"))
     place = hilbert_index(
@@ -102,7 +140,7 @@ def shards(documents: DataFrame, n_shards: int = SHARDS, keep: list[str] | None
     )
     inside = Window.partitionBy("cell").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
     starts = parts.withColumn("part_from", F.coalesce(F.sum("n").over(inside), F.lit(0))).drop("n").join(cells, "cell")
-    number = F.row_number().over(Window.partitionBy("cell", "salt").orderBy("id", "text_crc32", "size"))
+    number = F.row_number().over(Window.partitionBy("cell", "salt").orderBy("text_hash", "id_turn", "id"))
     ranked = rows.withColumn("number", number).join(starts, ["cell", "salt"]).withColumn(
         "rank", F.col("cell_from") + F.col("part_from") + F.col("number") - 1
     )
