@@ -292,6 +292,32 @@ def test_shards(odd_documents):
     assert again == Counter((r["doc_id"], r["shard"], r["slot"]) for r in rows)
 
 
+def test_equal_texts_stand_together(spark):
+    """Copies under other sources and languages lie side by side; shards differ by one row at most."""
+    rows = [(i, f"text {i % 70}" if i % 3 else "the one copied text", f"lang{i % 5}", f"source{i % 7}") for i in range(900)]
+    rows += [(5, "the one copied text", "lang0", "source5")] * 300 + [(None, None, None, None)] * 300
+    out = shards(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(9), keep=["doc_id", "text"]).collect()
+    by = defaultdict(list)
+    for r in out:
+        by[r["text"]].append((r["shard"], r["slot"]))
+    sizes = Counter(r["shard"] for r in out)
+    assert max(sizes.values()) - min(sizes.values()) <= 1
+    first = {s: sum(sizes[t] for t in range(s)) for s in range(8)}
+    for places in by.values():
+        ranks = sorted(first[s] + slot for s, slot in places)
+        assert ranks == list(range(ranks[0], ranks[0] + len(ranks)))
+
+
+def test_ranks_recomputed(odd_documents):
+    """Shard and slot follow from the order of curve and text, whatever parts the rows went through."""
+    out = sorted(shards(odd_documents, keep=["doc_id", "text"]).collect(), key=lambda r: (r["shard"], r["slot"]))
+    n = len(out)
+    assert [r["shard"] for r in out] == [8 * i // n for i in range(n)]
+    assert [r["curve"] for r in out] == sorted(r["curve"] for r in out)
+    texts = [(r["curve"], r["text"] or "") for r in out]
+    assert len({t for t in texts}) == sum(a != b for a, b in zip(texts, [None, *texts]))
+
+
 def test_shards_of_few_and_none(odd_documents, no_documents):
     assert shards(no_documents).count() == 0
     assert sorted(r["shard"] for r in shards(odd_documents.where("doc_id < 3")).collect()) == [0, 2, 5]
