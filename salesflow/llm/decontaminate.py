@@ -7,8 +7,10 @@ a suffix array is sorted, its Burrows-Wheeler transform goes into a wavelet tree
 searched backwards at once through the tree's ranks, and hits are located from sampled suffix
 positions by walking the last-to-first mapping. The located spans are merged per document.
 
-The benchmark goes to the tasks in blocks of a bounded number of text bytes; every shard is
-searched with every block, so a larger benchmark means more passes, not more memory.
+The benchmark is dealt to blocks of a bounded number of text bytes. Only one block at a time is held,
+by the driver and by the tasks: all documents are searched with it, what it hits is written down by
+text, and it is let go before the next. So a larger benchmark means more passes, not more memory. A
+benchmark of one block needs no such notes, and its hits are counted as they are found.
 
 Defined cases: a null or empty text has no words, is never hit and lists no items; an item without
 words has no windows; an item whose id is null marks words but is not listed; rows that share an
@@ -18,15 +20,18 @@ item_id are one item; every row of the documents gets a row, repeated rows alike
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salesflow.llm.frames import keep_rows, map_batches
+from salesflow.llm.frames import map_batches
 from salesflow.llm.suffixes import suffix_array
 from salesflow.llm.tokens import ALNUM, Slice, Words, slices, words
+from salesflow.session import new_folder, staged
 
 WINDOW = 13
 SHARE = 20
@@ -185,69 +190,110 @@ def occurrences(ids: np.ndarray, text: np.ndarray, phrases: Phrases) -> tuple[np
     return back[index.locate(rows)], which
 
 
-def blocks(benchmark: DataFrame, block_bytes: int) -> list[list[tuple[object, str | None]]]:
-    """The benchmark's rows in blocks of about ``block_bytes``, by a hash of the item."""
+def blocks(benchmark: DataFrame, block_bytes: int) -> tuple[int, DataFrame]:
+    """How many blocks of about ``block_bytes`` the distinct rows make, and these with their block,
+    by a hash of item and text, stored apart."""
     rows = benchmark.select("item_id", "text")
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = 1 + int(total) // block_bytes
-    for i in range(n):
-        part = rows.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == i)
-        yield [tuple(x) for x in part.collect()]
-
-
-class Judge:
-    """Counts hits of benchmark windows in columns of texts; made on the driver, sent to the tasks."""
-
-    def __init__(self, benchmark: DataFrame, window: int = WINDOW, share: int = SHARE, block_bytes: int = BLOCK_BYTES) -> None:
-        context = benchmark.sparkSession.sparkContext
-        self.share = share
-        self.sent = [context.broadcast(Phrases(rows, window)) for rows in blocks(benchmark, block_bytes)]
-
-    def __call__(self, texts: pa.Array, spans: bool = False) -> dict[str, object]:
-        n = len(texts)
-        n_words, n_hit, n_items = (np.zeros(n, np.int64) for _ in range(3))
-        digest = [""] * n
-        cut: list[list] = [[] for _ in range(n)]
-        for piece in slices(texts):
-            found = words(piece, ALNUM)
-            count = found.per_text(piece.n)
-            here = slice(piece.first, piece.first + piece.n)
-            n_words[here] = count
-            hit = np.zeros(len(found.hash) + 1, np.int64)
-            named: list[set[str]] = [set() for _ in range(piece.n)]
-            for block in self.sent:
-                self._search(block.value, found, hit, named)
-            covered = np.cumsum(hit)[:-1] > 0
-            n_hit[here] = np.bincount(found.text[covered], minlength=piece.n)
-            for i, names in enumerate(named):
-                n_items[piece.first + i] = len(names)
-                digest[piece.first + i] = ",".join(sorted(names))
-            if spans:
-                for text, first, end in merged(covered, found.text, count):
-                    cut[piece.first + text].append({"first": first, "end": end})
-        out = {
-            "n_words": n_words, "n_hit": n_hit, "n_items": n_items,
-            "items_sha256": [hashlib.sha256(x.encode()).hexdigest() for x in digest],
-            "contaminated": (n_hit > 0) & (self.share * n_hit >= n_words),
-        }
-        if spans:
-            out["spans"] = pa.array(cut, pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())])))
-        return out
-
-    @staticmethod
-    def _search(phrases: Phrases, found: Words, hit: np.ndarray, named: list[set[str]]) -> None:
-        if not len(phrases.vocabulary):
-            return
-        at = np.searchsorted(phrases.vocabulary, found.hash).clip(max=len(phrases.vocabulary) - 1)
-        ids = np.where(phrases.vocabulary[at] == found.hash, at + 1, 0)
-        start, which = occurrences(ids, found.text, phrases)
-        np.add.at(hit, start, 1)
-        np.add.at(hit, start + phrases.length[which], -1)
-        sizes = np.diff(phrases.item_start)[which]
-        place = np.repeat(phrases.item_start[which] - np.cumsum(sizes) + sizes, sizes) + np.arange(int(sizes.sum()))
-        pairs = np.unique(np.stack([np.repeat(found.text[start], sizes), phrases.items[place]]), axis=1)
-        for text, item in pairs.T.tolist():
-            named[text].add(phrases.names[item])
+    rows = rows.distinct().withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(n)).cast("int"))
+    if n == 1:
+        return n, rows
+    path = new_folder(benchmark.sparkSession, "benchmark")
+    rows.write.partitionBy("block").parquet(path)
+    return n, benchmark.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def sent_block(rows: DataFrame, block: int, window: int) -> Broadcast:
+    """One block's windows, made ready on the driver and sent to the tasks; bounded by the block."""
+    found = rows.where(F.col("block") == block).select("item_id", "text").collect()
+    return rows.sparkSession.sparkContext.broadcast(Phrases([tuple(x) for x in found], window))
+
+
+def searched(phrases: Phrases, texts: pa.Array) -> tuple[np.ndarray, list[list[tuple[int, int]]], list[set[str]]]:
+    """Per text its number of words, the merged spans that a block hits, and the items it names."""
+    n_words, cut, named = np.zeros(len(texts), np.int64), [], []
+    for piece in slices(texts):
+        found = words(piece, ALNUM)
+        count = found.per_text(piece.n)
+        n_words[piece.first : piece.first + piece.n] = count
+        hit = np.zeros(len(found.hash) + 1, np.int64)
+        names: list[set[str]] = [set() for _ in range(piece.n)]
+        _search(phrases, found, hit, names)
+        spans: list[list[tuple[int, int]]] = [[] for _ in range(piece.n)]
+        for text, first, end in merged(np.cumsum(hit)[:-1] > 0, found.text, count):
+            spans[text].append((first, end))
+        cut += spans
+        named += names
+    return n_words, cut, named
+
+
+def _search(phrases: Phrases, found: Words, hit: np.ndarray, named: list[set[str]]) -> None:
+    if not len(phrases.vocabulary):
+        return
+    at = np.searchsorted(phrases.vocabulary, found.hash).clip(max=len(phrases.vocabulary) - 1)
+    ids = np.where(phrases.vocabulary[at] == found.hash, at + 1, 0)
+    start, which = occurrences(ids, found.text, phrases)
+    np.add.at(hit, start, 1)
+    np.add.at(hit, start + phrases.length[which], -1)
+    sizes = np.diff(phrases.item_start)[which]
+    place = np.repeat(phrases.item_start[which] - np.cumsum(sizes) + sizes, sizes) + np.arange(int(sizes.sum()))
+    pairs = np.unique(np.stack([np.repeat(found.text[start], sizes), phrases.items[place]]), axis=1)
+    for text, item in pairs.T.tolist():
+        named[text].add(phrases.names[item])
+
+
+def united(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Word ranges of several blocks as disjoint ones, in order."""
+    out: list[tuple[int, int]] = []
+    for first, end in sorted(spans):
+        if out and first <= out[-1][1]:
+            out[-1] = (out[-1][0], max(end, out[-1][1]))
+        else:
+            out.append((first, end))
+    return out
+
+
+def verdicts(n_words: np.ndarray, cut: list[list[tuple[int, int]]], named: list[set[str]], share: int, spans: bool) -> dict[str, object]:
+    """The columns of the result, from what all blocks hit."""
+    n_hit = np.array([sum(e - f for f, e in c) for c in cut], np.int64)
+    out = {
+        "n_words": n_words, "n_hit": n_hit, "n_items": np.array([len(x) for x in named], np.int64),
+        "items_sha256": [hashlib.sha256(",".join(sorted(x)).encode()).hexdigest() for x in named],
+        "contaminated": (n_hit > 0) & (share * n_hit >= n_words),
+    }
+    if spans:
+        listed = [[{"first": f, "end": e} for f, e in c] for c in cut]
+        out["spans"] = pa.array(listed, pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())])))
+    return out
+
+
+def notes(source: DataFrame, rows: DataFrame, n: int, window: int) -> DataFrame:
+    """What each block hits, by text (``_body``): spans and items. Blocks are searched one after another."""
+
+    def noting(sent: Broadcast):
+        def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+            _, cut, named = searched(sent.value, batch.column("_text"))
+            hit = [i for i, c in enumerate(cut) if c]
+            return pa.RecordBatch.from_pydict({
+                "_body": batch.column("_body").take(pa.array(hit, pa.int64())),
+                "first": pa.array([[f for f, _ in cut[i]] for i in hit], pa.list_(pa.int64())),
+                "end": pa.array([[e for _, e in cut[i]] for i in hit], pa.list_(pa.int64())),
+                "items": pa.array([sorted(named[i]) for i in hit], pa.list_(pa.string())),
+            })
+
+        return run
+
+    kept = []
+    for block in range(n):
+        sent = sent_block(rows, block, window)
+        found = map_batches(source.select("_body", "_text"), noting(sent), "_body binary, first array<long>, end array<long>, items array<string>")
+        # rows that repeat a text hit the same
+        kept.append(staged(found.dropDuplicates(["_body"]), "hits"))
+        sent.destroy()
+    every = reduce(DataFrame.unionByName, kept)
+    gathered = every.groupBy("_body").agg(*[F.flatten(F.collect_list(c)).alias(c) for c in ("first", "end", "items")])
+    return staged(gathered, "notes")
 
 
 def merged(covered: np.ndarray, text: np.ndarray, count: np.ndarray) -> list[tuple[int, int, int]]:
@@ -273,19 +319,37 @@ def decontaminate(
     With ``spans`` also the merged removal spans, as word ranges with an exclusive end.
     """
     keep = keep or ["doc_id"]
-    judge = Judge(benchmark, window, share, block_bytes)
-    source = documents.select(F.struct(*keep).alias("_row"), F.col("text").alias("_text"))
+    n, rows = blocks(benchmark, block_bytes)
+    body = F.unhex(F.sha2(F.coalesce("text", F.lit("")), 256))
+    source = documents.select(F.struct(*keep).alias("_row"), F.col("text").alias("_text"), *([] if n == 1 else [body.alias("_body")]))
     kind = source.schema["_row"].dataType.simpleString()
-
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        return pa.RecordBatch.from_pydict({"_row": batch.column("_row"), **judge(batch.column("_text"), spans)})
-
-    out = map_batches(source, run, f"_row {kind}, {SCHEMA}" + (", spans array<struct<first:long,end:long>>" if spans else ""))
+    schema = f"_row {kind}, {SCHEMA}" + (", spans array<struct<first:long,end:long>>" if spans else "")
+    if n == 1:
+        sent = sent_block(rows, 0, window)
+
+        def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+            found = searched(sent.value, batch.column("_text"))
+            return pa.RecordBatch.from_pydict({"_row": batch.column("_row"), **verdicts(*found, share, spans)})
+
+        out = map_batches(source, run, schema)
+    else:
+        told = source.join(notes(source, rows, n, window), "_body", "left").select("_row", "_text", "first", "end", "items")
+
+        def gather(batch: pa.RecordBatch) -> pa.RecordBatch:
+            n_words = np.zeros(batch.num_rows, np.int64)
+            for piece in slices(batch.column("_text")):
+                n_words[piece.first : piece.first + piece.n] = words(piece, ALNUM).per_text(piece.n)
+            first, end, items = (batch.column(c).to_pylist() for c in ("first", "end", "items"))
+            cut = [united(list(zip(f or [], e or []))) for f, e in zip(first, end)]
+            return pa.RecordBatch.from_pydict({"_row": batch.column("_row"), **verdicts(n_words, cut, [set(x or []) for x in items], share, spans)})
+
+        out = map_batches(told, gather, schema)
     rest = [x.name for x in out.schema if x.name != "_row"]
     return out.select(*[F.col("_row")[c].alias(c) for c in keep], *rest)
 
 
-def without_contaminated(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
+def without_contaminated(documents: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The documents, all columns as they are, that are not contaminated."""
-    judge = Judge(benchmark)
-    return keep_rows(documents, lambda texts: pa.array(~judge(texts)["contaminated"]))
+    wrapped = documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("_kept"), "text")
+    judged = decontaminate(wrapped, benchmark, block_bytes=block_bytes, keep=["_kept"])
+    return judged.where("NOT contaminated").select("_kept.*")
