@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from salesflow.llm.decontaminate import decontaminate
+from salesflow.llm.decontaminate import decontaminate, without_contaminated
 from salesflow.llm.embeddings import audit, link_vectors, unit
 from salesflow.llm.hilbert import hilbert_index, shards
 from salesflow.llm.learn import fold
@@ -82,6 +82,43 @@ def test_decontaminate(odd_documents, benchmark, block_bytes):
     assert spans.where("n_hit <> aggregate(spans, 0L, (t, s) -> t + s.end - s.first)").count() == 0
 
 
+@pytest.mark.parametrize("block_bytes", [1 << 20, 100])
+def test_blocks_do_not_show(odd_documents, benchmark, block_bytes):
+    """Removal spans and kept rows are the same however the benchmark is dealt."""
+    whole = decontaminate(odd_documents, benchmark, spans=True).withColumn("spans", F.to_json("spans"))
+    dealt = decontaminate(odd_documents, benchmark, block_bytes=block_bytes, spans=True).withColumn("spans", F.to_json("spans"))
+    assert as_rows(dealt, *dealt.columns) == as_rows(whole, *whole.columns)
+    kept = without_contaminated(odd_documents, benchmark, block_bytes)
+    assert kept.columns == odd_documents.columns
+    assert kept.count() == whole.where("NOT contaminated").count()
+
+
+def test_one_block_at_a_time_is_held(odd_documents, benchmark, monkeypatch):
+    """As many broadcasts as blocks, each let go before the next is made."""
+    from salesflow.llm import decontaminate as module
+
+    held, most, real = [], [], module.sent_block
+
+    class Counted:
+        def __init__(self, sent):
+            self.sent = sent
+            held.append(self)
+            most.append(len(held))
+
+        value = property(lambda self: self.sent.value)
+
+        def __reduce__(self):
+            return self.sent.__reduce__()
+
+        def destroy(self):
+            held.remove(self)
+            self.sent.destroy()
+
+    monkeypatch.setattr(module, "sent_block", lambda *a: Counted(real(*a)))
+    decontaminate(odd_documents, benchmark, block_bytes=100).collect()
+    assert len(most) > 5 and max(most) == 1 and not held
+
+
 def test_decontaminate_empty_tables(no_documents, odd_documents, benchmark):
     assert decontaminate(no_documents, benchmark).count() == 0
     assert decontaminate(odd_documents, benchmark.where("1 = 0")).where("n_hit > 0 OR contaminated").count() == 0
