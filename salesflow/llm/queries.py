@@ -145,7 +145,27 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(table(spark, sf_dir, "documents"))
 
 
-@query("op6_suffix_array_dedup")
+OP6_SQL = """
+WITH texts AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+places AS (SELECT r, unnest(range(0, len(h) // 2 - 199)) AS i FROM texts WHERE len(h) >= 400),
+strings AS (SELECT p.r, i, md5_number(substr(h, 2 * i + 1, 400)) AS s FROM places p JOIN texts t ON t.r = p.r),
+again AS (SELECT s FROM strings GROUP BY s HAVING count(*) > 1),
+hits AS (SELECT r, i FROM strings JOIN again USING (s)),
+runs AS (SELECT r, i, CASE WHEN i - lag(i) OVER (PARTITION BY r ORDER BY i) <= 200 THEN 0 ELSE 1 END AS new FROM hits),
+spans AS (SELECT r, n, min(i) AS a, max(i) + 200 AS b FROM (SELECT *, sum(new) OVER (PARTITION BY r ORDER BY i) AS n FROM runs) GROUP BY r, n),
+gaps AS (SELECT r, a, b, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) AS from_, lead(a) OVER (PARTITION BY r ORDER BY a) AS next FROM spans),
+kept AS (
+  SELECT g.r, count(*) AS n_spans, sum(b - a) AS n_removed,
+    string_agg(substr(h, 2 * from_ + 1, 2 * (a - from_)), '' ORDER BY a) || substr(any_value(h), 2 * max(b) + 1) AS rest
+  FROM gaps g JOIN texts t ON t.r = g.r GROUP BY g.r
+)
+SELECT doc_id, len(h) // 2 AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+  sha256(unhex(coalesce(rest, h))) AS kept_sha256
+FROM texts LEFT JOIN kept USING (r)
+"""
+
+
+@query("op6_suffix_array_dedup", OP6_SQL)
 def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut_repeats(table(spark, sf_dir, "documents")).drop("spans")
 
@@ -268,3 +288,78 @@ def tokenizer_text(name: str) -> str:
 @query("op12_token_ids")
 def op12_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenised(table(spark, sf_dir, "documents"), tokenizer_text("word_bpe_49k.json"))
+
+
+# The columns of further operators that SQL can express, beside the full queries.
+
+ALNUM_SQL = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+@query(
+    "license_base_places",
+    f"""
+    WITH phrases AS (SELECT string_split(p, ' ') AS p, label FROM (VALUES
+        ('gnu general public license', 'gpl'), ('apache license', 'apache'), ('cc by', 'cc-by'), ('mit license', 'mit')) t(p, label)),
+    words AS (SELECT row_number() OVER () AS r, doc_id, {ALNUM_SQL} AS w FROM documents),
+    spots AS (SELECT r, w, unnest(range(1, len(w) + 1)) AS i FROM words),
+    found AS (SELECT r, i - 1 AS spot, label FROM spots, phrases WHERE w[i] = p[1] AND w[i : i + len(p) - 1] = p),
+    places AS (SELECT r, count(*) AS n, min(spot) AS low, max(spot) AS high, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM found GROUP BY r)
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_base, CAST(low AS BIGINT) AS first_word,
+      CAST(high AS BIGINT) AS last_word, coalesce(labels, '') AS base_labels
+    FROM words LEFT JOIN places USING (r)
+    """,
+)
+def license_base_places(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The base places of the license scan."""
+    return scan_licenses(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels")
+
+
+@query(
+    "secret_base_counts",
+    r"""
+    WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents)
+    SELECT doc_id,
+      CAST(len([v for v in regexp_extract_all(text, '([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 2) if len(v) >= 8]) AS BIGINT) AS n_assign,
+      CAST(len([v for v in regexp_extract_all(text, 'AKIA[A-Z0-9]+') if len(v) >= 16]) AS BIGINT) AS n_access,
+      CAST(len([v for v in regexp_extract_all(text, '[0-9a-f]+') if len(v) >= 32]) AS BIGINT) AS n_hex
+    FROM t
+    """,
+)
+def secret_base_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many base spans of each kind the secret scan finds."""
+    return scan_secrets(table(spark, sf_dir, "documents")).select("doc_id", "n_assign", "n_access", "n_hex")
+
+
+@query(
+    "mix_targets",
+    r"""
+    WITH sized AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents),
+    sources AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM sized GROUP BY source),
+    weighed AS (SELECT *, [5, 2, 1][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS weight, 3 * source_size AS most FROM sources),
+    stops AS (SELECT *, row_number() OVER (ORDER BY most / weight, source NULLS LAST) AS k FROM weighed),
+    levels AS (
+      SELECT a.k, ((SELECT sum(source_size) FROM stops) - coalesce(sum(b.most), 0))::DOUBLE / ((SELECT sum(weight) FROM stops) - coalesce(sum(b.weight), 0)) AS level
+      FROM stops a LEFT JOIN stops b ON b.k < a.k GROUP BY a.k
+    ),
+    final AS (SELECT arg_min(level, k) AS level FROM stops JOIN levels USING (k) WHERE level * weight <= most)
+    SELECT doc_id, size, source_size, least(most::DOUBLE, (SELECT level FROM final) * weight) AS target
+    FROM sized JOIN stops ON sized.source IS NOT DISTINCT FROM stops.source
+    """,
+)
+def mix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sizes and targets of the source mix."""
+    return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target")
+
+
+@query(
+    "shard_balance",
+    """
+    WITH n AS (SELECT count(*) AS n FROM documents),
+    s AS (SELECT shard::INTEGER AS shard, CAST((n * (shard + 1) + 7) // 8 - (n * shard + 7) // 8 AS BIGINT) AS rows FROM n, range(0, 8) t(shard))
+    SELECT shard, rows, 'rows' AS law, rows - 1 AS last_slot FROM s
+    """,
+)
+def shard_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and last slot of every shard along the curve."""
+    rows = shards(table(spark, sf_dir, "documents"))
+    return rows.groupBy("shard", "law").agg(F.count("*").alias("rows"), F.max("slot").alias("last_slot"))
