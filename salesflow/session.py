@@ -5,9 +5,14 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+_MADE: ContextVar[list[str] | None] = ContextVar("made", default=None)
+
 
 def build_session(app: str = "salesflow", master: str | None = None, **conf: str) -> SparkSession:
     """A session with adaptive execution on, ANSI left on and the web page off."""
@@ -47,7 +52,27 @@ def shared_folder(spark: SparkSession) -> str:
 
 def new_folder(spark: SparkSession, name: str) -> str:
     """A fresh, unused path under the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    made = _MADE.get()
+    if made is not None:
+        made.append(path)
+    return path
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Removes, at its end, every folder that what runs inside has taken under the shared folder.
+
+    Results that read such folders have to be written or collected inside.
+    """
+    made: list[str] = []
+    token = _MADE.set(made)
+    try:
+        yield
+    finally:
+        _MADE.reset(token)
+        for path in made:
+            remove_folder(spark, path)
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:

@@ -5,6 +5,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from salesflow import session
 from salesflow.operators import joins
 from salesflow.operators.joins import fits_broadcast, hot_keys, lookup, lookup_or_default
 from salesflow.operators.masters import (
@@ -289,3 +290,14 @@ def test_prepared_masters_are_written_once(spark, master, wide_files):
     kept = joins.prepared(computed)
     assert joins.scan_bytes(kept) is not None and rows(kept) == rows(computed)
     assert joins.prepared(wide_files) is wide_files
+
+
+def test_scratch_folders_go(spark, master):
+    import os
+
+    with session.scratch(spark):
+        kept = joins.prepared(keep_first(master, ["k"], ["k2", "name"]))
+        folder = kept.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+        assert kept.count() > 0 and os.path.isdir(folder)
+    assert not os.path.exists(folder)
+    assert os.path.isdir(joins.prepared(keep_first(master, ["k"], ["k2"])).inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0])
