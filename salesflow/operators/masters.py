@@ -113,9 +113,15 @@ def place_key(city: str) -> Column:
     return strip(F.coalesce(named(city), F.lit(MISSING_PLACE)))
 
 
-def place_master(sheet: DataFrame, city: str, standard: str, area: str, order: Sequence[str]) -> DataFrame:
-    """Place key to standard name and area, first row per key."""
+def place_master(
+    sheet: DataFrame, city: str, standard: str, area: str, order: Sequence[str], by_place: bool = False
+) -> DataFrame:
+    """Place key to standard name and area, first row per key; ``by_place`` where the order is one
+    whole number that no two rows share."""
     names = [named(standard).alias("ADM2_Standardized"), named(area).alias("ADM1")]
+    if by_place:
+        rows = sheet.select(place_key(city).alias("__place"), *names, named(order[0]).alias("__order"))
+        return first_by_place(rows, ["__place"], "__order").drop("__order")
     rows = sheet.select(place_key(city).alias("__place"), *names, F.struct(*[named(c) for c in order]).alias("__order"))
     return keep_first(rows, ["__place"], ["__order"]).drop("__order")
 

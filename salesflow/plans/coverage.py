@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from salesflow.functions import named
+from salesflow.operators.joins import prepared
 from salesflow.operators.masters import place_master, standardise_places, unmatched_places
 from salesflow.operators.shape import conform, rename_drop
 from salesflow.schemas import COVERAGE_SCHEMA
@@ -34,8 +36,8 @@ def write_coverage_sales(history: DataFrame, marketplace: DataFrame, path: str)
     return write_union(coverage_sales(history, marketplace), path)
 
 
-def city_master(sheet: DataFrame, order: list[str]) -> DataFrame:
-    return place_master(sheet, MASTER_CITY, MASTER_STANDARD, MASTER_AREA, order)
+def city_master(sheet: DataFrame, order: list[str], by_place: bool = False) -> DataFrame:
+    return place_master(sheet, MASTER_CITY, MASTER_STANDARD, MASTER_AREA, order, by_place)
 
 
 def coverage_orders(
@@ -52,7 +54,8 @@ def coverage_orders(
     sheet = read_delimited_master(
         spark, master_path, required=[MASTER_CITY, MASTER_STANDARD, MASTER_AREA], row_no="row_no"
     )
-    master = city_master(sheet, ["row_no"])
+    one_file = not isinstance(sheet.schema["row_no"].dataType, StructType)
+    master = prepared(city_master(sheet, ["row_no"], by_place=one_file))
     write_union(standardise_places(orders, master), out)
     missing = unmatched_places(orders, master)
     if unmatched_out:

@@ -163,8 +163,8 @@ def read_delimited_master(
     """A delimited master as text: header names stripped, "missing" as null.
 
     Bytes that are not UTF-8 become the replacement character. ``required`` columns are
-    checked before the rows are read. ``row_no`` names a column by which rows sort in file order.
-    The path may be a folder of files that share a header.
+    checked before the rows are read. ``row_no`` names a column by which rows sort in file order, a
+    whole number where the path is one file; it may be a folder of files that share a header.
     """
     shapes = file_shapes(spark, [path], sep).values()
     if any(shape.multiline for shape in shapes):
@@ -172,10 +172,11 @@ def read_delimited_master(
         if len(headers) > 1:
             raise ValueError(f"master {path}: files with different headers")
         given = header_names(headers.pop(), sep)
-        raw, place = parsed_records(spark, [path], given, sep), F.struct("__file", "__place")
+        raw = parsed_records(spark, [path], given, sep)
+        place = F.col("__number") if len(shapes) == 1 else F.struct("__file", "__number")
     else:
         raw = _csv(spark, sep).csv(path)
-        given, place = raw.columns, F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
+        given, place = raw.columns, file_place() if len(shapes) == 1 else F.struct(F.col("_metadata.file_path"), file_place())
     names = [c.strip().lstrip("\ufeff") for c in given]
     order = [] if row_no is None else [place.alias(row_no)]
     out = raw.select(*[na_to_null(old, na_tokens).alias(new) for old, new in zip(given, names)], *order)

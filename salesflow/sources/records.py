@@ -137,12 +137,12 @@ def first_records(spark: SparkSession, paths: Sequence[str], sep: str = ",") ->
 
 
 def parsed_records(spark: SparkSession, paths: Sequence[str], names: Sequence[str], sep: str = ",") -> DataFrame:
-    """The cells of files that share a header, as text under its names, with ``__file`` and ``__place``."""
+    """The cells of files that share a header, as text under its names, with ``__file`` and ``__number``, the record's in its file."""
     # places keep names apart that differ by case alone
     schema = StructType([StructField(f"c{i}", StringType()) for i in range(len(names))])
     options = {"sep": sep, "quote": QUOTE, "escape": QUOTE, "multiLine": "true", "mode": "PERMISSIVE"}
     cells = F.from_csv("record", schema.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " "), options)
-    rows = records(spark, paths, sep).filter("number > 1").select("file", "place", cells.alias("cells"))
+    rows = records(spark, paths, sep).filter("number > 1").select("file", "number", cells.alias("cells"))
     return rows.select(
-        *[F.col("cells")[f"c{i}"].alias(name) for i, name in enumerate(names)], F.col("file").alias("__file"), F.col("place").alias("__place")
+        *[F.col("cells")[f"c{i}"].alias(name) for i, name in enumerate(names)], F.col("file").alias("__file"), F.col("number").alias("__number")
     )
