@@ -21,7 +21,7 @@ from collections.abc import Sequence
 from dataclasses import asdict, dataclass
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from salesflow.functions import named
@@ -94,10 +94,10 @@ def write_months_aside(
     ``months`` names those that are being rebuilt: one without rows becomes an entry without a
     folder. A month that holds most of the rows is written by many tasks.
     """
-    spark, run, seen = df.sparkSession, uuid.uuid4().hex, Observation("written")
+    spark, run = df.sparkSession, uuid.uuid4().hex
     data = f"{path.rstrip('/')}/data/{table}"
     rows = df.withColumns({month_col: named(month_col).cast("string"), "run": F.lit(run)})
-    spread = rows.observe(seen, F.count(F.lit(1)).alias("rows")).hint("rebalance", month_col)
+    spread = rows.hint("rebalance", month_col)
     ordered = spread.sortWithinPartitions(*[named(c) for c in sort]) if sort else spread
     ordered.write.mode("append").partitionBy(month_col, "run").parquet(data)
     schema = StructType([f for f in df.schema.fields if f.name != month_col]).json()

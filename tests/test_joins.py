@@ -301,3 +301,11 @@ def test_scratch_folders_go(spark, master):
         assert kept.count() > 0 and os.path.isdir(folder)
     assert not os.path.exists(folder)
     assert os.path.isdir(joins.prepared(keep_first(master, ["k"], ["k2"])).inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0])
+
+
+@pytest.mark.parametrize("nothing", ["false", "id < 0"])
+def test_salted_lookup_of_no_facts(many, master, broadcast_below, nothing):
+    broadcast_below(-1)
+    none = many.filter(nothing)
+    assert lookup(none, master, ["k", "k2"], spread="salted").count() == 0
+    assert rows(lookup(many, master.filter("false"), ["k", "k2"], spread="salted").select("id")) == rows(many.select("id"))
