@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 from operator import and_
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -62,7 +63,7 @@ class Zones:
 
     def files(self, test: Column) -> list[str]:
         """The files for which the test on bounds holds; as many as the scan will open."""
-        return sorted(r["file"] for r in self.table.filter(test).select("file").collect())
+        return sorted(unquote(r["file"]) for r in self.table.filter(test).select("file").collect())
 
     def scan(self, test: Column) -> DataFrame:
         """The rows of these files; the caller filters the rows as before."""

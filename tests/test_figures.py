@@ -169,7 +169,7 @@ def test_equal_tables_are_not_scanned_again(spark):
 
 
 def test_zones_skip_files_and_keep_rows(spark, tmp_path):
-    path = str(tmp_path / "orders")
+    path = str(tmp_path / "orders of 26%")
     months = ["Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec"]
     names = [f"26 {i + 1:02d} {m} ({p}) Report.xlsx" for i, m in enumerate(months) for p in (1, 2, 3)]
     orders = spark.range(3600).select(
