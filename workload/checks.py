@@ -302,14 +302,14 @@ def promotion(spark, sf_dir):
 )
 def promotion_by_footers(spark, sf_dir):
     """The same releases as files: rows and newest days out of the footers."""
-    old = HISTORY.df(spark, sf_dir)
+    new_path, old_path = [new_folder(spark, name) for name in ("new-release", "old-release")]
+    HISTORY.df(spark, sf_dir).write.parquet(old_path)
+    old = spark.read.parquet(old_path)  # joined once
     new = old.filter(
         (named("SentOn") < F.lit(dt.date(2001, 6, 1))) & (named("NoPesanan").cast("bigint") % 9 != 0)
     ).drop("Variant").withColumns({"Note": F.lit(""), "Dispatch Date": named("SentOn")})
-    paths = [new_folder(spark, name) for name in ("new-release", "old-release")]
-    for df, path in zip((new, old), paths):
-        df.write.parquet(path)
-    return promotion_check_files(spark, *paths, allowed=["Dispatch Date"])
+    new.write.parquet(new_path)
+    return promotion_check_files(spark, new_path, old_path, allowed=["Dispatch Date"])
 
 
 FIGURE_MONTHS = "strftime(\"SentOn\", '%Y-%m') IN ('1998-06', '1998-07', '1998-08')"
