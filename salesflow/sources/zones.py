@@ -32,8 +32,11 @@ def write_zones(spark: SparkSession, path: str, cols: Sequence[str]) -> None:
     """The zone map of a table that lies there; reads the columns, no others."""
     table = spark.read.parquet(path)
     bounds = [f(named(c)).alias(f"{name}_{i}") for i, c in enumerate(cols) for f, name in ((F.min, "low"), (F.max, "high"), (_nulls, "nulls"))]
-    zones = table.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count("*").alias("rows"), *bounds)
-    zones.withColumn("cols", F.array(*[F.lit(c) for c in cols])).coalesce(1).write.mode("overwrite").parquet(f"{path.rstrip('/')}/{ZONES}")
+    # Least and greatest texts alone would be found by sorting all rows; beside a set, files are hashed and
+    # a task holds one row for each.
+    names = F.element_at(F.collect_set(F.array(*[F.lit(c) for c in cols])), 1).alias("cols")
+    zones = table.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count("*").alias("rows"), *bounds, names)
+    zones.coalesce(1).write.mode("overwrite").parquet(f"{path.rstrip('/')}/{ZONES}")
 
 
 def _nulls(col: Column) -> Column:

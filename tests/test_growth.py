@@ -1,7 +1,8 @@
-"""What large tables cost: joins run once."""
+"""What large tables cost: joins run once, zone maps without a sort."""
 
 from pyspark.sql import DataFrameWriter
 
+from salesflow.sources.zones import ZONES, write_zones
 from workload.checks import promotion_by_footers
 
 
@@ -23,3 +24,20 @@ def test_releases_are_joined_once(spark, tmp_path, monkeypatch):
     found = promotion_by_footers(spark, str(tmp_path)).collect()
     assert sorted(r["rule"] for r in found) == ["dropped", "newest", "rows", "unexpected"]
     assert sum(any("lineitem" in f for f in files) for files in read) == 1 and len(read) == 2
+
+
+def test_zone_maps_sort_nothing(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "table")
+    spark.range(900).selectExpr("concat('s', id % 9) AS s", "nullif(id, 5) AS n").repartition(3).write.parquet(path)
+    plans, write = [], DataFrameWriter.parquet
+
+    def seen(self, path, *args, **options):
+        plans.append(self._df._jdf.queryExecution().executedPlan().toString())
+        return write(self, path, *args, **options)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", seen)
+    write_zones(spark, path, ["s", "n"])
+    assert len(plans) == 1 and "Sort" not in plans[0]
+    zones = spark.read.parquet(f"{path}/{ZONES}").collect()
+    assert [(z["cols"], z["low_0"], z["high_0"], z["nulls_0"]) for z in zones] == [(["s", "n"], "s0", "s8", 0)] * 3
+    assert sum(z["rows"] for z in zones) == 900 and sum(z["nulls_1"] for z in zones) == 1
