@@ -10,6 +10,7 @@ from functools import reduce
 from operator import or_
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import DateType
 
 from salesflow.functions import as_column, named
 from salesflow.functions.text import strip
@@ -58,6 +59,18 @@ def in_days(col: Column | str, lo: dt.date, hi: dt.date) -> Column:
     return as_column(col).between(F.lit(lo), F.lit(hi))
 
 
+def in_months(df: DataFrame, col: str, months: Sequence[tuple[int, int]]) -> Column:
+    """The day lies in one of the (year, month) pairs.
+
+    A date is named only once: filters are pushed below what works a column out, and every further
+    mention works it out again.
+    """
+    bounds = [month_bounds(y, m) for y, m in months]
+    if isinstance(df.schema[col].dataType, DateType):
+        return F.trunc(named(col), "month").isin([F.lit(lo) for lo, _ in bounds])
+    return reduce(or_, [in_days(col, lo, hi) for lo, hi in bounds])
+
+
 def sale_window(sent: str, created: str, lo: dt.date, end: dt.date) -> Column:
     """The sale moment (sent, else created) lies in ``[lo, end)``.
 

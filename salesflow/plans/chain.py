@@ -4,13 +4,11 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import DataFrame, functions as F
 
 from salesflow.functions.dates import month_key
-from salesflow.operators.filters import in_days, month_bounds
+from salesflow.operators.filters import in_months
 from salesflow.operators.packing import SPLIT_DAYS, with_parts
 from salesflow.plans.figures import FIGURES, month_figures
 from salesflow.plans.history import save_months, typed_month
@@ -26,7 +24,7 @@ def built_rows(
     market_source: str, scope: str = "all",
 ) -> DataFrame:
     """The report rows of the given (year, month) pairs, in one pass over the base and the orders."""
-    days = reduce(or_, [in_days("SentOn", *month_bounds(y, m)) for y, m in months])
+    days = in_months(base, "SentOn", months)
     market = marketplace_rows(marketplace_months(orders, masters, months, as_of, scope), market_source)
     return report_rows(base, market, days)
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from salesflow.functions import named
 from salesflow.functions.kinds import as_day, as_is, as_text, as_upper, as_whole, column_as
 from salesflow.functions.text import remove_text
-from salesflow.operators.filters import in_days, is_online, month_bounds, not_contains
+from salesflow.operators.filters import in_months, is_online, not_contains
 from salesflow.operators.joins import lookup, prepared
 from salesflow.operators.packing import SPLIT_DAYS, with_parts
 from salesflow.operators.shape import rename_drop, require_columns, union_relaxed
@@ -142,7 +142,7 @@ def report_rows(base: DataFrame, marketplace: DataFrame, days: Column) -> DataFr
 
 def month_rows(base: DataFrame, marketplace: DataFrame, year: int, month: int) -> DataFrame:
     """One month's report rows."""
-    return report_rows(base, marketplace, in_days("SentOn", *month_bounds(year, month)))
+    return report_rows(base, marketplace, in_months(base, "SentOn", [(year, month)]))
 
 
 def lost_marketplace(marketplace: DataFrame) -> DataFrame:

@@ -1,7 +1,12 @@
-"""What large tables cost: joins run once, zone maps without a sort."""
+"""What large tables cost: joins run once, dates worked out once, zone maps without a sort."""
 
-from pyspark.sql import DataFrameWriter
+import datetime as dt
+import re
 
+from pyspark.sql import DataFrameWriter, functions as F
+
+from salesflow.functions.dates import parse_date
+from salesflow.operators.filters import in_days, in_months, month_bounds
 from salesflow.sources.zones import ZONES, write_zones
 from workload.checks import promotion_by_footers
 
@@ -26,6 +31,18 @@ def test_releases_are_joined_once(spark, tmp_path, monkeypatch):
     assert sum(any("lineitem" in f for f in files) for files in read) == 1 and len(read) == 2
 
 
+def test_days_of_months_are_worked_out_once(spark):
+    texts = spark.createDataFrame([("2026-07-01",), ("31/08/2026",), ("2026-06-30 23:59:59",), ("2026-09-01",), ("2025-07-15",), ("bad",), (None,)], "t string")
+    days = texts.select("t", parse_date("t").alias("SentOn"))
+    months = [(2026, 7), (2026, 8)]
+    found = days.filter(in_months(days, "SentOn", months))
+    assert {r["t"] for r in found.collect()} == {"2026-07-01", "31/08/2026"}
+    plan = days.filter(in_months(days, "SentOn", months)).select("t")._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall(r"rlike|RLIKE", plan)) == 1
+    moments = texts.select(F.lit(dt.datetime(2026, 7, 31, 12)).cast("timestamp_ntz").alias("SentOn")).limit(1)
+    assert moments.filter(in_months(moments, "SentOn", months[:1])).count() == moments.filter(in_days("SentOn", *month_bounds(2026, 7))).count()
+
+
 def test_zone_maps_sort_nothing(spark, tmp_path, monkeypatch):
     path = str(tmp_path / "table")
     spark.range(900).selectExpr("concat('s', id % 9) AS s", "nullif(id, 5) AS n").repartition(3).write.parquet(path)
